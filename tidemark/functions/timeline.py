@@ -27,7 +27,7 @@ from tidemark.functions.dates import place
 ROWS_PER_SLICE = 5_000_000
 SPLIT = 4  # slices per ROWS_PER_SLICE rows, to absorb uneven density
 
-SLICE = "_slice"
+SLICE = "_tl_slice"
 
 
 @dataclass(frozen=True)
@@ -144,24 +144,24 @@ class Timeline:
         at = place(df, self.order_by[0])
         hot = (
             df.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_first"),
-                 F.max(at).alias("_last"))
-            .where(F.col("_rows") > self.rows_per_slice)
-            .select(*[F.col(k).alias(f"_hot_{k}") for k in self.keys], "_first", "_last",
-                    (F.ceil(F.col("_rows") / self.rows_per_slice) * SPLIT).alias("_parts"))
+            .agg(F.count(F.lit(1)).alias("_tl_rows"), F.min(at).alias("_tl_first"),
+                 F.max(at).alias("_tl_last"))
+            .where(F.col("_tl_rows") > self.rows_per_slice)
+            .select(*[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], "_tl_first", "_tl_last",
+                    (F.ceil(F.col("_tl_rows") / self.rows_per_slice) * SPLIT).alias("_tl_parts"))
         )
-        span = F.col("_last") - F.col("_first")
-        nth = F.floor((at - F.col("_first")) / span * F.col("_parts"))
+        span = F.col("_tl_last") - F.col("_tl_first")
+        nth = F.floor((at - F.col("_tl_first")) / span * F.col("_tl_parts"))
         number = (
-            F.when(F.col("_parts").isNull(), F.lit(None))
-            .when((span > 0) & at.isNotNull(), F.least(nth, F.col("_parts") - 1))
+            F.when(F.col("_tl_parts").isNull(), F.lit(None))
+            .when((span > 0) & at.isNotNull(), F.least(nth, F.col("_tl_parts") - 1))
             .otherwise(F.lit(0))
         )
-        on = _same([(k, f"_hot_{k}") for k in self.keys])
+        on = _same([(k, f"_tl_hot_{k}") for k in self.keys])
         return (
             df.join(F.broadcast(hot), on, "left")
             .withColumn(SLICE, number.cast("long"))
-            .drop("_first", "_last", "_parts", *[f"_hot_{k}" for k in self.keys])
+            .drop("_tl_first", "_tl_last", "_tl_parts", *[f"_tl_hot_{k}" for k in self.keys])
         )
 
     def _with(self, df: DataFrame) -> Timeline:
@@ -176,16 +176,16 @@ class Timeline:
         within = [*self.keys, SLICE]
         here = Window.partitionBy(*within).orderBy(*self.order_by)
         across = Window.partitionBy(*self.keys).orderBy(SLICE)
-        local = self._df.withColumns({f"_here_{n}": c.local(here) for n, c in columns.items()})
+        local = self._df.withColumns({f"_tl_here_{n}": c.local(here) for n, c in columns.items()})
         carried = self._summaries(columns).select(
-            *[F.col(k).alias(f"_from_{k}") for k in within],
-            *[c.carry(F.col(f"_sum_{n}"), across).alias(f"_far_{n}") for n, c in columns.items()],
+            *[F.col(k).alias(f"_tl_from_{k}") for k in within],
+            *[c.carry(F.col(f"_tl_sum_{n}"), across).alias(f"_tl_far_{n}") for n, c in columns.items()],
         )
-        joined = local.join(F.broadcast(carried), _same([(k, f"_from_{k}") for k in within]), "left")
+        joined = local.join(F.broadcast(carried), _same([(k, f"_tl_from_{k}") for k in within]), "left")
         merged = joined.withColumns({
-            n: c.merge(F.col(f"_here_{n}"), F.col(f"_far_{n}")) for n, c in columns.items()})
-        helpers = [f"_from_{k}" for k in within]
-        helpers += [f"{p}_{n}" for n in columns for p in ("_here", "_far")]
+            n: c.merge(F.col(f"_tl_here_{n}"), F.col(f"_tl_far_{n}")) for n, c in columns.items()})
+        helpers = [f"_tl_from_{k}" for k in within]
+        helpers += [f"{p}_{n}" for n in columns for p in ("_tl_here", "_tl_far")]
         return self._with(merged.drop(*helpers))
 
     def _summaries(self, columns: dict[str, Running]) -> DataFrame:
@@ -197,10 +197,10 @@ class Timeline:
             if any(c.tail == 0 for c in columns.values()):
                 raise ValueError("ask for recent() columns in a running() call of their own")
             newest = Window.partitionBy(*within).orderBy(*[F.desc(c) for c in self.order_by])
-            cut = cut.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= tail)
+            cut = cut.withColumn("_tl_back", F.row_number().over(newest)).where(F.col("_tl_back") <= tail)
         order = F.struct(*self.order_by)
         return cut.groupBy(*within).agg(
-            *[c.summary(order).alias(f"_sum_{n}") for n, c in columns.items()])
+            *[c.summary(order).alias(f"_tl_sum_{n}") for n, c in columns.items()])
 
     @property
     def rows(self) -> DataFrame:
