@@ -52,17 +52,19 @@ def prefixed(df: DataFrame, *but: str) -> DataFrame:
     return df.select(*[F.col(c) if c in but else F.col(c).alias(f"right_{c}") for c in df.columns])
 
 
+def with_window(df: DataFrame, ts: str, size: str, slide: str | None = None) -> DataFrame:
+    return df.withColumn("window", F.window(ts, size, slide))
+
+
 def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
                 slide: str | None = None) -> DataFrame:
     """Inner join on equal key and same tumbling or sliding window.
 
     Columns of ``right`` other than the key get the prefix ``right_``. The window is part of the
-    join key, so a hot key is spread over its windows. Works on streams with watermarks.
+    join key, so a hot key is spread over its windows.
     """
-    def windowed(df: DataFrame) -> DataFrame:
-        return df.withColumn("window", F.window(ts, size, slide))
-
-    return windowed(left).join(prefixed(windowed(right), key, "window"), [key, "window"])
+    mine, theirs = (with_window(df, ts, size, slide) for df in (left, right))
+    return mine.join(prefixed(theirs, key, "window"), [key, "window"])
 
 
 def _row_type(df: DataFrame) -> T.StructType:
