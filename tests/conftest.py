@@ -14,7 +14,7 @@ from tidemark.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "2", "spark.driver.memory": "4g",
            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
            "spark.sql.streaming.stateStore.providerClass":
                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})

@@ -40,11 +40,14 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str
     return facts.join(small_side(dim, max_rows), list(keys), how)
 
 
-def table_function_join(left: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+def table_function_join(left: DataFrame, rows: DataFrame) -> DataFrame:
     """Each left row joined to the rows a table function yields for it, for example
-    ``spark.tvf.explode(F.split(F.col("text").outer(), " "))``. ``how="left"`` keeps rows for
-    which it yields none."""
-    return left.lateralJoin(rows, how=how)
+    ``spark.tvf.explode(F.split(F.col("text").outer(), " "))``.
+
+    To keep left rows for which it yields none, use an ``_outer`` function: Spark turns a left
+    lateral join over a plain generator into an inner one.
+    """
+    return left.lateralJoin(rows)
 
 
 def prefixed(df: DataFrame, *but: str) -> DataFrame:

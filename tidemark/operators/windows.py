@@ -60,22 +60,22 @@ def tumbling_count_late(df: DataFrame, key: str, ts: str, arrival: Sequence[str]
     closed = F.col("watermark") >= F.col("window_end")
     gone = F.col("watermark") >= later(F.col("window_end"), lateness, kind)
     sorted_in = seen.withColumn(
-        "kind", F.when(gone, "late").when(closed, "again").otherwise("main"))
+        "_kind", F.when(gone, "late").when(closed, "again").otherwise("main"))
     group = [key, "window_start", "window_end"]
-    on_time = sorted_in.where(F.col("kind") == "main").groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"))
+    on_time = sorted_in.where(F.col("_kind") == "main").groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_on_time"))
     nth = F.row_number().over(Window.partitionBy(*group).orderBy(*arrival))
     again = (
-        sorted_in.where(F.col("kind") == "again").withColumn("_nth", nth)
+        sorted_in.where(F.col("_kind") == "again").withColumn("_nth", nth)
         .join(on_time, group, "left")
-        .select(*group, "kind", F.col(ts).alias("at"),
-                (F.coalesce("n", F.lit(0)) + F.col("_nth")).alias("n"))
+        .select(*group, F.lit("again").alias("kind"), F.col(ts).alias("at"),
+                (F.coalesce("_on_time", F.lit(0)) + F.col("_nth")).alias("n"))
     )
     none = F.lit(None)
-    late = sorted_in.where(F.col("kind") == "late").select(
-        *group, "kind", F.col(ts).alias("at"), none.cast("long").alias("n"))
+    late = sorted_in.where(F.col("_kind") == "late").select(
+        *group, F.lit("late").alias("kind"), F.col(ts).alias("at"), none.cast("long").alias("n"))
     main = on_time.select(*group, F.lit("main").alias("kind"),
-                          none.cast(kind).alias("at"), F.col("n"))
+                          none.cast(kind).alias("at"), F.col("_on_time").alias("n"))
     return main.unionByName(again).unionByName(late)
 
 
