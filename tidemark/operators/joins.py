@@ -158,16 +158,18 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_
         F.col("_seen")[c].alias(f"right_{c}") for c in versions.columns if c != key])
 
 
-def history_join(left: DataFrame, zip_table: DataFrame, key: str, ts: str) -> DataFrame:
+def history_join(left: DataFrame, zip_table: DataFrame, key: str, ts: str,
+                 rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Each left row with the history row valid on its day, ``start_date <= day <= end_date``.
 
-    The day is written to each matching row by an equi join on the key; a key's history rows are
-    disjoint in time, so at most one survives the range filter.
+    History rows of a key do not overlap, so the valid one can only be the newest started by
+    that day: an as-of join, without pairing every row with every version of its key.
     """
-    day = F.date_format(ts, "yyyy-MM-dd")
-    valid = prefixed(zip_table, key)
-    return left.join(valid, key).where(
-        day.between(F.col("right_start_date"), F.col("right_end_date")))
+    dated = left.withColumn("_day", F.col(ts).cast("date"))
+    started = zip_table.withColumn("_start", F.col("start_date").cast("date"))
+    found = as_of_join(dated, started, key, "_day", "_start", "inner", rows_per_slice)
+    valid = F.date_format("_day", "yyyy-MM-dd") <= F.col("right_end_date")
+    return found.where(valid).drop("_day", "right__start")
 
 
 def outer_join_changelog(left: DataFrame, right: DataFrame, key: str, seq: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import Day, iso
@@ -30,13 +30,17 @@ def _nd_name(measure: str, n: int) -> str:
     return f"{measure.removesuffix('_1d')}_{n}d"
 
 
+def _last(date: str) -> Column:
+    """Newest date. Compared as a date: the largest text would need a sort-based aggregate."""
+    return F.max(F.col(date).cast("date")).cast("string").alias("login_date_last")
+
+
 def build_td(logins: DataFrame, day: Day, user: str = "user_id", login_date: str = "dt") -> DataFrame:
     """Per user: last login date and login count over the whole history up to ``day``."""
     return (
         logins.where(F.col(login_date) <= F.lit(iso(day)))
         .groupBy(F.col(user).alias("user_id"))
-        .agg(F.max(login_date).alias("login_date_last"),
-             F.count(F.lit(1)).alias("login_count_td"))
+        .agg(_last(login_date), F.count(F.lit(1)).alias("login_count_td"))
         .withColumn("dt", F.lit(iso(day)))
     )
 
@@ -51,7 +55,6 @@ def advance_td(yesterday: DataFrame, logins: DataFrame, day: Day, user: str = "u
         yesterday.where(F.col("dt") == F.lit(iso(day, -1))).select(*columns)
         .unionByName(today.select(*columns))
         .groupBy("user_id")
-        .agg(F.max("login_date_last").alias("login_date_last"),
-             F.sum("login_count_td").alias("login_count_td"))
+        .agg(_last("login_date_last"), F.sum("login_count_td").alias("login_count_td"))
         .withColumn("dt", F.lit(iso(day)))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import later
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, max_before
 from tidemark.operators.joins import interval_join, side_by_side
+from tidemark.session import written
 
 
 def windowed(df: DataFrame, ts: str, size: str, slide: str | None = None) -> DataFrame:
@@ -53,30 +54,27 @@ def tumbling_count_late(df: DataFrame, key: str, ts: str, arrival: Sequence[str]
     ``kind`` tells the outputs apart: ``main`` when the watermark passes the window end, ``again``
     with the new count for each row arriving in the ``lateness`` seconds after it, ``late`` for
     each row arriving later still (those are not counted; ``n`` is null). ``at`` is the time of
-    the row for ``again`` and ``late``.
+    the row for ``again`` and ``late``. One pass: the table is put in arrival order once and
+    spread over (key, window) once.
     """
     kind = df.schema[ts].dataType
     seen = windowed(with_watermark_at_arrival(df, ts, arrival, delay, rows_per_slice), ts, size)
     closed = F.col("watermark") >= F.col("window_end")
     gone = F.col("watermark") >= later(F.col("window_end"), lateness, kind)
-    sorted_in = seen.withColumn(
-        "_kind", F.when(gone, "late").when(closed, "again").otherwise("main"))
     group = [key, "window_start", "window_end"]
-    on_time = sorted_in.where(F.col("_kind") == "main").groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_on_time"))
-    nth = F.row_number().over(Window.partitionBy(*group).orderBy(*arrival))
-    again = (
-        sorted_in.where(F.col("_kind") == "again").withColumn("_nth", nth)
-        .join(on_time, group, "left")
-        .select(*group, F.lit("again").alias("kind"), F.col(ts).alias("at"),
-                (F.coalesce("_on_time", F.lit(0)) + F.col("_nth")).alias("n"))
-    )
-    none = F.lit(None)
-    late = sorted_in.where(F.col("_kind") == "late").select(
-        *group, F.lit("late").alias("kind"), F.col(ts).alias("at"), none.cast("long").alias("n"))
-    main = on_time.select(*group, F.lit("main").alias("kind"),
-                          none.cast(kind).alias("at"), F.col("_on_time").alias("n"))
-    return main.unionByName(again).unionByName(late)
+    by_arrival = Window.partitionBy(*group).orderBy(*arrival)
+    rows = seen.withColumn(
+        "_kind", F.when(gone, "late").when(closed, "again").otherwise("main")
+    ).select(*group, F.col(ts).alias("_at"), "_kind",
+             F.row_number().over(by_arrival).alias("_count"),
+             F.lead("_kind").over(by_arrival).alias("_next"))
+    # the clock only rises, so within a window main, again and late rows follow one another
+    # and the row number is the count so far; the last main row stands for the firing
+    fires = F.col("_next").isNull() | (F.col("_next") != "main")
+    return rows.where((F.col("_kind") != "main") | fires).select(
+        *group, F.col("_kind").alias("kind"),
+        F.when(F.col("_kind") != "main", F.col("_at")).alias("at"),
+        F.when(F.col("_kind") != "late", F.col("_count").cast("long")).alias("n"))
 
 
 def hot_items(df: DataFrame, item: str, ts: str, size: str = "1 hour", slide: str = "5 minutes",
@@ -149,10 +147,12 @@ def interval_join_late(left: DataFrame, right: DataFrame, key: str, ts: str, seq
     clocked = with_watermark_at_arrival(
         side_by_side(left, right, seq, ts), ts, [seq], delay, rows_per_slice,
         inputs=[F.col("_side") == "l", F.col("_side") == "r"])
-    late = F.coalesce(F.col(ts) < F.col("watermark"), F.lit(False))
+    late = F.col("_late")
+    tagged = written(clocked.select("_side", "_left", "_right", F.coalesce(
+        F.col(ts) < F.col("watermark"), F.lit(False)).alias("_late")), "tagged")
 
     def rows(side: str, which: Column) -> DataFrame:
-        return clocked.where((F.col("_side") == side) & which).select(
+        return tagged.where((F.col("_side") == side) & which).select(
             "_left.*" if side == "l" else "_right.*")
 
     return {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,6 +24,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # recording the call site of every expression slows building large plans
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for name, value in settings.items():
@@ -44,3 +46,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` computed once and kept as a table in the shared scratch folder, for results that
+    several plans read. It survives the loss of executors."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -127,12 +127,12 @@ def interval_join_late(left: DataFrame, right: DataFrame, key: str, ts: str, low
 
     Output: ``kind`` (``match``, ``left_late``, ``right_late``) and the whole rows ``left`` and
     ``right``. The watermark is the smaller one of the two streams. Grouped by key and cell of
-    time, as in the batch ``interval_join``; a right row reaches up to three cells and is
-    reported late from the first only.
+    time, as in the batch ``interval_join``; cells are wider here, as each costs state and a
+    timer. A right row reaches one or two cells and is reported late from the first only.
     """
     wait = f"{round(horizon * 1000)} milliseconds"
     both = side_by_side(watermark(left, ts, wait), watermark(right, ts, wait), key, ts)
-    cell = max(1, math.ceil(upper - lower))
+    cell = max(1, 4 * math.ceil(upper - lower))
     number = lambda us: F.floor(us / F.lit(cell * 1e6)).cast("long")
     at = micros(ts)
     reach = F.sequence(number(at - F.lit(round(upper * 1e6))), number(at - F.lit(round(lower * 1e6))))
