@@ -144,25 +144,26 @@ class Timeline:
         at = place(df, self.order_by[0])
         hot = (
             df.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_tl_rows"), F.min(at).alias("_tl_first"),
-                 F.max(at).alias("_tl_last"))
-            .where(F.col("_tl_rows") > self.rows_per_slice)
-            .select(*[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], "_tl_first", "_tl_last",
-                    (F.ceil(F.col("_tl_rows") / self.rows_per_slice) * SPLIT).alias("_tl_parts"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last"))
+            .where(F.col("rows") > self.rows_per_slice)
+            .select(*[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], F.struct(
+                "first", "last",
+                (F.ceil(F.col("rows") / self.rows_per_slice) * SPLIT).alias("parts")).alias("_tl_hot"))
         )
-        span = F.col("_tl_last") - F.col("_tl_first")
-        nth = F.floor((at - F.col("_tl_first")) / span * F.col("_tl_parts"))
+        if self.keys:
+            on = _same([(k, f"_tl_hot_{k}") for k in self.keys])
+            df, cut = df.join(F.broadcast(hot), on, "left"), F.col("_tl_hot")
+        else:
+            cut = hot.scalar()  # one timeline: its single row needs no join
+        first, last, parts = cut["first"], cut["last"], cut["parts"]
+        nth = F.floor((at - first) / (last - first) * parts)
         number = (
-            F.when(F.col("_tl_parts").isNull(), F.lit(None))
-            .when((span > 0) & at.isNotNull(), F.least(nth, F.col("_tl_parts") - 1))
+            F.when(parts.isNull(), F.lit(None))
+            .when((last > first) & at.isNotNull(), F.least(nth, parts - 1))
             .otherwise(F.lit(0))
         )
-        on = _same([(k, f"_tl_hot_{k}") for k in self.keys])
-        return (
-            df.join(F.broadcast(hot), on, "left")
-            .withColumn(SLICE, number.cast("long"))
-            .drop("_tl_first", "_tl_last", "_tl_parts", *[f"_tl_hot_{k}" for k in self.keys])
-        )
+        return df.withColumn(SLICE, number.cast("long")).drop(
+            "_tl_hot", *[f"_tl_hot_{k}" for k in self.keys])
 
     def _with(self, df: DataFrame) -> Timeline:
         return Timeline(df, self.keys, self.order_by, self.rows_per_slice, _sliced=True)

@@ -71,17 +71,18 @@ def user_change(login_td: DataFrame, day: Day) -> DataFrame:
     today = login_td.where(_on(day)).select("user_id", "login_date_last")
     before = login_td.where(_on(iso(day, -1))).select(
         "user_id", F.col("login_date_last").alias("login_date_previous"))
-    churn = today.where(_on(iso(day, -7), "login_date_last")).agg(
-        F.count(F.lit(1)).alias("user_churn_count"))
+    churned = today.where(_on(iso(day, -7), "login_date_last"))
     # a returning user logged in today, so only those rows need the join
     away = F.datediff(F.col("login_date_last"), F.col("login_date_previous")) >= 8
-    back = (
-        today.where(_on(day, "login_date_last"))
-        .join(before, "user_id").where(away)
-        .agg(F.count(F.lit(1)).alias("user_back_count"))
-    )
-    one = F.lit(iso(day)).alias("dt")
-    return churn.select(one, "user_churn_count").join(back.select(one, "user_back_count"), "dt")
+    back = today.where(_on(day, "login_date_last")).join(before, "user_id").where(away)
+
+    def counted(users: DataFrame, churn: int) -> DataFrame:
+        one = F.count(F.lit(1))
+        return users.agg((one * churn).alias("user_churn_count"),
+                         (one * (1 - churn)).alias("user_back_count"))
+
+    both = counted(churned, 1).unionByName(counted(back, 0))
+    return _stamped(both.agg(*[F.sum(c).alias(c) for c in both.columns]), day)
 
 
 def retention(register: DataFrame, login_td: DataFrame, day: Day, days: int = 7) -> DataFrame:

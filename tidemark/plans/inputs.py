@@ -64,8 +64,9 @@ def sessions(spark: SparkSession, folder: str) -> DataFrame:
     return (
         views(spark, folder)
         .groupBy("session_id", F.col("user_id").alias("mid_id"), "channel")
-        .agg(F.min("dt").alias("dt"), F.count(F.lit(1)).alias("page_count_1d"),
+        .agg(F.min("view_time").alias("_start"), F.count(F.lit(1)).alias("page_count_1d"),
              length.alias("during_time_1d"))
+        .withColumn("dt", day_of("_start")).drop("_start")
     )
 
 
@@ -79,10 +80,9 @@ logins AS (SELECT o_custkey AS user_id, strftime(o_orderdate, '%Y-%m-%d') AS dt
 
 
 def register(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        logins(spark, folder).groupBy("user_id").agg(F.min("dt").alias("date_id"))
-        .withColumn("dt", F.col("date_id"))
-    )
+    first = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.min("o_orderdate").alias("_first"))
+    return first.select("user_id", day_of("_first").alias("date_id"), day_of("_first").alias("dt"))
 
 
 REGISTER = LOGINS + """,

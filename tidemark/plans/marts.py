@@ -33,7 +33,7 @@ GROUP BY recent_days, event_type""")
 def recent_days(spark: SparkSession, folder: str) -> DataFrame:
     dated = inputs.events(spark, folder).withColumn("dt", inputs.day_of("ts"))
     return copy_per_period(dated, EVENTS_DAY).groupBy("recent_days", "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.min("dt").alias("first_day"))
+        F.count(F.lit(1)).alias("n"), F.min(F.to_date("dt")).cast("string").alias("first_day"))
 
 
 @query(f"""
