@@ -29,15 +29,15 @@ def test_slices_equal_plain_windows(data, limit, keys):
     got = (
         line.running(
             s=tl.running_sum(F.col("v")), rn=tl.row_number(), mb=tl.max_before(F.col("v")),
-            p=tl.previous(F.col("v")), f=tl.following(F.col("v")), l=tl.latest(F.col("v")))
+            p=tl.previous(F.struct("v")), f=tl.following(F.struct("v")), l=tl.latest(F.col("v")))
         .running(r=tl.recent(F.col("id"), 3))
         .rows.select("id", "s", "rn", "mb", "p", "f", "l", "r")
     )
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     want = data.select(
         "id", F.sum("v").over(w).alias("s"), F.row_number().over(w).alias("rn"),
-        F.max("v").over(before).alias("mb"), F.lag(F.struct(F.col("v").alias("v"))).over(w).alias("p"),
-        F.lead(F.struct(F.col("v").alias("v"))).over(w).alias("f"),
+        F.max("v").over(before).alias("mb"), F.lag(F.struct("v")).over(w).alias("p"),
+        F.lead(F.struct("v")).over(w).alias("f"),
         F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("l"),
         F.collect_list("id").over(w.rowsBetween(-3, -1)).alias("r"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -76,22 +76,21 @@ def max_before(value: Column) -> Running:
 
 
 def previous(value: Column) -> Running:
-    """The value on the row before, wrapped in ``struct<v>``; null struct if there is none."""
-    boxed = F.struct(value.alias("v"))
+    """The value on the row before, null if there is none. The value must not be null; wrap one
+    that may be in a struct."""
     return Running(
-        local=lambda w: F.lag(boxed).over(w),
-        summary=lambda order: F.max_by(boxed, order),
+        local=lambda w: F.lag(value).over(w),
+        summary=lambda order: F.max_by(value, order),
         carry=lambda s, w: F.lag(s).over(w),
         merge=F.coalesce,
     )
 
 
 def following(value: Column) -> Running:
-    """The value on the row after, wrapped in ``struct<v>``; null struct if there is none."""
-    boxed = F.struct(value.alias("v"))
+    """The value on the row after, null if there is none; as for ``previous``."""
     return Running(
-        local=lambda w: F.lead(boxed).over(w),
-        summary=lambda order: F.min_by(boxed, order),
+        local=lambda w: F.lead(value).over(w),
+        summary=lambda order: F.min_by(value, order),
         carry=lambda s, w: F.lead(s).over(w),
         merge=F.coalesce,
     )
@@ -199,7 +198,8 @@ class Timeline:
                 raise ValueError("ask for recent() columns in a running() call of their own")
             newest = Window.partitionBy(*within).orderBy(*[F.desc(c) for c in self.order_by])
             cut = cut.withColumn("_tl_back", F.row_number().over(newest)).where(F.col("_tl_back") <= tail)
-        order = F.struct(*self.order_by)
+        # a plain column keeps max_by in a hash aggregate, a struct would need a sort
+        order = F.col(self.order_by[0]) if len(self.order_by) == 1 else F.struct(*self.order_by)
         return cut.groupBy(*within).agg(
             *[c.summary(order).alias(f"_tl_sum_{n}") for n, c in columns.items()])
 

@@ -90,7 +90,7 @@ def session_window_join(left: DataFrame, right: DataFrame, key: str, ts: str, ga
     """Inner join on equal key and same session, where sessions are formed over the rows of both
     sides together: a pause longer than ``gap`` seconds starts the next one."""
     kind = left.schema[ts].dataType
-    pause = F.col("_before").isNotNull() & (F.col(ts) > later(F.col("_before.v"), gap, kind))
+    pause = F.col("_before").isNotNull() & (F.col(ts) > later(F.col("_before"), gap, kind))
     rows = (
         Timeline(side_by_side(left, right, key, ts), [key], [ts], rows_per_slice)
         .running(_before=previous(F.col(ts)))

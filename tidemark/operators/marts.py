@@ -52,11 +52,11 @@ def page_path(views: DataFrame, day: Day, periods: Sequence[int] = PERIODS,
     steps = (
         Timeline(recent_days(views, day, periods), ["session_id", "recent_days"], ["view_time"],
                  rows_per_slice)
-        .running(_step=row_number(), _next=following(F.col("page_id")))
+        .running(_step=row_number(), _next=following(F.struct("page_id")))
         .rows
     )
     source = F.concat(F.lit("step-"), F.col("_step"), F.lit(":"), F.col("page_id"))
-    target = F.concat(F.lit("step-"), F.col("_step") + 1, F.lit(":"), F.col("_next.v"))
+    target = F.concat(F.lit("step-"), F.col("_step") + 1, F.lit(":"), F.col("_next.page_id"))
     result = (
         steps.groupBy("recent_days", source.alias("source"),
                       F.coalesce(target, F.lit("null")).alias("target"))

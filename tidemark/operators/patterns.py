@@ -40,7 +40,7 @@ def sequence_within(events: DataFrame, key: str, ts: str, first: Column, second:
     Columns: key, kind (``match`` / ``timeout``), first_ts, second_ts.
     """
     kind = events.schema[ts].dataType
-    then = F.col("_next.v")
+    then = F.col("_next")
     in_time = F.col("_next").isNotNull() & (then["at"] < later(F.col(ts), within, kind))
     label = F.when(in_time & then["second"], F.lit("match"))
     label = label.when(~in_time | F.lit(interrupted == "timeout"), F.lit("timeout"))
@@ -64,7 +64,7 @@ def order_timeout(events: DataFrame, key: str, ts: str, create: Column, pay: Col
     """
     kind = events.schema[ts].dataType
     due = later(F.col(ts), within, kind)
-    expired = F.col("_create") & (F.col("_next").isNull() | (F.col("_next.v") > due))
+    expired = F.col("_create") & (F.col("_next").isNull() | (F.col("_next") > due))
     flagged = (
         events.where(create | pay)
         .select(key, ts, F.coalesce(create, F.lit(False)).alias("_create"))

@@ -106,8 +106,7 @@ def sessionize(views: DataFrame, user: str, ts: str, gap: float = 60,
                rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Adds ``session_id`` = ``<user>-<n>``; a gap of ``gap`` seconds or more starts session n."""
     kind = views.schema[ts].dataType
-    before = F.col("_before.v")
-    starts = F.col("_before").isNull() | (F.col(ts) >= later(before, gap, kind))
+    starts = F.col("_before").isNull() | (F.col(ts) >= later(F.col("_before"), gap, kind))
     line = (
         Timeline(views, [user], [ts], rows_per_slice)
         .running(_before=previous(F.col(ts)))
