@@ -5,7 +5,6 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-os.environ.setdefault("PYTHONPATH", ROOT)
 
 from tidemark.session import build_session  # noqa: E402
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import iso
 from tidemark.operators.warehouse import sessionize
 from tidemark.sources.tables import table
 
@@ -98,6 +99,14 @@ def page_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def recent_orders(spark: SparkSession, folder: str, day: str, days: int = 30) -> DataFrame:
+    """Orders of the last ``days`` days. The test table is not partitioned by day, so the period
+    is also stated on the stored column, where it reaches the scan."""
+    first, after = (F.lit(iso(day, n)).cast("timestamp_ntz") for n in (1 - days, 1))
+    date = F.col("o_orderdate")
+    return table(spark, folder, "orders").where((date >= first) & (date < after))
+
+
 def customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Changes of customers: each order is a new version of its customer."""
     orders = table(spark, folder, "orders")

@@ -12,6 +12,7 @@ from tidemark.operators import marts, summaries
 from tidemark.plans import inputs
 from tidemark.plans.inputs import EARLY_DAY, EVENTS_DAY, LAST_DAY, MIDDLE_DAY, table
 from tidemark.plans.registry import query
+from tidemark.session import written
 
 PERIOD_ROWS = "(SELECT unnest([1, 7, 30]) AS recent_days)"
 
@@ -61,7 +62,8 @@ SELECT '{EVENTS_DAY}' AS dt, recent_days, 'step-' || rn || ':' || page_id AS sou
        coalesce('step-' || (rn + 1) || ':' || next_page, 'null') AS target, count(*) AS path_count
 FROM steps GROUP BY ALL""")
 def page_path(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.page_path(inputs.views(spark, folder), EVENTS_DAY)
+    # stands for a stored table: written once, not derived again for each pass over it
+    return marts.page_path(written(inputs.views(spark, folder), "views"), EVENTS_DAY)
 
 
 def _td(day: str) -> str:
@@ -78,7 +80,8 @@ SELECT '{MIDDLE_DAY}' AS dt,
        ) AS user_back_count""")
 def user_change(spark: SparkSession, folder: str) -> DataFrame:
     logins = inputs.logins(spark, folder)
-    before = summaries.build_td(logins, iso(MIDDLE_DAY, -1))
+    # yesterday's partition is a stored table: the history is read once
+    before = written(summaries.build_td(logins, iso(MIDDLE_DAY, -1)), "login_td")
     today = summaries.advance_td(before, logins, MIDDLE_DAY)
     return marts.user_change(before.unionByName(today), MIDDLE_DAY)
 
@@ -122,7 +125,8 @@ SELECT '{EVENTS_DAY}' AS dt, recent_days, {_reached('view')} AS home_count,
        {_reached('error')} AS order_count, {_reached('purchase')} AS payment_count
 FROM {PERIOD_ROWS}""")
 def funnel(spark: SparkSession, folder: str) -> DataFrame:
-    days = inputs.page_days(spark, folder)
+    # the eight summary tables come from one pass over the events
+    days = written(inputs.page_days(spark, folder), "page_days")
 
     def stage(page: str, measure: str) -> tuple[DataFrame, DataFrame]:
         one = days.where(F.col("page_id") == page).withColumnRenamed("view_count_1d", f"{measure}_1d")
@@ -149,9 +153,7 @@ LEFT JOIN bought x ON x.p_brand = b.p_brand AND x.recent_days = p.recent_days
 GROUP BY p.recent_days, b.p_brand""")
 def repurchase(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part")
-    # only the reporting period of orders joins, not the whole history
-    recent = table(spark, folder, "orders").where(
-        F.col("o_orderdate") >= F.lit(iso(LAST_DAY, -29)).cast("timestamp_ntz"))
+    recent = inputs.recent_orders(spark, folder, LAST_DAY)
     daily = (
         table(spark, folder, "lineitem")
         .join(recent, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -186,7 +188,7 @@ def cart_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _province_days(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
+    orders = inputs.recent_orders(spark, folder, LAST_DAY)
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
     return (
@@ -245,7 +247,7 @@ FROM orders WHERE o_orderdate BETWEEN DATE '{LAST_DAY}' - 29 AND DATE '{LAST_DAY
 GROUP BY o_custkey""")
 def build_nd(spark: SparkSession, folder: str) -> DataFrame:
     daily = (
-        table(spark, folder, "orders")
+        inputs.recent_orders(spark, folder, LAST_DAY)
         .groupBy(F.col("o_custkey").alias("user_id"), inputs.day_of("o_orderdate").alias("dt"))
         .agg(F.count(F.lit(1)).alias("order_count_1d"),
              F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("order_amount_1d"))

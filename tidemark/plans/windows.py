@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.aggregates import Aggregate
+from tidemark.functions.aggregates import user_aggregate as aggregate
 from tidemark.operators import patterns, windows
 from tidemark.plans import inputs
 from tidemark.plans.inputs import kind, sql_text, text
@@ -178,3 +180,26 @@ def connect_map(spark: SparkSession, folder: str) -> DataFrame:
         inputs.table(spark, folder, "customer"), inputs.table(spark, folder, "part"),
         [F.concat(F.lit("customer "), F.col("c_custkey").cast("string")).alias("line")],
         [F.concat(F.lit("part "), F.col("p_name")).alias("line")])
+
+
+class Spread(Aggregate):
+    """Count, smallest and largest value."""
+
+    def create(self):
+        return (0, float("inf"), float("-inf"))
+
+    def add(self, acc, rows):
+        return (acc[0] + len(rows), min(acc[1], rows["value"].min()), max(acc[2], rows["value"].max()))
+
+    def merge(self, a, b):
+        return (a[0] + b[0], min(a[1], b[1]), max(a[2], b[2]))
+
+    def result(self, acc):
+        return acc
+
+
+@query("SELECT event_type, count(*) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY event_type")
+def user_aggregate(spark: SparkSession, folder: str) -> DataFrame:
+    """A user-written aggregate with create, add, merge and result."""
+    return aggregate(inputs.events(spark, folder), ["event_type"], ["value"], Spread(),
+                     "n long, low double, high double")
