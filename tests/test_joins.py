@@ -118,6 +118,8 @@ def test_small_side_is_checked(spark):
     big, dim = spark.range(1000), spark.range(100)
     plan = lambda n: big.join(joins.small_side(dim, n), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(100) and "broadcast" not in plan(99)
+    assert "broadcast" not in big.join(
+        joins.small_side(dim, 100, 50), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert joins.lookup_join(big, dim.withColumn("x", F.lit(1)), ["id"], max_rows=5).where("x is null").count() == 900
 
 

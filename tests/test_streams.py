@@ -230,3 +230,54 @@ def test_batched_sink_replay_is_idempotent(feed, spark, tmp_path):
     for checkpoint in ("c1", "c2"):  # a lost checkpoint replays every batch
         batched_sink(df, path, str(tmp_path / checkpoint), available_now=True).awaitTermination()
     assert spark.read.parquet(path).count() == 2
+
+
+@pytest.fixture
+def shuffled(feed):
+    """Random events in five files, out of order by less than 20 seconds, then a closing row."""
+    import random
+    rnd = random.Random(4)
+    kinds = ["create", "pay", "other"]
+    rows = [(f"k{rnd.randint(0, 5)}", rnd.choice(kinds), at) for at in rnd.sample(range(1000), 300)]
+    arrivals = sorted(rows, key=lambda r: r[2] + rnd.uniform(0, 19))
+    return rows, feed(*[arrivals[i:i + 60] for i in range(0, 300, 60)], [("z", "pay", 99000)])
+
+
+def same(spark, rows, stream, batch):
+    data = spark.createDataFrame(rows, "key string, value string, at int").withColumn(
+        "et", F.timestamp_seconds(F.col("at") + BASE))
+    got, want = (sorted(map(tuple, df.where("key != 'z'").collect()), key=repr)
+                 for df in (drain(stream), batch(data)))
+    assert got == want and got
+
+
+def test_streamed_patterns_equal_batch(spark, shuffled):
+    from tidemark.operators import patterns as batch
+    rows, df = shuffled
+    create, pay = F.col("value") == "create", F.col("value") == "pay"
+    wait = "20 seconds"
+    same(spark, rows, patterns.consecutive_match(df, "key", "et", pay, 3, wait),
+         lambda d: batch.consecutive_match(d, "key", "et", pay, 3))
+    for how in ("drop", "timeout"):
+        same(spark, rows, patterns.sequence_within(df, "key", "et", create, pay, 15, how, wait),
+             lambda d: batch.sequence_within(d, "key", "et", create, pay, 15, how))
+    same(spark, rows, patterns.order_timeout(df, "key", "et", create, pay, 15, wait),
+         lambda d: batch.order_timeout(d, "key", "et", create, pay, 15))
+
+
+def test_streamed_windows_equal_batch(spark, shuffled):
+    from tidemark.operators import windows as batch
+    rows, df = shuffled
+    same(spark, rows, windows.hot_items(df, "key", "et", "1 minute", "20 seconds", 2, "20 seconds"),
+         lambda d: batch.hot_items(d, "key", "et", "1 minute", "20 seconds", 2))
+    same(spark, rows, windows.window_uv_exact(df, "value", "et", "1 minute", "20 seconds").withColumn("key", F.lit("")).where(
+        F.col("window_start") < F.timestamp_seconds(F.lit(BASE + 2000))),
+         lambda d: batch.window_uv_exact(d, "value", "et", "1 minute").withColumn("key", F.lit("")))
+
+
+def test_table_stream_reads_folders_and_files(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "t.parquet"))
+    assert drain(streams.table_stream(spark, str(tmp_path), "t", "id long")).count() == 10
+    one = next((tmp_path / "t.parquet").glob("*.parquet"))
+    (tmp_path / "u.parquet").write_bytes(one.read_bytes())
+    assert 0 < drain(streams.table_stream(spark, str(tmp_path), "u", "id long")).count() < 10

@@ -13,6 +13,7 @@ from tidemark.functions.dates import later, place_of
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, latest, previous, running_sum
 
 SMALL_ROWS = 1_000_000
+SMALL_BYTES = 128 * 1024 * 1024
 
 
 def regular_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -25,12 +26,16 @@ def regular_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(right, list(keys), how)
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else ``df`` itself.
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows of at most ``max_bytes``
+    together (measured as text), else ``df`` itself.
 
-    The check reads at most ``max_rows + 1`` rows.
+    Rows are counted in place, without moving any; bytes are measured only when they are few.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if df.count() > max_rows:
+        return df
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= max_bytes else df
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left",

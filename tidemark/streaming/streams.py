@@ -21,11 +21,12 @@ def event_stream(spark: SparkSession, path: str, schema: str | T.StructType, ts:
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema: str | T.StructType,
                  max_files: int | None = None) -> DataFrame:
-    """A parquet table read as a stream of its files."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    """A parquet table, one file or a folder of them, read as a stream of its files."""
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    # a pattern, because a plain path must be a folder
+    return reader.parquet(f"{folder.rstrip('/')}/{name}[.]parquet")
 
 
 def watermark(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
