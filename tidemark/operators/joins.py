@@ -207,13 +207,14 @@ def outer_join_changelog(left: DataFrame, right: DataFrame, key: str, seq: str,
     if how in ("right", "full"):
         sides.append((other, f"right_{seq}", left, seq, mine))
     for kept, kept_seq, partner, partner_seq, missing in sides:
-        first = partner.groupBy(key).agg(F.min(partner_seq).alias("_first"))
         kinds = dict(partner.dtypes)
-        # a null key has no partner but is still emitted padded
+        nothing = {c: F.lit(None).cast(kinds[c]) for c in missing}
+        keyed = F.col(key).isNotNull()
+        first = partner.where(keyed).groupBy(key).agg(F.min(partner_seq).alias("_first"))
         padded = (
-            kept.join(first, key, "left")
+            kept.where(keyed).join(first, key, "left")
             .where(F.col("_first").isNull() | (F.col("_first") > F.col(kept_seq)))
-            .withColumns({c: F.lit(None).cast(kinds[c]) for c in missing})
+            .withColumns(nothing)
         )
         changes = F.array(
             F.struct(F.lit("+I").alias("op"), F.col(kept_seq).alias("at"), F.lit(1).alias("step")),
@@ -222,4 +223,8 @@ def outer_join_changelog(left: DataFrame, right: DataFrame, key: str, seq: str,
             padded.withColumn("_change", F.explode(changes))
             .where(F.col("_change.at").isNotNull())
             .select("_change.*", key, *mine, *theirs))
+        # rows without a key have no partner, ever; kept apart, they need no shuffle, and the
+        # other rows are shuffled once for pairs and paddings
+        lone = kept.where(~keyed).withColumns(nothing)
+        result = result.unionByName(log(lone, "+I", F.col(kept_seq), 1))
     return result

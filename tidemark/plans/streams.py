@@ -60,6 +60,21 @@ def stream_event_lines(spark: SparkSession, folder: str) -> DataFrame:
                                F.date_format("et", "yyyy-MM-dd HH:mm:ss").alias("happened"))
 
 
+@query("SELECT event_id, user_id FROM events WHERE event_type IN ('view', 'purchase')")
+def stream_union(spark: SparkSession, folder: str) -> DataFrame:
+    return drain(streams.union_streams(*_sides(spark, folder), schema="event_id long, user_id long"))
+
+
+@query("""
+SELECT 'seen by ' || user_id AS line FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'bought in event ' || event_id FROM events WHERE event_type = 'purchase'""")
+def stream_connect_map(spark: SparkSession, folder: str) -> DataFrame:
+    seen, bought = _sides(spark, folder)
+    return drain(streams.connect_map(
+        seen, bought, [F.concat(F.lit("seen by "), F.col("user_id").cast("string")).alias("line")],
+        [F.concat(F.lit("bought in event "), F.col("event_id").cast("string")).alias("line")]))
+
+
 @query(f"""
 SELECT event_type, {_HOURS}, count(*) AS n FROM events WHERE {_CLOSED.format(source='events')} GROUP BY ALL""")
 def stream_tumbling_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,6 +207,20 @@ def stream_left_join(spark: SparkSession, folder: str) -> DataFrame:
     return _pairs(drain(joins.outer_join(*_sides(spark, folder), "user_id", "ts", -1200, 600, "left")))
 
 
+@query(f"""{_NEAR}
+SELECT * FROM pairs
+UNION ALL
+SELECT user_id, event_id, NULL FROM l
+WHERE event_id NOT IN (SELECT event_id FROM pairs)
+  AND epoch_ms(ts) + 600000 < (SELECT least((SELECT epoch_ms(max(ts)) FROM l), (SELECT epoch_ms(max(ts)) FROM r)))
+UNION ALL
+SELECT user_id, NULL, event_id FROM r
+WHERE event_id NOT IN (SELECT right_event_id FROM pairs)
+  AND epoch_ms(ts) + 1200000 < (SELECT least((SELECT epoch_ms(max(ts)) FROM l), (SELECT epoch_ms(max(ts)) FROM r)))""")
+def stream_full_join(spark: SparkSession, folder: str) -> DataFrame:
+    return _pairs(drain(joins.outer_join(*_sides(spark, folder), "user_id", "ts", -1200, 600, "full")))
+
+
 @query("""
 WITH l AS (SELECT *, user_id || ' ' || strftime(ts, '%Y-%m-%d') AS visit FROM events WHERE event_type = 'signup'),
 r AS (SELECT *, user_id || ' ' || strftime(ts, '%Y-%m-%d') AS visit FROM events WHERE event_type = 'purchase'),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import warehouse
 from tidemark.plans import inputs
-from tidemark.plans.inputs import MIDDLE_DAY, table
+from tidemark.plans.inputs import EARLY_DAY, MIDDLE_DAY, table
 from tidemark.plans.registry import query
+from tidemark.session import scratch_path
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -25,17 +26,25 @@ def customer_zip(spark: SparkSession, folder: str, before: str) -> DataFrame:
     ).withColumn("dt", F.col("end_date"))
 
 
-_CHANGED = f"""WITH {inputs.VERSIONS.format(before=MIDDLE_DAY)},
-changed AS (SELECT id, create_time, operate_time FROM newest WHERE dt = '{MIDDLE_DAY}'),
-opened AS (SELECT id, create_time, operate_time, '{MIDDLE_DAY}' AS start_date, '9999-12-31' AS end_date FROM changed),
+def _changed(day: str) -> str:
+    """The history before ``day`` and what its changes open and close, as SQL."""
+    return f"""WITH {inputs.VERSIONS.format(before=day)},
+changed AS (SELECT id, create_time, operate_time FROM newest WHERE dt = '{day}'),
+opened AS (SELECT id, create_time, operate_time, '{day}' AS start_date, '9999-12-31' AS end_date FROM changed),
 closed AS (SELECT id, z.create_time, z.operate_time, start_date,
                   CASE WHEN end_date = '9999-12-31' AND id IN (SELECT id FROM changed)
-                       THEN strftime(DATE '{MIDDLE_DAY}' - 1, '%Y-%m-%d') ELSE end_date END AS end_date,
+                       THEN strftime(DATE '{day}' - 1, '%Y-%m-%d') ELSE end_date END AS end_date,
                   end_date AS old_end
            FROM zip z)"""
 
 
-@query(f"""{_CHANGED}
+def _rebuilt(day: str) -> str:
+    return f"""{_changed(day)}
+SELECT *, end_date AS dt FROM opened
+UNION ALL SELECT id, create_time, operate_time, start_date, end_date, end_date AS dt FROM closed"""
+
+
+@query(f"""{_changed(MIDDLE_DAY)}
 SELECT *, end_date AS dt FROM opened
 UNION ALL SELECT id, create_time, operate_time, start_date, end_date, end_date AS dt FROM closed
 WHERE old_end = '9999-12-31'""")
@@ -44,9 +53,20 @@ def scd2_apply(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.scd2_apply(history, inputs.customer_versions(spark, folder), MIDDLE_DAY)
 
 
-@query(f"""{_CHANGED}
-SELECT *, end_date AS dt FROM opened
-UNION ALL SELECT id, create_time, operate_time, start_date, end_date, end_date AS dt FROM closed""")
+@query(_rebuilt(EARLY_DAY))
+def scd2_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """The history as a stored table, one day of changes applied to it in place, twice."""
+    path = scratch_path(spark, "customer_zip")
+    warehouse.scd2_publish(customer_zip(spark, folder, EARLY_DAY), path)
+    changes = inputs.customer_versions(spark, folder)
+    schema = "id long, create_time string, operate_time string, start_date string, end_date string, dt string"
+    for _ in range(2):
+        stored = spark.read.schema(schema).parquet(path)
+        warehouse.scd2_publish(warehouse.scd2_apply(stored, changes, EARLY_DAY), path)
+    return spark.read.schema(schema).parquet(path)
+
+
+@query(_rebuilt(MIDDLE_DAY))
 def scd2_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     history = customer_zip(spark, folder, MIDDLE_DAY)
     return warehouse.scd2_rebuild(history, inputs.customer_versions(spark, folder), MIDDLE_DAY)
