@@ -57,6 +57,18 @@ def unpack(data: bytes) -> np.ndarray:
     return out
 
 
+def lists(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(rows).ravel()))
+
+
+def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy().reshape(-1, width)
+
+
 def gathered(docs: DataFrame) -> DataFrame:
     """Fewer, larger partitions, as larger chunks repeat fewer words: up to four input splits each, but
     at least two per core."""
@@ -88,12 +100,13 @@ class _Dictionary:
         return len(self.codes) >= self.limit or self.bytes >= BYTES_PER_CHUNK
 
 
-def dictionaries(docs: DataFrame, split: Split, learn: str | None = None,
+def dictionaries(docs: DataFrame, split: Split, group: str | None = None, groups: int = 1,
                  limit: int = WORDS_PER_CHUNK) -> DataFrame:
-    """(``chunk``, ``pos``, ``word``, ``n``): the distinct words of every chunk; ``n`` counts occurrences in the
-    rows where the column ``learn`` is true (in all rows without it)."""
+    """(``chunk``, ``pos``, ``word``, ``n``): the distinct words of every chunk. ``n`` counts their occurrences in rows whose
+    column ``group`` is 0, 1, ... below ``groups``; rows with another number count nowhere. Without a column
+    all rows are of group 0."""
     def run(batches: Batches) -> Batches:
-        book, n = _Dictionary(limit), np.zeros(1024, np.int64)
+        book, n = _Dictionary(limit), np.zeros((1024, groups), np.int64)
 
         def rows() -> Iterator[pa.RecordBatch]:
             words = list(book.codes)
@@ -101,25 +114,25 @@ def dictionaries(docs: DataFrame, split: Split, learn: str | None = None,
                 some = words[at:at + ROWS_OUT]
                 yield pa.RecordBatch.from_pydict({
                     "chunk": np.full(len(some), book.id), "pos": np.arange(at, at + len(some), dtype=np.int32),
-                    "word": pa.array(some, pa.binary()), "n": n[at:at + len(some)]})
+                    "word": pa.array(some, pa.binary()), "n": lists(n[at:at + len(some)])})
 
         for batch in batches:
-            flags = batch.column(learn).to_pylist() if learn else [True] * batch.num_rows
-            for text, counts in zip(utf8(batch), flags):
+            of = batch.column(group).to_pylist() if group else [0] * batch.num_rows
+            for text, g in zip(utf8(batch), of):
                 codes = book.code(text, split)
                 if len(book.codes) > len(n):
-                    n = np.concatenate([n, np.zeros(2 * len(book.codes) - len(n), np.int64)])
-                if counts and len(codes):
-                    found = np.bincount(codes)
-                    n[: len(found)] += found
+                    n = np.concatenate([n, np.zeros((2 * len(book.codes) - len(n), groups), np.int64)])
+                if g is not None and 0 <= g < groups and len(codes):
+                    numbers, count = np.unique(codes, return_counts=True)
+                    n[numbers, g] += count
                 if book.full:
                     yield from rows()
                     book.renew()
                     n[:] = 0
         yield from rows()
 
-    columns = ["text"] + ([learn] if learn else [])
-    return docs.select(*columns).mapInArrow(run, "chunk long, pos int, word binary, n long")
+    columns = ["text"] + ([group] if group else [])
+    return docs.select(*columns).mapInArrow(run, "chunk long, pos int, word binary, n array<long>")
 
 
 def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK) -> DataFrame:
