@@ -57,7 +57,7 @@ if __name__ == "__main__":
     from tidemark.session import build_session
 
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8",
-                                                  "spark.driver.memory": "8g"})
+                                                  "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = sys.argv[2:]

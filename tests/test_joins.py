@@ -55,7 +55,7 @@ def test_as_of_join(spark, limit):
     left, right = ([(rnd.choice(["a", "b", None]), rnd.randint(0, 99)) for _ in range(n)] for n in (60, 25))
     right = list(set(right))
     got = joins.as_of_join(timed(spark, left), timed(spark, right), "k", "et", "et", rows_per_slice=limit)
-    want = [(k, s, max((r for q, r in right if q == k and r <= s), default=None)) for k, s in left]
+    want = [(k, s, max((r for q, r in right if q == k is not None and r <= s), default=None)) for k, s in left]
     assert sorted(((r.k, r.s, r.right_s) for r in got.collect()), key=repr) == sorted(want, key=repr)
     inner = joins.as_of_join(timed(spark, left), timed(spark, right), "k", "et", "et", "inner", limit)
     assert inner.count() == sum(w[2] is not None for w in want)
@@ -122,7 +122,7 @@ def test_small_side_is_checked(spark):
     assert "broadcast" in plan(100) and "broadcast" not in plan(99)
     assert "broadcast" not in big.join(
         joins.small_side(dim, 100, 50), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert joins.lookup_join(big, dim.withColumn("x", F.lit(1)), ["id"], max_rows=5).where("x is null").count() == 900
+    assert joins.lookup_join(big, dim.withColumn("x", F.lit(1)), ["id"]).where("x is null").count() == 900
 
 
 def test_table_function_join(spark, rows):

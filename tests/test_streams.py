@@ -87,6 +87,25 @@ def test_tumbling_count_late(feed):
                    (10, "main", 0, 2)]
 
 
+def test_no_late_row_is_lost(feed):
+    """Rows hours behind, long after their window was given up."""
+    df = feed([("a", "", 1)], [("a", "", 8000), ("a", "", 8001)], [("a", "", 20)], [("z", "", 90000)], [("a", "", 3)],
+              [("z", "", 99000)])
+    out = drain(windows.tumbling_count_late(df, "key", "et", "10 seconds", lateness=5))
+    got = sorted((sec(r.window_start), r.kind, sec(r.at) or 0, r.n) for r in out.collect() if r.key == "a")
+    assert got == [(0, "late", 3, None), (0, "main", 0, 1), (20, "late", 20, None), (8000, "main", 0, 2)]
+
+
+def test_null_keys_match_nothing(feed):
+    left = feed([(None, "l", 1), ("a", "l", 1)], CLOSE)
+    right = feed([(None, "r", 1), ("a", "r", 1)], CLOSE)
+    out = drain(joins.interval_join_late(left, right, "key", "et", -2, 2, delay=3))
+    assert [(r.kind, r.left.key, r.right.key) for r in out.collect() if r.left.key != "y"] == [("match", "a", "a")]
+    log = drain(joins.changelog_join(feed([(None, "l", 1)]).drop("et"), feed([(None, "r", 2)]).drop("et"), "key", "at", "full"))
+    got = [(r.op, r.left and r.left.at, r.right and r.right.at) for r in log.collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [("+I", 1.0, None), ("+I", None, 2.0)]))
+
+
 def test_eager_window(feed):
     df = feed([("a", "", 1), ("a", "", 2)], [("a", "", 3), ("b", "", 4)], [("a", "", 11)],
               [("a", "", 5)], [("z", "", 500)])

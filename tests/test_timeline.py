@@ -63,3 +63,15 @@ def test_no_hot_key_leaves_one_plain_window(data):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "isFinalPlan=true" in final
     assert "BroadcastHashJoin" not in final
+
+
+def test_slices_are_of_equal_size(spark):
+    """A burst in one second, and one far-off time at each end."""
+    limit = 1000
+    df = spark.range(30_000).selectExpr(
+        "case when id = 0 then -2208988800L when id = 1 then 4070908800L when id < 20000 then 1700000000L * 1 + id / 20000 "
+        "else 1700000000L + id end at", "'k' k", "id").selectExpr("cast(at as double) at", "k", "id")
+    for keys in (["k"], []):
+        line = tl.Timeline(df, keys, ["at"], limit)
+        sizes = [r["count"] for r in line._df.groupBy(tl.SLICE).count().collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 2 * limit

@@ -37,11 +37,36 @@ def test_scd2_rerun_changes_nothing(spark, rows, tmp_path):
     seen = []
     for _ in range(2):
         table = spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
-        wh.scd2_publish(wh.scd2_apply(table, changes, "2020-06-15"), path)
+        wh.scd2_publish(wh.scd2_apply(table, changes, "2020-06-15"), path, "2020-06-15")
         seen.append(rows(spark.read.parquet(path).select("id", "start_date", "end_date")))
     assert seen[0] == seen[1] and len(seen[0]) == 5
 
 
+def test_scd2_corrected_rerun_loses_nothing(spark, rows, tmp_path):
+    schema = "id int, create_time string, operate_time string, start_date string, end_date string, dt string"
+    end = wh.OPEN_END
+    start = spark.createDataFrame([(i, "c", "o", "2024-01-01", end, end) for i in (1, 2, 3)], schema)
+    path = str(tmp_path / "zip")
+    wh.scd2_publish(start, path)
+    day = "2024-01-05"
+
+    def run(*changed):
+        changes = spark.createDataFrame([(i, "c", o, day, n) for n, (i, o) in enumerate(changed)],
+                                        "id int, create_time string, operate_time string, dt string, ts int")
+        table = spark.read.schema(schema).parquet(path)
+        whole = rows(wh.scd2_rebuild(table, changes, day))
+        wh.scd2_publish(wh.scd2_apply(table, changes, day), path, day)
+        got = rows(spark.read.schema(schema).parquet(path))
+        assert got == whole
+        return [(r[0], r[2], r[3], r[4]) for r in got]
+
+    run((1, "a"), (2, "b"))
+    assert run((1, "a2"), (3, "d")) == [
+        (1, "a2", day, end), (1, "o", "2024-01-01", "2024-01-04"), (2, "o", "2024-01-01", end),
+        (3, "d", day, end), (3, "o", "2024-01-01", "2024-01-04")]
+    assert run() == [(i, "o", "2024-01-01", end) for i in (1, 2, 3)]
+
+
 def test_max_concurrency(spark, rows):
     df = spark.createDataFrame([("r", 0, 100), ("r", 50, 4000), ("r", 100, 200), ("r", 3700, None), ("q", 5, 6)],
                                "room string, a long, b long")
@@ -50,8 +75,8 @@ def test_max_concurrency(spark, rows):
     assert rows(wh.max_concurrency(df, "room", "a", "b")) == [("q", 1), ("r", 2)]
 
 
-@pytest.mark.parametrize("unit", ["minute", "hour", "day"])
-def test_max_concurrency_any_slice(spark, unit):
+@pytest.mark.parametrize("limit", [5, 100, 10**6])
+def test_max_concurrency_any_slice(spark, limit):
     rnd = random.Random(3)
     data = [(s := rnd.randint(0, 20000), s + rnd.randint(1, 9000)) for _ in range(300)]
     df = spark.createDataFrame(data, "a long, b long").select(
@@ -64,7 +89,7 @@ def test_max_concurrency_any_slice(spark, unit):
     for at in sorted(changes):
         level += changes[at]
         best = max(best, level)
-    assert wh.max_concurrency(df, "k", "a", "b", unit).first()["max_user_count"] == best
+    assert wh.max_concurrency(df, "k", "a", "b", rows_per_slice=limit).first()["max_user_count"] == best
 
 
 @pytest.mark.parametrize("limit", [2, 10**6])

@@ -5,11 +5,12 @@ than ``rows_per_slice`` is cut along its ordering column into slices, the window
 (key, slice), and what earlier or later slices contribute is carried over from one summary row
 per slice. Results are those of the plain window.
 
-Sizes: a key is cut only above ``rows_per_slice`` rows, so at most ``N / rows_per_slice`` keys
-and ``2 * SPLIT * N / rows_per_slice`` summary rows are ever broadcast (10^12 rows at the
-default: 200,000 keys, 1.6 million summaries). When no key is that large both broadcast sides
-are empty and adaptive execution removes their joins and the summary pass; what remains is one
-column-pruned counting pass before the plain window.
+Sizes: a key is cut only above ``rows_per_slice`` rows, so at most ``N / rows_per_slice`` keys and
+``2 * SPLIT * N / rows_per_slice`` bounds, of eight bytes, are broadcast (10^12 rows at the default:
+200,000 keys, 800,000 bounds), and so many summary rows of the width of what is carried: carry ids, not
+payloads. When no key is that large these sides are empty and adaptive execution removes their joins and the summary
+pass; what remains is one column-pruned counting pass before the plain window. A key has ``GRID``
+slices at most: beyond ``GRID / SPLIT * rows_per_slice`` rows (5 * 10^9) its slices grow with it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import place
 
 ROWS_PER_SLICE = 5_000_000
-SPLIT = 4  # slices per ROWS_PER_SLICE rows, to absorb uneven density
+SPLIT = 2   # slices per ROWS_PER_SLICE rows, to absorb the error of the quantiles
+GRID = 2048  # most slices of one key
 
 SLICE = "_tl_slice"
 
@@ -140,29 +142,38 @@ class Timeline:
         self._df = df if _sliced else self._cut(df)
 
     def _cut(self, df: DataFrame) -> DataFrame:
+        """Number the slices of hot keys. Bounds are quantiles of the ordering column, found in a second pass over the hot
+        keys' rows only, so slices are of equal size however the rows lie."""
         at = place(df, self.order_by[0])
-        hot = (
-            df.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last"))
-            .where(F.col("rows") > self.rows_per_slice)
-            .select(*[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], F.struct(
-                "first", "last",
-                (F.ceil(F.col("rows") / self.rows_per_slice) * SPLIT).alias("parts")).alias("_tl_hot"))
-        )
+        many = F.count(F.lit(1)).alias("rows")
         if self.keys:
+            hot = df.groupBy(*self.keys).agg(many).where(F.col("rows") > self.rows_per_slice).select(
+                *[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], "rows")
             on = _same([(k, f"_tl_hot_{k}") for k in self.keys])
-            df, cut = df.join(F.broadcast(hot), on, "left"), F.col("_tl_hot")
+            rows = df.select(*self.keys, at.alias("_tl_at")).join(F.broadcast(hot), on)
+            bounds = rows.groupBy(*[F.col(f"_tl_hot_{k}") for k in self.keys]).agg(self._bounds())
+            df = df.join(F.broadcast(bounds), on, "left")
         else:
-            cut = hot.scalar()  # one timeline: its single row needs no join
-        first, last, parts = cut["first"], cut["last"], cut["parts"]
-        nth = F.floor((at - first) / (last - first) * parts)
-        number = (
-            F.when(parts.isNull(), F.lit(None))
-            .when((last > first) & at.isNotNull(), F.least(nth, parts - 1))
-            .otherwise(F.lit(0))
-        )
-        return df.withColumn(SLICE, number.cast("long")).drop(
-            "_tl_hot", *[f"_tl_hot_{k}" for k in self.keys])
+            bounds = df.select(at.alias("_tl_at")).agg(many, self._bounds()).where(
+                F.col("rows") > self.rows_per_slice).select("_tl_bounds")
+            df = df.withColumn("_tl_bounds", bounds.scalar())  # one timeline: its single row needs no join
+        cut = F.col("_tl_bounds")
+        # the number of bounds passed, found among every 64th first
+        step = 64
+        coarse = F.size(F.filter(F.sequence(F.lit(1), F.size(cut), F.lit(step)), lambda i: F.get(cut, i - 1) <= at))
+        begin = F.greatest(coarse - 1, F.lit(0)) * step
+        nth = begin + F.size(F.filter(F.slice(cut, begin + 1, step), lambda b: b <= at))
+        number = F.when(F.size(cut) > 0, F.when(at.isNull(), F.lit(0)).otherwise(nth)).when(cut.isNotNull(), F.lit(0))
+        return df.withColumn(SLICE, number.cast("long")).drop("_tl_bounds", *[f"_tl_hot_{k}" for k in self.keys])
+
+    def _bounds(self) -> Column:
+        """Where slices begin, ascending and distinct: quantiles of ``_tl_at`` in ``SPLIT`` parts for every
+        ``rows_per_slice`` rows, ``GRID`` at most."""
+        grid = F.percentile_approx("_tl_at", F.lit([i / GRID for i in range(1, GRID)]), F.lit(4 * GRID))
+        parts = F.least(F.ceil(F.count(F.lit(1)) / self.rows_per_slice) * SPLIT, F.lit(GRID)).cast("int")
+        picked = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get(
+            grid, F.floor(i * GRID / parts).cast("int") - 1))
+        return F.array_sort(F.array_distinct(F.filter(picked, lambda b: b.isNotNull()))).alias("_tl_bounds")
 
     def _with(self, df: DataFrame) -> Timeline:
         return Timeline(df, self.keys, self.order_by, self.rows_per_slice, _sliced=True)

@@ -12,10 +12,6 @@ from pyspark.sql import types as T
 from tidemark.functions.dates import later, place_of
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, latest, previous, running_sum
 
-SMALL_ROWS = 1_000_000
-SMALL_BYTES = 128 * 1024 * 1024
-
-
 def regular_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                  how: str = "inner") -> DataFrame:
     """Equi join, ``inner``, ``left``, ``right`` or ``full``.
@@ -26,23 +22,30 @@ def regular_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(right, list(keys), how)
 
 
+SMALL_ROWS = 1_000_000
+SMALL_BYTES = 128 * 1024 * 1024
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``max_rows`` rows of at most ``max_bytes``
-    together (measured as text), else ``df`` itself.
+    together (measured as text), else ``df`` itself. For tables only.
 
-    Rows are counted in place, without moving any; bytes are measured only when they are few.
+    One pass that ends after ``max_rows + 1`` rows, however large the table. Use it where the plan must
+    not depend on statistics; elsewhere Spark's own threshold does.
     """
-    if df.count() > max_rows:
-        return df
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= max_bytes else df
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left",
-                max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Rows enriched from a dimension, which is copied to every executor when small enough and
-    shuffled otherwise. ``facts`` may be a stream."""
-    return facts.join(small_side(dim, max_rows), list(keys), how)
+def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Rows enriched from a dimension. ``facts`` may be a stream.
+
+    Nothing is hinted: Spark copies the dimension to every executor when the size of its files or, at run
+    time, of its shuffle is below the broadcast threshold, and shuffles otherwise. A stream plans
+    every micro-batch anew, so the choice follows the dimension as it grows.
+    """
+    return facts.join(dim, list(keys), how)
 
 
 def table_function_join(left: DataFrame, rows: DataFrame) -> DataFrame:
@@ -141,8 +144,14 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_
 
     Both sides go into one ordered timeline and the last version seen is carried along: one
     shuffle and no pairs, where a range join would build every earlier version first. Columns of
-    ``versions`` other than the key get the prefix ``right_``. ``how``: ``left`` or ``inner``.
+    ``versions`` other than the key get the prefix ``right_``. ``how``: ``left`` or ``inner``. A null key
+    equals nothing.
     """
+    keyed = F.col(key).isNotNull()
+    names = [c for c in versions.columns if c != key]
+    unkeyed = left.where(~keyed).select(*left.columns, *[
+        F.lit(None).cast(versions.schema[c].dataType).alias(f"right_{c}") for c in names])
+    left, versions = left.where(keyed), versions.where(keyed)
     both = (
         left.select(F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_side"),
                     F.struct(*left.columns).alias("_row"),
@@ -159,8 +168,8 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_
     )
     if how == "inner":
         rows = rows.where(F.col("_seen").isNotNull())
-    return rows.select("_row.*", *[
-        F.col("_seen")[c].alias(f"right_{c}") for c in versions.columns if c != key])
+    found = rows.select("_row.*", *[F.col("_seen")[c].alias(f"right_{c}") for c in names])
+    return found if how == "inner" else found.unionByName(unkeyed)
 
 
 def history_join(left: DataFrame, zip_table: DataFrame, key: str, ts: str,

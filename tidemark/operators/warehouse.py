@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import Day, iso, later
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, previous, running_sum
-from tidemark.sources.tables import overwrite_partitions
+from tidemark.sources.tables import replace_partitions, swap_table
 
 OPEN_END = "9999-12-31"
 
@@ -38,49 +38,63 @@ def _opened(changes: DataFrame, day: Day, attributes: Sequence[str]) -> DataFram
                          F.lit(OPEN_END).alias("end_date"))
 
 
+def _before(zip_table: DataFrame, day: Day, columns: Sequence[str]) -> DataFrame:
+    """The rows open before the changes of ``day``: those opened earlier, and those an earlier run of ``day`` has closed."""
+    yesterday = F.lit(iso(day, -1))
+    was_open = (F.col("end_date") == OPEN_END) & (F.col("start_date") < F.lit(iso(day)))
+    return zip_table.where(was_open | (F.col("end_date") == yesterday)).select(*columns)
+
+
+def _step(zip_table: DataFrame, changes: DataFrame, day: Day, attributes: Sequence[str]) -> DataFrame:
+    """Open rows after ``day``, and those it closes: one join by id."""
+    old = _before(zip_table, day, ["id", *attributes, "start_date"])
+    new = _opened(changes, day, attributes)
+    at = F.struct(*attributes, "start_date")
+    both = old.select("id", at.alias("_old")).join(new.select("id", at.alias("_new")), "id", "full")
+    end = F.when(F.col("_new").isNotNull(), F.lit(iso(day, -1))).otherwise(F.lit(OPEN_END))
+    rows = F.array(F.struct(F.col("_old").alias("row"), end.alias("end_date")),
+                   F.struct(F.col("_new").alias("row"), F.lit(OPEN_END).alias("end_date")))
+    each = both.select("id", F.explode(F.filter(rows, lambda r: r["row"].isNotNull())).alias("_one"))
+    return each.select("id", "_one.row.*", F.col("_one.end_date").alias("end_date")).withColumn("dt", F.col("end_date"))
+
+
 def scd2_apply(zip_table: DataFrame, changes: DataFrame, day: Day,
                attributes: Sequence[str] = ("create_time", "operate_time")) -> DataFrame:
     """One day of changes applied to the open rows of a history table.
 
-    Reads only the open partition; returns that partition's new content plus the rows closed at
-    ``day - 1``, with ``dt = end_date``. ``changes``: id, attributes, ts, dt. An id has at most
-    one open row and one change, so the per-id window holds two rows.
+    Reads the open partition and that of the day before, and returns the new content of both, with
+    ``dt = end_date``. ``changes``: id, attributes, ts, dt. Days are applied in order. The last one may be
+    run again, with the same or corrected changes: rows it had opened are dropped and rows it had closed are
+    open again before its changes are applied.
     """
-    columns = ["id", *attributes, "start_date", "end_date"]
-    current = zip_table.where(F.col("dt") == OPEN_END).select(*columns)
-    both = current.union(_opened(changes, day, attributes).select(*columns)).distinct()
-    newest_first = Window.partitionBy("id").orderBy(F.desc("start_date"), F.desc("operate_time"))
-    closed = F.row_number().over(newest_first) == 2
-    return (
-        both.withColumn("end_date", F.when(closed, F.lit(iso(day, -1))).otherwise(F.col("end_date")))
-        .withColumn("dt", F.col("end_date"))
-    )
+    near = zip_table.where(F.col("dt").isin(OPEN_END, iso(day, -1)))
+    return _step(near, changes, day, attributes)
 
 
 def scd2_rebuild(zip_table: DataFrame, changes: DataFrame, day: Day,
                  attributes: Sequence[str] = ("create_time", "operate_time")) -> DataFrame:
-    """The same step over the whole history table: every old row kept, open rows of changed ids
-    closed at ``day - 1``, new rows opened. Only one day of ids is joined to the history."""
-    opened = _opened(changes, day, attributes)
-    changed = opened.select("id", F.lit(True).alias("_changed"))
-    closing = F.col("_changed") & (F.col("end_date") == OPEN_END)
-    kept = zip_table.join(changed, "id", "left").select(
-        "id", *attributes, "start_date",
-        F.when(closing, F.lit(iso(day, -1))).otherwise(F.col("end_date")).alias("end_date"))
-    return opened.unionByName(kept).withColumn("dt", F.col("end_date"))
+    """The same step over the whole history table, for ``swap_table``: rows closed before are kept as they are. May be run
+    again on its own output."""
+    columns = ["id", *attributes, "start_date", "end_date"]
+    closed = zip_table.where(F.col("end_date") < F.lit(iso(day, -1))).select(*columns)
+    return closed.withColumn("dt", F.col("end_date")).unionByName(_step(zip_table, changes, day, attributes))
 
 
-def scd2_publish(result: DataFrame, path: str) -> None:
-    """Write ``scd2_apply`` output over the partitions it touches."""
-    overwrite_partitions(result, path, "dt")
+def scd2_publish(result: DataFrame, path: str, day: Day | None = None) -> None:
+    """Write ``scd2_apply`` output for ``day`` over the two partitions it stands for; without a day, the whole table as it is
+    first loaded."""
+    if day is None:
+        swap_table(result, path, "dt")
+    else:
+        replace_partitions(result, path, "dt", [OPEN_END, iso(day, -1)])
 
 
-def max_concurrency(intervals: DataFrame, key: str, start: str, end: str,
-                    slice_unit: str = "hour") -> DataFrame:
+def max_concurrency(intervals: DataFrame, key: str, start: str, end: str, name: str = "max_user_count",
+                    rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Largest number of intervals open at once per key; events of one instant net out.
 
-    Changes are summed per (key, instant) map-side, the running sum runs per (key, slice of
-    time), and keys only meet in one row per slice. An interval with no end stays open.
+    Changes are summed per (key, instant) map-side; the running sum is cut by the number of instants, so
+    that a hot key is spread however its intervals lie. An interval with no end stays open.
     """
     changes = (
         intervals.select(
@@ -88,18 +102,9 @@ def max_concurrency(intervals: DataFrame, key: str, start: str, end: str,
                                    F.struct(F.col(end).alias("at"), F.lit(-1).alias("change")))))
         .select(key, "col.*").where(F.col("at").isNotNull())
         .groupBy(key, "at").agg(F.sum("change").alias("change"))
-        .withColumn("_slice", F.date_trunc(slice_unit, F.col("at")))
-    )
-    within = Window.partitionBy(key, "_slice").orderBy("at")
-    slices = (
-        changes.withColumn("_level", F.sum("change").over(within))
-        .groupBy(key, "_slice")
-        .agg(F.sum("change").alias("_net"), F.max("_level").alias("_peak"))
     )
-    earlier = (Window.partitionBy(key).orderBy("_slice")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    level = F.coalesce(F.sum("_net").over(earlier), F.lit(0)) + F.col("_peak")
-    return slices.withColumn("_level", level).groupBy(key).agg(F.max("_level").alias("max_user_count"))
+    level = Timeline(changes, [key], ["at"], rows_per_slice).running(_level=running_sum(F.col("change")))
+    return level.rows.groupBy(key).agg(F.max("_level").alias(name))
 
 
 def sessionize(views: DataFrame, user: str, ts: str, gap: float = 60,
@@ -121,7 +126,8 @@ def sessionize(views: DataFrame, user: str, ts: str, gap: float = 60,
     )
 
 
-def longest_streak(logins: DataFrame, user: str, ts: str, tolerance: int = 1) -> DataFrame:
+def longest_streak(logins: DataFrame, user: str, ts: str, tolerance: int = 1,
+                   name: str = "max_recent_days") -> DataFrame:
     """Longest run of login days per user, ``tolerance`` missed days in a row allowed.
 
     Rows become distinct (user, day) pairs before any window, so a user has at most one row per
@@ -135,11 +141,12 @@ def longest_streak(logins: DataFrame, user: str, ts: str, tolerance: int = 1) ->
         flagged.withColumn("_run", F.sum("_break").over(by_day))
         .groupBy(user, "_run")
         .agg((F.datediff(F.max("_day"), F.min("_day")) + 1).alias("_days"))
-        .groupBy(user).agg(F.max("_days").alias("max_recent_days"))
+        .groupBy(user).agg(F.max("_days").alias(name))
     )
 
 
-def covered_days(ranges: DataFrame, key: str, start: str, end: str) -> DataFrame:
+def covered_days(ranges: DataFrame, key: str, start: str, end: str,
+                 name: str = "promotion_day_count") -> DataFrame:
     """Days covered by closed date ranges per key, each day once.
 
     Ranges with one start collapse to the longest before the window: they cover the same days,
@@ -156,7 +163,7 @@ def covered_days(ranges: DataFrame, key: str, start: str, end: str) -> DataFrame
         .withColumn("_start", first)
         .where(F.col("_end") >= F.col("_start"))
         .groupBy(key)
-        .agg(F.sum(F.datediff("_end", "_start") + 1).alias("promotion_day_count"))
+        .agg(F.sum(F.datediff("_end", "_start") + 1).alias(name))
     )
 
 

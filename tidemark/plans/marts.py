@@ -136,6 +136,19 @@ def publish(spark: SparkSession, folder: str) -> DataFrame:
     return read_days(spark, path, iso(EARLY_DAY, -1), EARLY_DAY)
 
 
+@query(f"""WITH {inputs.REGISTER}
+{_published_day(iso(EARLY_DAY, -1)).format(n=1)}""")
+def publish_empty_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days of a mart loaded, and the second run again with no rows: it is empty afterwards, the first is not."""
+    path = scratch_path(spark, "user_stats")
+    register = inputs.register(spark, folder)
+    for run, day in enumerate((iso(EARLY_DAY, -1), EARLY_DAY, EARLY_DAY), 1):
+        td = summaries.build_td(inputs.logins(spark, folder), day)
+        mart = marts.user_stats(register, td, day).withColumn("run", F.lit(run))
+        publish_mart(mart.where("run < 3"), path, day)
+    return read_days(spark, path, iso(EARLY_DAY, -1), EARLY_DAY)
+
+
 def _reached(page: str) -> str:
     return f"""(SELECT count(DISTINCT user_id) FROM events WHERE event_type = '{page}'
                 AND strftime(ts, '%Y-%m-%d') BETWEEN {_from(EVENTS_DAY)} AND '{EVENTS_DAY}')"""

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import Day, iso
+from tidemark.session import written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +37,27 @@ def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
+def replace_partitions(df: DataFrame, path: str, by: str, values: Sequence[str]) -> None:
+    """Make ``df`` the content of exactly the partitions ``values``, also of those it has no rows for.
+
+    The new content is computed and written aside first, so ``df`` may read the table it replaces, and a
+    failure before the last step leaves the table as it was. A rerun after a later failure gives the
+    same table.
+    """
+    aside = written(df, "partitions")
+    for value in values:
+        part = aside.where(F.col(by) == F.lit(value)).drop(by)
+        part.hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/{by}={value}")
+
+
+def swap_table(df: DataFrame, path: str, by: str) -> None:
+    """Replace the whole table at ``path``, partitioned by ``by``. The new table is complete in the scratch folder before the
+    old one is touched, so ``df`` may read it."""
+    aside = written(df, "table")
+    aside.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        by).parquet(path)
+
+
 def publish(mart: DataFrame, path: str, day: Day) -> None:
-    """Load one day of a mart. Earlier days stay as they are, a rerun replaces the day."""
-    overwrite_partitions(mart.withColumn("dt", F.lit(iso(day))), path, "dt")
+    """Load one day of a mart. Earlier days stay as they are; a rerun replaces the day, also by nothing."""
+    replace_partitions(mart.withColumn("dt", F.lit(iso(day))), path, "dt", [iso(day)])

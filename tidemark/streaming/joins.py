@@ -4,6 +4,7 @@ watermarked streams as they are."""
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -15,7 +16,7 @@ from tidemark.functions.dates import later
 from tidemark.operators import joins
 from tidemark.operators.joins import prefixed, side_by_side
 from tidemark.streaming.streams import watermark
-from tidemark.streaming.windows import LogicalClock, micros
+from tidemark.streaming.windows import CLOCK, HORIZON, LogicalClock, late_watermark, micros
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
@@ -68,20 +69,35 @@ def _named(kind: T.StructType, row) -> dict | None:
 
 
 class IntervalJoinLate(LogicalClock):
-    """One cell of time of one key; both sides wait in list state."""
+    """One cell of time of one key. The rows of each side wait in map state, by slot of time: a new row reads
+    only the slots its partners can lie in, and pairs are found in sorted lists."""
 
     def __init__(self, left: T.StructType, right: T.StructType, lower: float, upper: float,
-                 cell: float, delay: float, horizon: float):
-        super().__init__(delay, horizon)
+                 cell: float, delay: float):
+        super().__init__(delay)
         self.types = (left, right)
         self.lower, self.upper = round(lower * 1e6), round(upper * 1e6)
         self.cell = cell
+        self.slot = max(1, (self.upper - self.lower) // 8)  # microseconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        row = lambda t: T.StructType([T.StructField("at", T.LongType()), T.StructField("row", t)])
-        self.sides = [handle.getListState("left", row(self.types[0])),
-                      handle.getListState("right", row(self.types[1]))]
+        held = [T.StructType([T.StructField("rows", T.ArrayType(T.StructType(
+            [T.StructField("at", T.LongType()), T.StructField("row", t)])))]) for t in self.types]
+        self.sides = [handle.getMapState("left", "slot long", held[0]), handle.getMapState("right", "slot long", held[1])]
+
+    def _held(self, side: int, first: int, last: int, read: dict) -> list[tuple]:
+        """Kept rows of a side with ``first <= at <= last``, by time."""
+        out = []
+        for slot in range(first // self.slot, last // self.slot + 1):
+            if slot not in read:
+                found = self.sides[side].getValue((slot,))
+                rows = [(r["at"], _values(r["row"])) if isinstance(r, dict) else (r[0], _values(r[1]))
+                        for r in (found[0] if found else [])]
+                read[slot] = sorted(rows, key=lambda r: r[0])
+            rows = read[slot]
+            out += rows[bisect_left(rows, first, key=lambda r: r[0]):bisect_right(rows, last, key=lambda r: r[0])]
+        return out
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         now = self.now(timerValues)
@@ -94,24 +110,35 @@ class IntervalJoinLate(LogicalClock):
                     yield Row(kind=("left_late", "right_late")[side],
                               left=None if side else _named(self.types[0], mine),
                               right=_named(self.types[1], mine) if side else None)
-            else:
+            elif key[0] is not None:  # a null key equals nothing
                 new[side].append((row["at"], mine))
-        kept = [[tuple(s) for s in state.get()] if new[1 - i] else []
-                for i, state in enumerate(self.sides)]
-        # new left rows meet all right rows, new right rows meet the left rows kept before
-        for lefts, rights in ((new[0], kept[1] + new[1]), (kept[0], new[1])):
-            for l_at, l_row in lefts:
-                for r_at, r_row in rights:
-                    if l_at + self.lower <= r_at <= l_at + self.upper:
-                        yield Row(kind="match", left=_named(self.types[0], l_row),
-                                  right=_named(self.types[1], r_row))
-        for state, rows_in in zip(self.sides, new):
-            if rows_in:
-                state.appendList(rows_in)
+        for side in (0, 1):
+            new[side].sort(key=lambda r: r[0])
+        # new left rows meet the right rows kept before and the new ones, new right rows the left rows kept before
+        seen: tuple[dict, dict] = ({}, {})
+        for l_at, l_row in new[0]:
+            first, last = l_at + self.lower, l_at + self.upper
+            fresh = new[1][bisect_left(new[1], first, key=lambda r: r[0]):bisect_right(new[1], last, key=lambda r: r[0])]
+            for _, r_row in (*self._held(1, first, last, seen[1]), *fresh):
+                yield self._match(l_row, r_row)
+        for r_at, r_row in new[1]:
+            for _, l_row in self._held(0, r_at - self.upper, r_at - self.lower, seen[0]):
+                yield self._match(l_row, r_row)
+        for side in (0, 1):
+            slots: dict[int, list] = {}
+            for at, mine in new[side]:
+                slots.setdefault(at // self.slot, []).append((at, mine))
+            for slot, more in slots.items():
+                low = slot * self.slot
+                kept = self._held(side, low, low + self.slot - 1, seen[side])
+                self.sides[side].updateValue((slot,), ([*kept, *more],))
         if new[0] or new[1]:
             end = (key[1] + 1) * self.cell * 1000 + max(self.upper // 1000, 0)
             self.wake(int(end) + 1)
 
+    def _match(self, left: tuple, right: tuple) -> Row:
+        return Row(kind="match", left=_named(self.types[0], left), right=_named(self.types[1], right))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         for state in self.sides:
             state.clear()
@@ -122,30 +149,31 @@ class IntervalJoinLate(LogicalClock):
 
 
 def interval_join_late(left: DataFrame, right: DataFrame, key: str, ts: str, lower: float,
-                       upper: float, delay: float, horizon: float = 3600) -> DataFrame:
-    """Interval join with rows behind the watermark tagged instead of dropped.
+                       upper: float, delay: float, horizon: float = HORIZON) -> DataFrame:
+    """Interval join with rows behind the watermark tagged instead of dropped, however late they are.
 
     Output: ``kind`` (``match``, ``left_late``, ``right_late``) and the whole rows ``left`` and
     ``right``. The watermark is the smaller one of the two streams. Grouped by key and cell of
     time, as in the batch ``interval_join``; cells are wider here, as each costs state and a
-    timer. A right row reaches one or two cells and is reported late from the first only.
+    timer. A right row reaches one or two cells and is reported late from the first only. A null
+    key equals nothing.
     """
-    wait = f"{round(horizon * 1000)} milliseconds"
-    both = side_by_side(watermark(left, ts, wait), watermark(right, ts, wait), key, ts)
+    both = side_by_side(late_watermark(left, ts, horizon), late_watermark(right, ts, horizon), key, ts, CLOCK)
     cell = max(1, 4 * math.ceil(upper - lower))
     number = lambda us: F.floor(us / F.lit(cell * 1e6)).cast("long")
     at = micros(ts)
     reach = F.sequence(number(at - F.lit(round(upper * 1e6))), number(at - F.lit(round(lower * 1e6))))
     cells = F.when(F.col("_side") == "l", F.array(number(at))).otherwise(reach)
     rows = both.select(
-        F.col(key).alias("key"), F.posexplode(cells).alias("_nth", "cell"), "_side", "_left",
-        "_right", at.alias("at"), F.col(ts),
+        F.col(key).alias("key"), F.posexplode(cells).alias("_nth", "cell"), "_side",
+        F.col("_left").dropFields(CLOCK).alias("_left"), F.col("_right").dropFields(CLOCK).alias("_right"),
+        at.alias("at"), CLOCK,
     ).withColumn("primary", F.col("_nth") == 0)
     types = (_struct(left_typed(left, ts)), _struct(left_typed(right, ts)))
     out = T.StructType([T.StructField("kind", T.StringType()), T.StructField("left", types[0]),
                         T.StructField("right", types[1])])
     return rows.groupBy("key", "cell").transformWithState(
-        IntervalJoinLate(*types, lower, upper, cell, delay, horizon), out, "append", "EventTime")
+        IntervalJoinLate(*types, lower, upper, cell, delay), out, "append", "EventTime")
 
 
 def left_typed(df: DataFrame, ts: str) -> DataFrame:
@@ -154,7 +182,8 @@ def left_typed(df: DataFrame, ts: str) -> DataFrame:
 
 
 class ChangelogJoin(StatefulProcessor):
-    """All rows of one key, both sides, in arrival order."""
+    """All rows of one key, both sides, in arrival order. How many rows each side has is kept apart: a side is
+    read only when a row of the other has to meet it."""
 
     def __init__(self, left: T.StructType, right: T.StructType, how: str):
         self.types, self.how = (left, right), how
@@ -162,12 +191,20 @@ class ChangelogJoin(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sides = [handle.getListState("left", self.types[0]),
                       handle.getListState("right", self.types[1])]
+        self.sizes = handle.getValueState("sizes", "n_left long, n_right long")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        kept = [[tuple(s) for s in state.get()] for state in self.sides]
-        known = [len(k) for k in kept]
+        known = list(self.sizes.get() or (0, 0))
+        new: tuple[list, list] = ([], [])
+        held: list[list | None] = [None, None]
         padded = (self.how in ("left", "full"), self.how in ("right", "full"))
 
+        def partners(side: int) -> Iterator[tuple]:
+            if known[side] and held[side] is None:
+                held[side] = [tuple(s) for s in self.sides[side].get()]
+            yield from held[side] or ()
+            yield from new[side]
+
         def out(op, at, step, side, mine, other):
             left, right = (other, mine) if side else (mine, other)
             return Row(op=op, at=at, step=step, left=_named(self.types[0], left),
@@ -177,19 +214,21 @@ class ChangelogJoin(StatefulProcessor):
             at = row["seq"]
             side = 0 if row["_side"] == "l" else 1
             mine = _values(row["_right"] if side else row["_left"])
-            partners = kept[1 - side]
+            others = known[1 - side] + len(new[1 - side])
             # partners alone so far were emitted padded; withdraw that first
-            if padded[1 - side] and not kept[side]:
-                for other in partners:
+            if others and padded[1 - side] and not known[side] + len(new[side]):
+                for other in partners(1 - side):
                     yield out("-D", at, 0, side, None, other)
-            for other in partners:
-                yield out("+I", at, 1, side, mine, other)
-            if padded[side] and not partners:
+            if others:
+                for other in partners(1 - side):
+                    yield out("+I", at, 1, side, mine, other)
+            elif padded[side]:
                 yield out("+I", at, 1, side, mine, None)
-            kept[side].append(mine)
-        for state, rows_now, n in zip(self.sides, kept, known):
-            if len(rows_now) > n:
-                state.appendList(rows_now[n:])
+            new[side].append(mine)
+        for state, rows_now in zip(self.sides, new):
+            if rows_now:
+                state.appendList(rows_now)
+        self.sizes.update((known[0] + len(new[0]), known[1] + len(new[1])))
 
     def close(self) -> None:
         pass
@@ -204,7 +243,8 @@ def changelog_join(left: DataFrame, right: DataFrame, key: str, seq: str,
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(how)
-    rows = side_by_side(left, right, key).withColumn(
+    keyed = F.col(key).isNotNull()
+    rows = side_by_side(left.where(keyed), right.where(keyed), key).withColumn(
         "seq", F.coalesce(F.col(f"_left.{seq}"), F.col(f"_right.{seq}")))
     types = (_struct(left), _struct(right))
     out = T.StructType([
@@ -213,4 +253,13 @@ def changelog_join(left: DataFrame, right: DataFrame, key: str, seq: str,
         T.StructField("right", types[1])])
     log = rows.groupBy(key).transformWithState(
         ChangelogJoin(*types, how), out, "append", "None")
+    # a null key equals nothing: such rows are padded at once and never withdrawn
+    for side, name in ((left, "left"), (right, "right")):
+        if how in (name, "full"):
+            own = F.struct(*side.columns).cast(types[name == "right"])
+            blank = F.lit(None).cast(types[name == "left"])
+            both = (own, blank) if name == "left" else (blank, own)
+            log = log.unionByName(side.where(~keyed).select(
+                F.lit("+I").alias("op"), F.col(seq).alias("at"), F.lit(1).alias("step"),
+                both[0].alias("left"), both[1].alias("right")))
     return log.withColumn(key, F.coalesce(F.col(f"left.{key}"), F.col(f"right.{key}")))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.windows import windowed
@@ -37,25 +40,24 @@ def hot_items(df: DataFrame, item: str, ts: str, size: str = "1 hour", slide: st
               n: int = 3, delay: str = "0 seconds", shards: int = 64) -> DataFrame:
     """The ``n`` most frequent items per sliding window, emitted once it closes.
 
-    Three chained aggregates: count per (window, item); best of each item shard; best of the
-    shards. A shard's list holds ``items / shards`` entries, so no task holds all items of a
-    window.
+    Rows are counted once, per item and pane of one slide; only pane counts are copied to the windows
+    they lie in. Then the best ``n`` of each shard of items, then of the shards: both keep ``n`` entries,
+    so no state and no task holds the items of a window. ``size`` is a multiple of ``slide``.
     """
-    counts = watermark(df, ts, delay).groupBy(F.window(ts, size, slide), item).agg(
-        F.count(F.lit(1)).alias("view_count"))
-    entry = F.struct((-F.col("view_count")).alias("order"), F.col(item).alias(item))
-
-    def best(entries: Column) -> Column:
-        return F.slice(F.sort_array(entries), 1, n)
-
-    sharded = (
-        counts.withColumn("_shard", F.pmod(F.hash(item), F.lit(shards)))
-        .groupBy("window", "_shard").agg(best(F.collect_list(entry)).alias("_best"))
-    )
-    top = sharded.groupBy("window").agg(best(F.flatten(F.collect_list("_best"))).alias("_best"))
-    return _flat(top.select("window", F.posexplode("_best").alias("_pos", "_entry")).select(
-        "window", F.col("_entry")[item].alias(item), (-F.col("_entry.order")).alias("view_count"),
-        (F.col("_pos") + 1).alias("rank")))
+    kind = df.schema[item].dataType
+    panes = watermark(df, ts, delay).groupBy(F.window(ts, slide), item).agg(F.count(F.lit(1)).alias("_n"))
+    counts = panes.groupBy(F.window("window", size, slide), item).agg(F.sum("_n").alias("_score"))
+    at = F.window_time("window")
+    entries = counts.select(
+        F.unix_millis(F.col("window.end")).alias("group"), F.pmod(F.xxhash64(item), F.lit(shards)).alias("shard"),
+        F.to_json(F.struct(F.col(item).alias("v"))).alias("item"), F.col("_score").alias("score"), at.alias("at"))
+    of_shard = _top(entries, ["group", "shard"], n)
+    top = _top(of_shard.select("group", F.lit(0).cast("long").alias("shard"), "item", "score", "at"), ["group", "shard"], n)
+    value = F.from_json("item", T.StructType([T.StructField("v", kind)]))["v"]
+    length = F.expr(f"INTERVAL {size}")
+    end = F.timestamp_millis("group")
+    return top.select((end - length).alias("window_start"), end.alias("window_end"), value.alias(item),
+                      F.col("score").alias("view_count"), "rank")
 
 
 def window_uv_exact(df: DataFrame, user: str, ts: str, size: str = "1 hour",
@@ -80,34 +82,50 @@ def session_counts(df: DataFrame, key: str, ts: str, gap: str, delay: str = "0 s
     return _flat(sessions.agg(F.count(F.lit(1)).alias("n")))
 
 
+HORIZON = 100 * 365 * 86_400.0  # seconds a row may be behind before Spark drops it: for ever, in effect
+_LIFT = 400 * 365 * 86_400_000  # milliseconds; keeps the engine's clock above zero for any time after 1600
+
+CLOCK = "_clock"
+
+
+def late_watermark(df: DataFrame, ts: str, horizon: float = HORIZON) -> DataFrame:
+    """``df`` with the column ``_clock`` as event time, on which rows count as late for Spark only beyond
+    ``horizon``. It runs ahead of ``ts``, so that the engine's watermark is the largest time seen, moved
+    by a constant, however large the horizon is."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    plain = F.col(ts).alias(ts, metadata={"comment": "event time of the row"})  # the clock takes over
+    ahead = F.timestamp_millis(F.unix_millis(ts) + F.lit(round(horizon * 1000) + _LIFT))
+    rows = df.select(*[plain if c == ts else F.col(c) for c in df.columns], ahead.alias(CLOCK))
+    return rows.withWatermark(CLOCK, f"{round(horizon * 1000)} milliseconds")
+
+
 class LogicalClock(StatefulProcessor):
-    """A processor that sees late rows.
+    """A processor that sees late rows, on a stream marked by ``late_watermark``.
 
     Spark drops rows behind its watermark before user code runs. The engine is therefore given
-    a larger delay, ``horizon``, and the watermark asked for is worked out from it. Times are
-    milliseconds; timers are registered on the engine's clock.
+    a huge delay, and the watermark asked for, ``delay`` seconds behind the largest time, is worked out
+    from it. Times are milliseconds; timers are registered on the engine's clock.
     """
 
-    def __init__(self, delay: float, horizon: float):
-        if horizon < delay:
-            raise ValueError("horizon must not be smaller than delay")
-        self.shift = round((horizon - delay) * 1000)
+    def __init__(self, delay: float):
+        self.behind = round(delay * 1000) + _LIFT
 
     def now(self, timer_values) -> int | None:
         """The watermark, or None before the first one."""
         engine = timer_values.getCurrentWatermarkInMs()
-        return engine + self.shift if engine > 0 else None
+        return engine - self.behind if engine > 0 else None
 
     def wake(self, at_ms: int) -> None:
         """Run ``handleExpiredTimer`` once the watermark reaches ``at_ms``."""
-        self.handle.registerTimer(max(at_ms - self.shift, 1))
+        self.handle.registerTimer(max(at_ms + self.behind, 1))
 
 
 class CountWithLate(LogicalClock):
     """One window of one key. ``phase``: 0 open, 1 fired."""
 
-    def __init__(self, lateness: float, delay: float, horizon: float):
-        super().__init__(delay, horizon)
+    def __init__(self, lateness: float, delay: float):
+        super().__init__(delay)
         self.lateness = round(lateness * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -157,23 +175,23 @@ class CountWithLate(LogicalClock):
 
 
 def tumbling_count_late(df: DataFrame, key: str, ts: str, size: str, delay: float = 0,
-                        lateness: float = 5, horizon: float = 3600,
+                        lateness: float = 5, horizon: float = HORIZON,
                         arrival: str | None = None) -> DataFrame:
     """Streaming form of ``operators.windows.tumbling_count_late``, same columns.
 
-    Grouped by (key, window), so a hot key is spread over its windows. Rows more than
-    ``horizon`` seconds behind are dropped by Spark before they can be tagged. ``arrival`` orders
-    the rows of one micro-batch.
+    Grouped by (key, window), so a hot key is spread over its windows. No row is lost: each is
+    counted, counted ``again`` or tagged ``late``. Only a smaller ``horizon`` lets Spark drop rows
+    further behind. ``arrival`` orders the rows of one micro-batch.
     """
     typed = df.schema[key].dataType.simpleString()
-    marked = watermark(df, ts, f"{round(horizon * 1000)} milliseconds")
+    marked = late_watermark(df, ts, horizon)
     ms = lambda c: F.unix_millis(c)
     rows = windowed(marked, ts, size).select(
         F.col(key).alias("key"), ms(F.col("window_start")).alias("start"),
         ms(F.col("window_end")).alias("end"), micros(ts).alias("at"),
-        (F.col(arrival) if arrival else micros(ts)).alias("arrival"), F.col(ts))
+        (F.col(arrival) if arrival else micros(ts)).alias("arrival"), CLOCK)
     out = rows.groupBy("key", "start", "end").transformWithState(
-        CountWithLate(lateness, delay, horizon),
+        CountWithLate(lateness, delay),
         f"kind string, at long, n long, key {typed}, start long, end long", "append", "EventTime")
     return out.select(
         F.col("key").alias(key), F.timestamp_millis("start").alias("window_start"),
@@ -210,17 +228,16 @@ class EagerCount(LogicalClock):
         pass
 
 
-def eager_window(df: DataFrame, key: str, ts: str, size: str, delay: float = 0,
-                 horizon: float = 3600) -> DataFrame:
+def eager_window(df: DataFrame, key: str, ts: str, size: str, delay: float = 0) -> DataFrame:
     """Streaming form of ``operators.windows.eager_window``: one row per element, and one when
-    the window ends. ``tumbling_count`` in update mode is the cheaper form, once per batch."""
+    the window ends; elements after that are dropped. ``tumbling_count`` in update mode is the cheaper form, once per batch."""
     typed = df.schema[key].dataType.simpleString()
-    marked = watermark(df, ts, f"{round(horizon * 1000)} milliseconds")
+    marked = late_watermark(df, ts)
     rows = windowed(marked, ts, size).select(
         F.col(key).alias("key"), F.unix_millis("window_start").alias("start"),
-        F.unix_millis("window_end").alias("end"), F.col(ts))
+        F.unix_millis("window_end").alias("end"), CLOCK)
     out = rows.groupBy("key", "start", "end").transformWithState(
-        EagerCount(delay, horizon), f"kind string, n long, key {typed}, start long, end long",
+        EagerCount(delay), f"kind string, n long, key {typed}, start long, end long",
         "append", "EventTime")
     return out.select(
         F.col("key").alias(key), F.timestamp_millis("start").alias("window_start"),
@@ -228,7 +245,7 @@ def eager_window(df: DataFrame, key: str, ts: str, size: str, delay: float = 0,
 
 
 class TopN(StatefulProcessor):
-    """Keeps the best ``n`` entries of a group in list state and emits them on its timer."""
+    """Keeps the best ``n`` entries of a (group, shard) in list state and emits them on its timer."""
 
     def __init__(self, n: int):
         self.n = n
@@ -244,31 +261,49 @@ class TopN(StatefulProcessor):
             if len(kept) > 50 * self.n:
                 kept = self._top(kept)
         self.best.put(self._top(kept))
-        self.handle.registerTimer(key[0] + 1)
+        # a group is complete when the watermark has reached its end
+        self.handle.registerTimer(key[0])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        at = datetime.fromtimestamp(key[0] / 1000)
         for rank, (score, item) in enumerate(self._top([tuple(e) for e in self.best.get()]), 1):
-            yield Row(group=key[0], item=item, score=score, rank=rank)
+            yield Row(group=key[0], shard=key[1], item=item, score=score, rank=rank, at=at)
         self.best.clear()
 
     def _top(self, entries):
-        return sorted(entries, key=lambda e: (-e[0], e[1]))[:self.n]
+        return sorted(entries, key=lambda e: (-e[0], _plain(e[1])))[:self.n]
 
     def close(self) -> None:
         pass
 
 
-def top_n_keyed(df: DataFrame, group_end: str, ts: str, item: str, score: str, n: int) -> DataFrame:
+def _plain(item: str):
+    """An item as it sorts: numbers in JSON by value, all else as text."""
+    if item.startswith('{"v":'):
+        value = json.loads(item)["v"]
+        return (0, value, "") if isinstance(value, (int, float)) else (1, 0, str(value))
+    return (1, 0, item)
+
+
+def _top(rows: DataFrame, by: list[str], n: int) -> DataFrame:
+    return rows.groupBy(*by).transformWithState(
+        TopN(n), "group long, shard long, item string, score long, rank int, at timestamp", "append", "EventTime",
+        eventTimeColumnName="at")
+
+
+def top_n_keyed(df: DataFrame, group_end: str, ts: str, item: str, score: str, n: int, shards: int = 16) -> DataFrame:
     """Best ``n`` rows per group, emitted when the watermark passes the group's end time.
 
-    ``df`` is watermarked on ``ts`` and has one row per group and item. State holds ``n`` entries
-    per group, whatever the number of rows. Ties go by item as text.
+    ``df`` is watermarked on ``ts`` and has one row per group and item. Items are ranked per shard first, so that
+    a group's items are spread over tasks; state holds ``n`` entries per group and shard, whatever the number
+    of rows. Ties go by item as text.
     """
     rows = df.select(
-        F.unix_millis(group_end).alias("group"), F.col(item).cast("string").alias("item"),
-        F.col(score).cast("long").alias("score"), F.col(ts))
-    out = rows.groupBy("group").transformWithState(
-        TopN(n), "group long, item string, score long, rank int", "append", "EventTime")
-    return out.select(F.timestamp_millis("group").alias(group_end), F.col("item").alias(item),
+        F.unix_millis(group_end).alias("group"), F.pmod(F.xxhash64(item), F.lit(shards)).alias("shard"),
+        F.col(item).cast("string").alias("item"), F.col(score).cast("long").alias("score"), F.col(ts).alias("at"))
+    of_shard = _top(rows, ["group", "shard"], n)
+    out = _top(of_shard.select("group", F.lit(0).cast("long").alias("shard"), "item", "score", "at"), ["group", "shard"], n)
+    kind = df.schema[item].dataType
+    return out.select(F.timestamp_millis("group").alias(group_end), F.col("item").cast(kind).alias(item),
                       F.col("score").alias(score), "rank")
