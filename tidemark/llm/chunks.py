@@ -1,10 +1,12 @@
-"""Documents as codes of a chunk's own words, to join a value to every word of a large corpus.
+"""Documents as codes of a chunk's own words, to give every word of a large corpus a value.
 
-One row per word occurrence is far too much to shuffle. The documents of a partition therefore share
-a dictionary: it is shuffled with one row per distinct word of the chunk, while a document travels
-as the list of its words' numbers in that dictionary (a byte or two each). A chunk ends when its
-dictionary or its share of text is full, so memory does not follow the input. No word is hot after that: it occurs once
-per chunk however often the texts repeat it.
+One row per word occurrence is far too much to shuffle, and so is one row per document and word. The
+documents of a partition therefore share a dictionary, and a document travels as the list of its
+words' numbers in it (a byte or two each). The dictionaries go to buckets by the hash of the word, a
+packed list per chunk and bucket: in its bucket each distinct word of the corpus is worked on once,
+and the values go back to the chunks as packed lists too. A chunk ends when its dictionary or its
+share of text is full, so memory does not follow the input. No word is hot: it occurs once per chunk
+however often the texts repeat it.
 
 The dictionaries and the coded documents are two passes over the same input. Chunks are named after
 the partition, so the input must give the same partitions twice, as files do; hand a derived
@@ -14,49 +16,63 @@ DataFrame over as a written table.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.text import Batches, fields, utf8
 
-WORDS_PER_CHUNK = 1_000_000
-BYTES_PER_CHUNK = 96 << 20
-ROWS_OUT = 100_000
+WORDS_PER_CHUNK = 500_000
+BYTES_PER_CHUNK = 64 << 20
+ROWS_OUT = 512
 
 Split = Callable[[bytes], list[bytes]]
 
 
 def pack(codes: np.ndarray) -> bytes:
     """Small numbers as variable-length bytes: seven bits each, the last byte below 128."""
-    codes = codes.astype(np.uint64)
-    length = 1 + (codes >= 1 << 7) + (codes >= 1 << 14) + (codes >= 1 << 21) + (codes >= 1 << 28)
-    end = np.cumsum(length)
-    out = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
-    for back in range(5):
-        has = length > back
-        part = (codes[has] >> np.uint64(7 * back)) & np.uint64(127)
+    codes = codes.astype(np.uint32)
+    if not len(codes) or codes.max() < 128:
+        return codes.astype(np.uint8).tobytes()
+    length = 1 + (codes >= 1 << 7).astype(np.int8) + (codes >= 1 << 14) + (codes >= 1 << 21) + (codes >= 1 << 28)
+    end = np.cumsum(length, dtype=np.int64)
+    out = np.empty(int(end[-1]), np.uint8)
+    for back in range(int(length.max())):
+        has = length > back if back else slice(None)
+        part = (codes[has] >> np.uint32(7 * back)) & np.uint32(127)
         out[end[has] - 1 - back] = part.astype(np.uint8) | (128 if back else 0)
     return out.tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
-    end = np.flatnonzero(raw < 128)
-    start = np.concatenate([[0], end[:-1] + 1]).astype(np.int64)
-    length = end - start + 1 if len(end) else np.zeros(0, np.int64)
-    out = np.zeros(len(end), np.int32)
-    for back in range(int(length.max()) if len(length) else 0):
-        has = length > back
+    last = raw < 128
+    if last.all():
+        return raw.astype(np.int32)
+    end = np.flatnonzero(last)
+    length = np.diff(end, prepend=-1)
+    out = raw[end].astype(np.int32)
+    for back in range(1, int(length.max())):
+        has = np.flatnonzero(length > back)
         out[has] |= (raw[end[has] - back].astype(np.int32) & 127) << (7 * back)
     return out
 
 
+def pack_words(words: list[bytes]) -> tuple[bytes, bytes]:
+    return b"".join(words), pack(np.fromiter(map(len, words), np.int64, len(words)))
+
+
+def unpack_words(data: bytes, sizes: bytes) -> list[bytes]:
+    ends = np.cumsum(unpack(sizes), dtype=np.int64).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def lists(rows: np.ndarray) -> pa.Array:
     """The rows of a matrix as lists."""
     ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
@@ -77,11 +93,16 @@ def gathered(docs: DataFrame) -> DataFrame:
     return docs.coalesce(max(1, min(parts, max(2 * cores, -(-parts // 4)))))
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """Two for each partition: what meets in a bucket is about half a chunk's words, however many chunks there are."""
+    return max(8, 2 * docs.rdd.getNumPartitions())
+
+
 class _Dictionary:
     """The chunks of one partition, in order."""
 
-    def __init__(self, limit: int):
-        self.limit, self.part, self.chunk = limit, TaskContext.get().partitionId(), -1
+    def __init__(self, limit: int, part: int):
+        self.limit, self.part, self.chunk = limit, part, -1
         self.renew()
 
     def renew(self) -> None:
@@ -100,39 +121,49 @@ class _Dictionary:
         return len(self.codes) >= self.limit or self.bytes >= BYTES_PER_CHUNK
 
 
-def dictionaries(docs: DataFrame, split: Split, group: str | None = None, groups: int = 1,
+def dictionaries(docs: DataFrame, split: Split, buckets: int, group: str | None = None, groups: int = 1,
                  limit: int = WORDS_PER_CHUNK) -> DataFrame:
-    """(``chunk``, ``pos``, ``word``, ``n``): the distinct words of every chunk. ``n`` counts their occurrences in rows whose
-    column ``group`` is 0, 1, ... below ``groups``; rows with another number count nowhere. Without a column
-    all rows are of group 0."""
+    """(``bucket``, ``chunk``, ``pos``, ``words``, ``sizes``, ``n``): the distinct words of every chunk, those of one bucket packed
+    together, with the steps between their numbers (``pos``). ``n`` packs, word by word, their occurrences in
+    rows whose column ``group`` is 0, 1, ... below ``groups``; rows with another number count nowhere, and
+    without a column nothing is counted."""
     def run(batches: Batches) -> Batches:
-        book, n = _Dictionary(limit), np.zeros((1024, groups), np.int64)
+        book, n = None, np.zeros((1024, groups), np.int64)
 
-        def rows() -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
             words = list(book.codes)
-            for at in range(0, len(words), ROWS_OUT):
-                some = words[at:at + ROWS_OUT]
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": np.full(len(some), book.id), "pos": np.arange(at, at + len(some), dtype=np.int32),
-                    "word": pa.array(some, pa.binary()), "n": lists(n[at:at + len(some)])})
+            bucket = np.fromiter((crc32(w) % buckets for w in words), np.int32, len(words))
+            order = np.argsort(bucket, kind="stable")
+            out: dict[str, list] = {c: [] for c in ("bucket", "chunk", "pos", "words", "sizes", "n")}
+            for b, mine in enumerate(np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))):
+                if len(mine):
+                    data, sizes = pack_words([words[i] for i in mine.tolist()])
+                    row = (b, book.id, pack(np.diff(mine, prepend=0)), data, sizes, pack(n[mine].ravel()) if group else b"")
+                    for c, v in zip(out, row):
+                        out[c].append(v)
+            kinds = {"bucket": pa.int32(), "chunk": pa.int64()}
+            return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in out.items()})
 
         for batch in batches:
-            of = batch.column(group).to_pylist() if group else [0] * batch.num_rows
+            book = book or _Dictionary(limit, batch.column("_part")[0].as_py())
+            of = batch.column(group).to_pylist() if group else [-1] * batch.num_rows
             for text, g in zip(utf8(batch), of):
                 codes = book.code(text, split)
-                if len(book.codes) > len(n):
+                if group and len(book.codes) > len(n):
                     n = np.concatenate([n, np.zeros((2 * len(book.codes) - len(n), groups), np.int64)])
                 if g is not None and 0 <= g < groups and len(codes):
-                    numbers, count = np.unique(codes, return_counts=True)
-                    n[numbers, g] += count
+                    numbers, times = np.unique(codes, return_counts=True)
+                    n[numbers, g] += times
                 if book.full:
-                    yield from rows()
+                    yield rows()
                     book.renew()
                     n[:] = 0
-        yield from rows()
+        if book and book.codes:
+            yield rows()
 
     columns = ["text"] + ([group] if group else [])
-    return docs.select(*columns).mapInArrow(run, "chunk long, pos int, word binary, n array<long>")
+    return docs.select(*columns, F.spark_partition_id().alias("_part")).mapInArrow(
+        run, "bucket int, chunk long, pos binary, words binary, sizes binary, n binary")
 
 
 def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK) -> DataFrame:
@@ -143,8 +174,9 @@ def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK) -> DataFr
         T.StructType.fromDDL("_chunk long, _codes binary").fields))
 
     def run(batches: Batches) -> Batches:
-        book = _Dictionary(limit)
+        book = None
         for batch in batches:
+            book = book or _Dictionary(limit, batch.column("_part")[0].as_py())
             chunk, codes = [], []
             for text in utf8(batch):
                 chunk.append(book.id)
@@ -155,35 +187,56 @@ def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK) -> DataFr
                 [*(batch.column(c) for c in kept), pa.array(chunk, pa.int64()), pa.array(codes, pa.binary())],
                 [*kept, "_chunk", "_codes"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.select(*docs.columns, F.spark_partition_id().alias("_part")).mapInArrow(run, schema)
 
 
-def assembled(coded_docs: DataFrame, values: DataFrame, value_columns: list[str],
-              work: Callable[[dict[str, pa.ChunkedArray], Iterator[np.ndarray]], dict], added: str) -> DataFrame:
+def assembled(coded_docs: DataFrame, values: DataFrame,
+              prepare: Callable[[np.ndarray, list[tuple[int, int]], list[bytes], list[bytes]], object],
+              work: Callable[[object, Iterable[np.ndarray]], dict], added: str) -> DataFrame:
     """Give every document the values of its words.
 
-    ``values`` has (``chunk``, ``pos``) and the value columns, a row for each word of ``dictionaries``.
-    ``work`` gets the value columns of one chunk in the order of ``pos`` and, one by one, the word numbers of
-    its documents; it returns the columns ``added``."""
+    ``values`` has (``chunk``, ``pos``, ``a``, ``b``): for each row of ``dictionaries`` the values of its words in two packed
+    forms. Per chunk, they come first: ``prepare`` gets the numbers of the words in the order of the rows, the
+    parts of that order that each row holds, and the rows' ``a`` and ``b``; then ``work`` turns what it
+    returned and the word numbers of a few documents at a time into the columns ``added``."""
     kept = [c for c in coded_docs.columns if c not in ("_chunk", "_codes")]
     extra = T.StructType.fromDDL(added)
     schema = T.StructType(fields(coded_docs, kept) + list(extra.fields))
+    none = [F.lit(None).cast(coded_docs.schema[c].dataType).alias(c) for c in kept]
+    blank = F.lit(None).cast("binary")
+    rows = values.select(F.col("chunk").alias("_chunk"), F.lit(0).alias("_kind"), F.col("pos").alias("_codes"),
+                         F.col("a").alias("_a"), F.col("b").alias("_b"), *none).union(
+        coded_docs.select("_chunk", F.lit(1).alias("_kind"), "_codes", blank.alias("_a"), blank.alias("_b"), *kept))
 
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words.column("pos").to_numpy())
-        words = words.take(pa.array(order))
-
-        def codes() -> Iterator[np.ndarray]:
-            for value in docs.column("_codes"):
-                numbers = unpack(value.as_py())
-                if len(numbers) and numbers.max() >= words.num_rows:
-                    raise ValueError("the documents were dealt out differently in the two passes")
-                yield numbers
-
-        made = work({c: words.column(c) for c in value_columns}, codes())
-        arrays = [docs.column(c) for c in kept] + [pa.array(made[f.name]) for f in extra.fields]
-        return pa.table(arrays, names=[*kept, *(f.name for f in extra.fields)])
-
-    left = coded_docs.groupBy("_chunk")
-    right = values.select("chunk", "pos", *value_columns).groupBy("chunk")
-    return left.cogroup(right).applyInArrow(run, schema)
+    def run(batches: Batches) -> Batches:
+        chunk, parts, state = None, [], None
+        for batch in batches:
+            names = np.stack([batch.column("_chunk").to_numpy(), batch.column("_kind").to_numpy()])
+            cuts = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                if names[0, begin] != chunk:
+                    chunk, parts, state = names[0, begin], [], None
+                part = batch.slice(begin, end - begin)
+                if names[1, begin] == 0:
+                    parts += zip(*(part.column(c).to_pylist() for c in ("_codes", "_a", "_b")))
+                    continue
+                if state is None:
+                    numbers = [np.cumsum(unpack(p[0]), dtype=np.int64) for p in parts]
+                    ends = np.cumsum([0, *map(len, numbers)]).tolist()
+                    total = ends[-1]
+                    state = prepare(np.concatenate([*numbers, np.zeros(0, np.int64)]), list(zip(ends, ends[1:])),
+                                    [p[1] for p in parts], [p[2] for p in parts])
+                    parts = []
+                for at in range(0, part.num_rows, ROWS_OUT):
+                    some = part.slice(at, ROWS_OUT)
+                    codes = [unpack(v) for v in some.column("_codes").to_pylist()]
+                    if any(len(c) and c.max() >= total for c in codes):
+                        raise ValueError("the documents were dealt out differently in the two passes")
+                    made = work(state, codes)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(some.column(c) for c in kept), *(pa.array(made[f.name]) for f in extra.fields)],
+                        [*kept, *(f.name for f in extra.fields)])
+
+    return rows.repartition("_chunk").sortWithinPartitions("_chunk", "_kind").mapInArrow(run, schema)

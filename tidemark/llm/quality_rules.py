@@ -69,7 +69,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     kept = without(docs, ["text", *COUNTS])
 
     def work(batch: pa.RecordBatch) -> dict:
-        texts = utf8(batch)
+        texts = list(utf8(batch))
         ends = np.cumsum([len(t) for t in texts])
         data = np.frombuffer(b"".join(texts), np.uint8)
         words = [t.split() for t in texts]

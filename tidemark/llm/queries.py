@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, bpe, chat, ctw, mixing, quality_net, quality_rules, simhash, suffix_dedup, warc
+from tidemark.llm.text import small_batches
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +22,12 @@ TARGETS = {"clean": 0.9, "toxic": 0.05, "low": 0.05}
 
 def query(sql: str | None = None):
     def register(run):
-        QUERIES[run.__name__] = run
+        @wraps(run)
+        def prepared(spark: SparkSession, folder: str) -> DataFrame:
+            small_batches(spark)
+            return run(spark, folder)
+
+        QUERIES[run.__name__] = prepared
         if sql is not None:
             ORACLES[run.__name__] = sql
         return run
@@ -176,7 +183,7 @@ def op7_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded and decoded, as digests."""
     model = tokenizer()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, model), model))
+    return bpe.digests(bpe.encode(docs, model), model)
 
 
 @query()

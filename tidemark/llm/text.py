@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +21,23 @@ Batches = Iterator[pa.RecordBatch]
 WHITE = r"[ \t\n\x0B\f\r]"
 
 
-def utf8(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
-    """The texts of a batch as bytes; null is empty."""
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of 8 MB rather than 64: an executor holds several of them per core. A setting of the
+    session, for jobs over long texts; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def utf8(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
+    """The texts of a batch as bytes, a few at a time; null is empty."""
     values = batch.column(column)
     if not pa.types.is_binary(values.type):
         values = values.cast(pa.binary())
-    return [v or b"" for v in values.to_pylist()]
+    for at in range(0, len(values), 256):
+        for value in values.slice(at, 256).to_pylist():
+            yield value or b""
 
 
 def row_key(df: DataFrame) -> Column:
