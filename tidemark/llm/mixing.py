@@ -90,7 +90,8 @@ def posteriors(docs: DataFrame, weights: DataFrame, domains: list[str]) -> DataF
     found = _cells(docs).join(F.broadcast(weights), "cell", "left")
     end = F.count(F.when(F.col("cell") == 0, 1))
     sums = [F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)) / end for i in range(len(domains))]
-    scored = found.groupBy("doc").agg(F.max("tokens").alias("tokens"), end.alias("copies"), F.array(*sums).alias("z"))
+    z = F.array(*sums).cast("array<double>")
+    scored = found.groupBy("doc").agg(F.max("tokens").alias("tokens"), end.alias("copies"), z.alias("z"))
     top = F.array_max("z")
     odds = F.transform("z", lambda z: F.exp(z - top))
     total = F.aggregate(odds, F.lit(0.0), lambda s, x: s + x)

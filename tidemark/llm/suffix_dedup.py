@@ -6,7 +6,8 @@ passage select the same positions inside it, and every passage of ``least`` word
 
 The suffixes are sorted by the hash of their first words; equal neighbours are compared with the
 first of them (the smallest document and position), and matches are extended word by word to the
-left and right. What is known of a suffix that has no equal neighbour never leaves the first
+left and right. Where the first shares too little, the others of its group are compared by all
+windows of ``least`` words around them. What is known of a suffix that has no equal neighbour never leaves the first
 shuffle. Groups are only aggregated and joined, so a passage in a third of all documents is spread
 by adaptive execution; a suffix's neighbourhood travels as ``2 * reach`` word hashes, never as text.
 
@@ -153,7 +154,9 @@ def _merged(spans: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     """(``doc``, ``row``, ``start``, ``end``, ``first_doc``, ``kept``): passages of ``least`` words or more (from word ``start``
     up to ``end``) that two documents share. ``kept`` spans are those that stay, in the smallest document;
-    the others repeat text of ``first_doc``. ``row`` tells apart rows with one doc_id; rows without an id
+    the others repeat text of ``first_doc``. Every such passage is found; where documents of one group share more
+    with each other than with its first, the ends of a span (less than ``least`` words) may be cut to what the
+    first has. ``row`` tells apart rows with one doc_id; rows without an id
     take no part, and rows equal in id, source and text count as one document."""
     reach = least - PREFIX
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), row_key(docs).alias("row"), "text").where(
@@ -171,13 +174,47 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     around = written(_contexts(rows, wanted, reach), "suffix-contexts")
     of_first = around.select(*[F.col(c).alias(f"{c}0") for c in around.columns])
     both = pairs.join(around, ["doc", "row", "pos"]).join(of_first, ["doc0", "row0", "pos0"])
-    matched = _extended(both, reach).where(F.col("l") + F.col("r") + PREFIX >= least)
+    compared = written(_extended(both, reach), "suffix-compared")
+    long_enough = F.col("l") + F.col("r") + PREFIX >= least
+    matched = compared.where(long_enough)
     spans = matched.select("doc", "row", (F.col("pos") - F.col("l")).alias("start"),
                            (F.col("pos") + PREFIX + F.col("r")).alias("end"), F.col("doc0").alias("first_doc"),
                            F.lit(False).alias("kept"))
     firsts = matched.select("doc0", "row0", F.col("pos0") - F.col("l"), F.col("pos0") + PREFIX + F.col("r"), "doc0",
                             F.lit(True))
-    return _merged(spans.union(firsts))
+    among = _among_others(pairs, compared.where(~long_enough), around, least)
+    return _merged(spans.union(firsts).union(among))
+
+
+def _among_others(pairs: DataFrame, short: DataFrame, around: DataFrame, least: int) -> DataFrame:
+    """Spans that suffixes share with each other where the first of their group shares less with one of them: all windows of
+    ``least`` words around the suffixes of such groups, by hash. Few groups are left for this."""
+    reach, head = least - PREFIX, ["doc0", "row0", "pos0"]
+    members = pairs.join(short.select(*head).distinct(), head, "left_semi").join(around, ["doc", "row", "pos"])
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            index, before, key = [], [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("around", "left", "right")))
+            for i, (words, left, right) in enumerate(rows):
+                for l in range(max(0, reach - right), left + 1):
+                    index.append(i)
+                    before.append(l)
+                    key.append(xxhash.xxh64_intdigest(words[:4 * l] + words[4 * reach:4 * (2 * reach - l)], l))
+            some = batch.take(pa.array(index, pa.int64()))
+            start = some.column("pos").to_numpy() - np.array(before, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*(some.column(c) for c in (*head, "doc", "row")), pa.array(start.astype(np.int32)),
+                 pa.array(np.array(key, np.uint64).view(np.int64))], [*head, "doc", "row", "start", "key"])
+
+    windows = members.mapInArrow(run, "doc0 long, row0 long, pos0 int, doc long, row long, start int, key long")
+    by = [*head, "key"]
+    place = F.struct("doc", "row", "start")
+    shared = windows.groupBy(*by).agg(F.min(place).alias("first"), F.max(F.struct("doc", "row")).alias("last")).where(
+        "first.doc <> last.doc or first.row <> last.row")
+    found = windows.join(shared.select(*by, "first"), by)
+    own = (F.col("doc") == F.col("first.doc")) & (F.col("row") == F.col("first.row"))
+    return found.select("doc", "row", "start", F.col("start") + least, F.col("first.doc"), own)
 
 
 def cut(text: bytes, starts: list[int], ends: list[int]) -> bytes:
