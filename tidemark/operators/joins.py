@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.dates import later, place_of
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, latest, previous, running_sum
+from tidemark.session import written
 
 def regular_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                  how: str = "inner") -> DataFrame:
@@ -96,16 +97,17 @@ def side_by_side(left: DataFrame, right: DataFrame, *shared: str) -> DataFrame:
 def session_window_join(left: DataFrame, right: DataFrame, key: str, ts: str, gap: float,
                         rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Inner join on equal key and same session, where sessions are formed over the rows of both
-    sides together: a pause longer than ``gap`` seconds starts the next one."""
+    sides together: a pause longer than ``gap`` seconds starts the next one. The sessions are worked out
+    once and kept in the scratch folder, from where both sides are read."""
     kind = left.schema[ts].dataType
     pause = F.col("_before").isNotNull() & (F.col(ts) > later(F.col("_before"), gap, kind))
-    rows = (
+    line = (
         Timeline(side_by_side(left, right, key, ts), [key], [ts], rows_per_slice)
         .running(_before=previous(F.col(ts)))
         .derive(_starts=F.when(pause, 1).otherwise(0))
         .running(session=running_sum(F.col("_starts")))
-        .rows
     )
+    rows = written(line.rows.select("session", "_side", "_left", "_right"), "sessions")
     mine = rows.where(F.col("_side") == "l").select("session", "_left.*")
     theirs = rows.where(F.col("_side") == "r").select("session", "_right.*")
     return mine.join(prefixed(theirs, key, "session"), [key, "session"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,13 +39,15 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the folder named by ``spark.checkpoint.dir``.
 
     Executors may be lost, so scratch data must be on storage all of them see. A local
-    temporary folder is used only by a local master that names no folder.
+    temporary folder is used only by a local master that names no folder; it goes when Python ends. A
+    shared folder is left to its owner to clear once the jobs that read from it are done.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, root, True)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

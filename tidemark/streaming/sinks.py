@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,12 +17,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 @contextmanager
 def stateful_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings a stateful query takes over when it starts: RocksDB state (timers need it, and
-    state may exceed memory) and one state partition per core of the cluster unless told
-    otherwise. The number is fixed for the life of a checkpoint."""
-    wanted = {
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
-    }
+    state may exceed memory) and the number of state partitions, ``spark.sql.shuffle.partitions``
+    of the session unless told otherwise. The number is fixed for the life of a checkpoint: choose
+    it for the size the state will have, not for the executors there are at the start."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
@@ -35,20 +36,27 @@ def stateful_settings(spark: SparkSession, partitions: int | None = None) -> Ite
 def batched_sink(stream: DataFrame, path: str, checkpoint: str, interval: str = "5 seconds",
                  mode: str = "append", available_now: bool = False,
                  partitions: int | None = None) -> StreamingQuery:
-    """Collect rows for ``interval`` and write them at once, one folder per micro-batch.
+    """Collect rows for ``interval`` and write them at once, one folder per query and micro-batch.
 
-    A batch replayed after a failure overwrites its own folder. Duplicates delivered by the
-    source are left to ``read_final``.
+    A batch replayed after a failure overwrites its own folder. A query that starts over without its
+    checkpoint has a new id and writes beside what is there; duplicates are left to ``read_final``.
     """
+    running: list[str] = []
+    started = Event()
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        started.wait()
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/query={running[0]}/batch_id={batch_id}")
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     with stateful_settings(stream.sparkSession, partitions):
-        return (
+        query = (
             stream.writeStream.foreachBatch(write).outputMode(mode)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start()
         )
+    running.append(query.id)
+    started.set()
+    return query
 
 
 def drain(stream: DataFrame, mode: str = "append", partitions: int | None = None) -> DataFrame:
@@ -66,5 +74,7 @@ def drain(stream: DataFrame, mode: str = "append", partitions: int | None = None
         running = batched_sink(stream, path, checkpoint, mode=mode, available_now=True,
                                partitions=partitions)
     running.awaitTermination()
-    schema = stream.schema if mode == "append" else stream.schema.add("batch_id", "long")
-    return spark.read.schema(schema).parquet(path)
+    if mode == "append":
+        return spark.read.schema(stream.schema).parquet(path)
+    schema = stream.schema.add("query", "string").add("batch_id", "long")
+    return spark.read.schema(schema).parquet(path).drop("query")
