@@ -118,8 +118,9 @@ def _gradients(net: Net, text: bytes, label: int, weight: float) -> list[np.ndar
 
 
 def train(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 16, rate: float = 0.01,
-          seed: int = 7) -> Net:
-    """Adam on the logistic loss; both labels weigh the same in sum. Without examples of both, the share of label 1
+          seed: int = 7, least_steps: int = 500) -> Net:
+    """Adam on the logistic loss; both labels weigh the same in sum. Small samples are gone through more often, for
+    ``least_steps`` steps in all. Without examples of both, the share of label 1
     (1 if there are none at all) is what every text gets."""
     net = Net.fresh(seed=seed)
     y = np.array(labels)
@@ -131,6 +132,7 @@ def train(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 1
     parts = net.parts()
     m, v = [np.zeros_like(x) for x in parts], [np.zeros_like(x) for x in parts]
     order, step = np.random.default_rng(seed), 0
+    epochs = max(epochs, -(-least_steps // max(1, len(y) // batch)))
     for epoch in range(epochs):
         lr = rate * (1 - epoch / epochs) + rate / 20
         for block in np.array_split(order.permutation(len(y)), max(1, len(y) // batch)):
