@@ -27,7 +27,6 @@ from tidemark.llm.text import WHITE, row_key, without
 from tidemark.session import written
 
 CELLS = 1 << 14        # cells of the word table, the bound of the broadcast
-MARKS = 64             # the cells of the marks for whole documents (below)
 SMOOTHING = 200.0      # pseudo-words of the overall distribution in each domain
 
 
@@ -38,31 +37,36 @@ def _level(share: Column, steps: int) -> Column:
 
 def _cells(docs: DataFrame) -> DataFrame:
     """(``doc``, ``tokens``, ``cell``): a row for every word of every text by the cell of its hash, and five rows of marks:
-    the end, which every text has, and levels of symbols, capitals, repeated words and words per line."""
+    the end (cell 0), which every text has, and levels of symbols, capitals, repeated words and words per line."""
     text = F.coalesce("text", F.lit(""))
-    spaced = F.regexp_replace(text, r"([#*$%&|<>!]+)", " $1 ")
-    words = F.filter(F.split(spaced, f"{WHITE}+"), lambda w: w != "")
-    base = docs.select(row_key(docs).alias("doc"), text.alias("text"), words.alias("words"))
+    base = docs.select(row_key(docs).alias("doc"), text.alias("text"))
+    without_symbols = F.length(F.translate("text", "#*$%&|<>!", ""))
+    counted = base.withColumn("symbols", F.length("text") - without_symbols)
+    # runs of symbols are words of their own
+    spaced = F.when(F.col("symbols") > 0, F.regexp_replace("text", r"([#*$%&|<>!]+)", " $1 ")).otherwise(F.col("text"))
+    words = F.array_remove(F.split(spaced, f"{WHITE}+"), "")
+    split = counted.select("doc", "text", "symbols", words.alias("words"))
     size, length = F.size("words"), F.greatest(F.length("text"), F.lit(1))
-    symbols = (F.length("text") - F.length(F.translate("text", "#*$%&|<>!", ""))) / length
     capitals = (F.length("text") - F.length(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))) / length
     repeated = 1 - F.size(F.array_distinct("words")) / F.greatest(size, F.lit(1))
     lines = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
-    marks = F.array(F.lit(0), 1 + _level(symbols * 4, 8), 9 + _level(capitals * 2, 8), 17 + _level(repeated, 16),
-                    33 + _level(size / lines / 64, 8))
-    tokens = size.cast("long").alias("tokens")
-    marked = base.select("doc", tokens, "words", marks.alias("marks"))
-    hashed = F.transform("words", lambda w: (F.pmod(F.xxhash64(w), F.lit(CELLS)) + MARKS).cast("int"))
-    return marked.select("doc", "tokens", F.explode(F.concat("marks", hashed)).alias("cell"))
+    levels = [_level(F.col("symbols") / length * 4, 8), _level(capitals * 2, 8), _level(repeated, 16),
+              _level(size / lines / 64, 8)]
+    # no word has a space: the marks cannot be mistaken for one; the end is the empty word
+    marks = F.array(F.lit(""), *[F.concat(F.lit(f"{kind} "), level.cast("string"))
+                                 for kind, level in zip(("symbols", "capitals", "repeated", "line"), levels)])
+    each = split.select("doc", size.cast("long").alias("tokens"), F.explode(F.concat("words", marks)).alias("word"))
+    cell = F.when(F.col("word") == "", 0).otherwise(F.pmod(F.xxhash64("word"), F.lit(CELLS)).cast("int") + 1)
+    return each.select("doc", "tokens", cell.alias("cell"))
 
 
 def fit(docs: DataFrame, labelled: DataFrame, rows: int = 10_000) -> tuple[DataFrame, list[str]]:
-    """Word weights per domain as (``cell``, ``weights``: a number per domain), at most ``CELLS + MARKS`` rows, and the domains
+    """Word weights per domain as (``cell``, ``weights``: a number per domain), at most ``CELLS + 1`` rows, and the domains
     in order. ``labelled`` has doc_id and domain; at most ``rows`` labelled documents, the first by hash of
     their id, are learned from. A document with several labels takes the smallest."""
     chosen = labelled.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(
         F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    known = docs.join(chosen, "doc_id").select("doc_id", "source", "text", "domain")
+    known = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "source", "text", "domain")  # ``rows`` ids at most
     of_doc = known.select(row_key(known).alias("doc"), "domain").distinct()
     found = _cells(known.select("doc_id", "source", "text").distinct()).join(of_doc, "doc")
     counts = written(found.groupBy("cell", "domain").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
