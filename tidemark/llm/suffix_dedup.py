@@ -182,37 +182,41 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
                            F.lit(False).alias("kept"))
     firsts = matched.select("doc0", "row0", F.col("pos0") - F.col("l"), F.col("pos0") + PREFIX + F.col("r"), "doc0",
                             F.lit(True))
-    among = _among_others(pairs, compared.where(~long_enough), around, least)
+    among = _among_others(compared, compared.where(~long_enough), around, least)
     return _merged(spans.union(firsts).union(among))
 
 
-def _among_others(pairs: DataFrame, short: DataFrame, around: DataFrame, least: int) -> DataFrame:
-    """Spans that suffixes share with each other where the first of their group shares less with one of them: all windows of
-    ``least`` words around the suffixes of such groups, by hash. Few groups are left for this."""
+def _among_others(compared: DataFrame, short: DataFrame, around: DataFrame, least: int) -> DataFrame:
+    """Spans that suffixes share with each other where the first of their group shares less with one of them: by the hash
+    of the windows of ``least`` words around the suffixes of such groups. A window that a suffix shares with the
+    first is known already and left out."""
     reach, head = least - PREFIX, ["doc0", "row0", "pos0"]
-    members = pairs.join(short.select(*head).distinct(), head, "left_semi").join(around, ["doc", "row", "pos"])
+    members = compared.join(short.select(*head).distinct(), head, "left_semi").where(
+        (F.col("l") < reach) | (F.col("r") < reach)).join(around, ["doc", "row", "pos"])
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             index, before, key = [], [], []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("around", "left", "right")))
-            for i, (words, left, right) in enumerate(rows):
+            group = zip(*(batch.column(c).to_pylist() for c in head))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("around", "left", "right", "l", "r")))
+            for i, (of, (words, left, right, known_left, known_right)) in enumerate(zip(group, rows)):
+                name = repr(of).encode()
                 for l in range(max(0, reach - right), left + 1):
-                    index.append(i)
-                    before.append(l)
-                    key.append(xxhash.xxh64_intdigest(words[:4 * l] + words[4 * reach:4 * (2 * reach - l)], l))
+                    if l > known_left or reach - l > known_right:
+                        index.append(i)
+                        before.append(l)
+                        key.append(xxhash.xxh64_intdigest(words[:4 * l] + words[4 * reach:4 * (2 * reach - l)] + name, l))
             some = batch.take(pa.array(index, pa.int64()))
             start = some.column("pos").to_numpy() - np.array(before, np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*(some.column(c) for c in (*head, "doc", "row")), pa.array(start.astype(np.int32)),
-                 pa.array(np.array(key, np.uint64).view(np.int64))], [*head, "doc", "row", "start", "key"])
+                [pa.array(np.array(key, np.uint64).view(np.int64)), some.column("doc"), some.column("row"),
+                 pa.array(start.astype(np.int32))], ["key", "doc", "row", "start"])
 
-    windows = members.mapInArrow(run, "doc0 long, row0 long, pos0 int, doc long, row long, start int, key long")
-    by = [*head, "key"]
+    windows = members.mapInArrow(run, "key long, doc long, row long, start int")
     place = F.struct("doc", "row", "start")
-    shared = windows.groupBy(*by).agg(F.min(place).alias("first"), F.max(F.struct("doc", "row")).alias("last")).where(
+    shared = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(F.struct("doc", "row")).alias("last")).where(
         "first.doc <> last.doc or first.row <> last.row")
-    found = windows.join(shared.select(*by, "first"), by)
+    found = windows.join(shared.select("key", "first"), "key")
     own = (F.col("doc") == F.col("first.doc")) & (F.col("row") == F.col("first.row"))
     return found.select("doc", "row", "start", F.col("start") + least, F.col("first.doc"), own)
 
