@@ -107,8 +107,8 @@ def fit_rates(members: DataFrame, domains: list[str], targets: Mapping[str, floa
     """Add ``rate`` to ``members`` (``doc``, ``copies``, ``tokens``, ``p``), between 0 and ``most``.
 
     ``targets`` are the wanted shares of tokens (made to sum to one); a domain that is not named gets none.
-    The mix has ``growth`` times the tokens of the corpus. The steps end after ``rounds`` or when no
-    domain is off by more than ``tolerance`` of the mix. Without domains or tokens all rates are 1."""
+    The mix has ``growth`` times the tokens of the corpus. The steps end after ``rounds``, when no domain is off by
+    more than ``tolerance`` of the mix, or when a step moves none by a tenth of that: targets may be out of reach. Without domains or tokens all rates are 1."""
     size = float(members.agg(F.sum(F.col("tokens") * F.col("copies"))).first()[0] or 0)
     whole = sum(targets.get(d, 0.0) for d in domains)
     if not domains or not size or not whole:
@@ -120,11 +120,13 @@ def fit_rates(members: DataFrame, domains: list[str], targets: Mapping[str, floa
     gram = members.agg(*[F.sum(F.col("copies") * held[i] * held[j]) for i in k for j in k]).first()
     metric = np.linalg.pinv(np.array(gram, float).reshape(len(domains), -1))
     steps: list[list[float]] = []
+    before = np.full(len(domains), np.inf)
     for _ in range(rounds):
         rate = _rate(held, steps, wanted / size, most)
         now = np.array(members.agg(*[F.sum(F.col("copies") * h * rate) for h in held]).first(), float)
-        if np.abs(now - target).max() <= tolerance * wanted:
+        if np.abs(now - target).max() <= tolerance * wanted or np.abs(now - before).max() <= tolerance * wanted / 10:
             break
+        before = now
         steps.append((metric @ (now - target)).tolist())
     return members.withColumn("rate", _rate(held, steps, wanted / size, most))
 
