@@ -265,6 +265,28 @@ def test_passages_shared_past_the_first_document(spark):
     assert all((a == b).all() for a, b in zip(got, want))
 
 
+def test_passages_at_a_later_place_of_the_first_document(spark):
+    """A line of 16 words, the only suffix that is sure to be selected, stands in the smallest document twice: first
+    elsewhere, then in the passage it shares."""
+    rnd = random.Random(22)
+    hashes = suffix_dedup._Hashes()
+    of = lambda line: int(suffix_dedup._prefix_hashes(hashes.of(line.encode()))[0])
+    texts = []
+    for i in range(0, 20, 2):
+        line = min((prose(rnd, 16) for _ in range(500)), key=of)
+        passage = f"{prose(rnd, 17)} {line} {prose(rnd, 17)}"
+        texts.append((i + 1, " ".join([prose(rnd, 40), line, prose(rnd, 120), passage, prose(rnd, 40)])))
+        texts.append((i + 2, " ".join([prose(rnd, 45), passage, prose(rnd, 45)])))
+    docs, want = frame(spark, texts), repeats(texts, 50)
+    got = [np.zeros(len(w), bool) for w in want]
+    for r in suffix_dedup.repeated_spans(docs).collect():
+        assert r.kept == (r.doc % 2 == 1)
+        got[r.doc - 1][r.start:r.end] = True
+    assert all(b.sum() >= 50 and (a == b).all() for a, b in zip(got, want))
+    clean = suffix_dedup.without_repeats(docs).collect()
+    assert not any(x.any() for x in repeats([(r.doc_id, r.text) for r in clean], 50))
+
+
 def test_cut_passages(spark, odd):
     texts = shared_texts()
     docs = frame(spark, texts, extra=True).unionByName(odd)

@@ -6,8 +6,8 @@ passage select the same positions inside it, and every passage of ``least`` word
 
 The suffixes are sorted by the hash of their first words; equal neighbours are compared with the
 first of them (the smallest document and position), and matches are extended word by word to the
-left and right. Where the first shares too little, the others of its group are compared by all
-windows of ``least`` words around them. What is known of a suffix that has no equal neighbour never leaves the first
+left and right. Where the first shares too little, the others of its group, also the later ones of its
+own document, are compared by all windows of ``least`` words around them. What is known of a suffix that has no equal neighbour never leaves the first
 shuffle. Groups are only aggregated and joined, so a passage in a third of all documents is spread
 by adaptive execution; a suffix's neighbourhood travels as ``2 * reach`` word hashes, never as text.
 
@@ -168,9 +168,10 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
         "head.doc <> last.doc or head.row <> last.row").select(
         "hash", F.col("head.doc").alias("doc0"), F.col("head.row").alias("row0"), F.col("head.pos").alias("pos0")),
         "suffix-heads")
-    pairs = written(found.join(heads, "hash").where("doc <> doc0 or row <> row0").drop("hash").distinct(),
-                    "suffix-pairs")
-    wanted = pairs.select("doc", "row", "pos").union(pairs.select("doc0", "row0", "pos0")).distinct()
+    members = written(found.join(heads, "hash").where("doc <> doc0 or row <> row0 or pos <> pos0").drop("hash").distinct(),
+                      "suffix-pairs")
+    pairs, own = members.where("doc <> doc0 or row <> row0"), members.where("doc = doc0 and row = row0")
+    wanted = members.select("doc", "row", "pos").union(pairs.select("doc0", "row0", "pos0")).distinct()
     around = written(_contexts(rows, wanted, reach), "suffix-contexts")
     of_first = around.select(*[F.col(c).alias(f"{c}0") for c in around.columns])
     both = pairs.join(around, ["doc", "row", "pos"]).join(of_first, ["doc0", "row0", "pos0"])
@@ -182,16 +183,18 @@ def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
                            F.lit(False).alias("kept"))
     firsts = matched.select("doc0", "row0", F.col("pos0") - F.col("l"), F.col("pos0") + PREFIX + F.col("r"), "doc0",
                             F.lit(True))
-    among = _among_others(compared, compared.where(~long_enough), around, least)
+    among = _among_others(compared, compared.where(~long_enough), own, around, least)
     return _merged(spans.union(firsts).union(among))
 
 
-def _among_others(compared: DataFrame, short: DataFrame, around: DataFrame, least: int) -> DataFrame:
+def _among_others(compared: DataFrame, short: DataFrame, own: DataFrame, around: DataFrame, least: int) -> DataFrame:
     """Spans that suffixes share with each other where the first of their group shares less with one of them: by the hash
     of the windows of ``least`` words around the suffixes of such groups. A window that a suffix shares with the
-    first is known already and left out."""
+    first is known already and left out. ``own`` are the later positions of the first's document, of which nothing is
+    known yet."""
     reach, head = least - PREFIX, ["doc0", "row0", "pos0"]
-    members = compared.join(short.select(*head).distinct(), head, "left_semi").where(
+    later = own.withColumns({"l": F.lit(-1), "r": F.lit(-1)}).select(*compared.columns)
+    members = compared.union(later).join(short.select(*head).distinct(), head, "left_semi").where(
         (F.col("l") < reach) | (F.col("r") < reach)).join(around, ["doc", "row", "pos"])
 
     def run(batches: Batches) -> Batches:
