@@ -102,27 +102,30 @@ def lines(docs: DataFrame, host: str = "source") -> DataFrame:
     return line.select("doc", "host", F.xxhash64("normal").alias("line"), (spaces + 1).cast("long").alias("words"))
 
 
-def frequent_lines(found: DataFrame, share: float, least: int) -> DataFrame:
-    """(``host``, ``line``, ``docs``): lines in more than ``share`` of their host's documents and at least ``least``."""
+def frequent_lines(found: DataFrame, share: float, least: int, most: int | None = None) -> DataFrame:
+    """(``host``, ``line``, ``docs``): lines in more than ``share`` of their host's documents and at least ``least``, or in more
+    than ``most`` whatever the share: the limit does not grow with a large host."""
     per_doc = found.groupBy("host", "line", "doc").agg(F.lit(1).alias("one"))
     counted = per_doc.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
     sizes = found.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(
         F.count(F.lit(1)).alias("all"))
-    common = counted.where(F.col("docs") >= least)
+    over = F.lit(False) if most is None else F.col("docs") > most
+    common = counted.where((F.col("docs") >= least) | over)
     kept = common.join(sizes, common["host"].eqNullSafe(sizes["host"])).drop(sizes["host"])
-    return kept.where(F.col("docs") > share * F.col("all")).select("host", "line", "docs")
+    of_host = (F.col("docs") >= least) & (F.col("docs") > share * F.col("all"))
+    return kept.where(of_host | over).select("host", "line", "docs")
 
 
-def judge(docs: DataFrame, host: str = "source", share: float = 0.1, least: int = 20,
-          keep_words: int = 50, keep_share: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", share: float = 0.1, least: int = 5, keep_words: int = 50,
+          keep_share: float = 0.5, most: int = 40) -> DataFrame:
     """Base counts of every document, ``base_failed``, ``words_left`` without the lines that more than ``share`` of
-    the host's documents (and at least ``least``) have, and ``kept``: false if the base rules fail, or if
-    lines were taken out and fewer than ``keep_words`` words or ``keep_share`` of them are left.
+    the host's documents (and at least ``least``) or more than ``most`` of them have, and ``kept``: false if the
+    base rules fail, or if lines were taken out and fewer than ``keep_words`` words or ``keep_share`` of them are left.
 
     A null host is a host like any other. Documents are counted by id, source and text: rows equal in
     all three are one document for the counts, and stay separate rows of the result."""
     found = lines(docs, host)
-    common = written(frequent_lines(found, share, least), "frequent-lines")
+    common = written(frequent_lines(found, share, least, most), "frequent-lines")
     taken = found.join(common, found["host"].eqNullSafe(common["host"]) & (found["line"] == common["line"])).groupBy(
         "doc").agg(F.sum("words").alias("taken"))
     copies = docs.groupBy(row_key(docs).alias("doc")).agg(F.count(F.lit(1)).alias("copies"))
