@@ -202,6 +202,21 @@ def test_frequent_lines(spark):
     assert clean.columns == docs.columns and clean.where(F.lower("text").contains("home about 0000")).count() == 0
 
 
+def test_frequent_lines_of_a_hot_source(spark):
+    """The limit does not grow with the host: 41 of 1,000 documents are too many, 40 are not, and small hosts have the share."""
+    rnd = random.Random(31)
+    line = lambda i: "too many have this" if i < 41 else "some have this" if i < 81 else prose(rnd, 4)
+    hot = [(i, f"{prose(rnd, 70)}\n{line(i)}", "hot") for i in range(1000)]
+    cold = [(i, f"{prose(rnd, 70)}\n" + ("menu of all" if i % 2 else prose(rnd, 3)), "cold") for i in range(2000, 2050)]
+    tiny = [(i, f"{prose(rnd, 70)}\n" + ("tiny menu" if i < 3008 else prose(rnd, 3)), "tiny") for i in range(3000, 3015)]
+    docs = spark.createDataFrame(hot + cold + tiny, "doc_id long, text string, source string")
+    found = quality_rules.lines(docs)
+    assert [r.docs for r in quality_rules.frequent_lines(found, 0.1, 20).collect()] == [25]
+    rows = {r.doc_id: r for r in quality_rules.judge(written(docs, "test-hot")).collect()}
+    taken = {i for i, r in rows.items() if r.words_left < r.n_words}
+    assert taken == set(range(41)) | set(range(2001, 2050, 2)) | set(range(3000, 3008))
+
+
 def test_judge_odd_rows(spark, odd):
     rows = quality_rules.judge(odd, least=1, share=0.0).collect()
     assert len(rows) == len(ODD) and all(r.ids == "own" for r in rows)
@@ -441,6 +456,44 @@ def test_network_held_out(spark, odd):
     assert all(r.predicted == 1 for r in quality_net.score_held_out(docs, one).collect())
 
 
+def test_one_long_text_leaves_the_sample_whole(spark):
+    """A labelled text of 10 MB, wherever it comes in the order, takes its share of the sample and drops no other."""
+    rnd = random.Random(9)
+    texts = [(i, prose(rnd, 60) if i % 2 else prose(rnd, 60).replace(" ", "*** ")) for i in range(1000, 1100)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    order = [r.doc_id for r in labels.where(quality_net.crc_mod("doc_id", 5) != 0).orderBy(
+        F.xxhash64("doc_id", F.lit("train")), "doc_id").collect()]
+    whole = {i: t.encode() for i, t in texts}
+    for long in (order[0], order[len(order) // 2]):
+        pieces = [t if i != long else (t + " ") * (10_000_000 // len(t) + 1) for i, t in texts]
+        docs = written(frame(spark, [(i, t) for (i, _), t in zip(texts, pieces)]), "test-long")
+        rows = quality_net.sample_of(docs, labels)
+        assert [(t, y) for i, (t, y) in zip(order, rows) if i != long] == [(whole[i], i % 2) for i in order if i != long]
+        assert 0 < len(rows[order.index(long)][0]) <= quality_net.Sample().longest
+        assert sum(len(t) for t, _ in rows) <= quality_net.Sample().bytes
+    net = quality_net.fit(docs, labels)
+    assert quality_net.probability(net, whole[1001]) > 0.5 > quality_net.probability(net, whole[1000])
+
+
+def test_sample_holds_both_labels(spark):
+    """Rows of the rarer label come late in the order, and the texts before them fill all bytes."""
+    texts = [(i, prose(random.Random(i), 60)) for i in range(1000, 1060)]
+    docs = frame(spark, texts)
+    order = [r.doc_id for r in docs.where(quality_net.crc_mod("doc_id", 5) != 0).orderBy(
+        F.xxhash64("doc_id", F.lit("train")), "doc_id").collect()]
+    labels = spark.createDataFrame([(i, int(i not in order[-3:])) for i, _ in texts], "doc_id long, quality int")
+    small = quality_net.Sample(bytes=6_000)
+    rows = quality_net.sample_of(docs, labels, small)
+    assert {y for _, y in rows} == {0, 1} and sum(len(t) for t, _ in rows) <= small.bytes
+
+
+def test_sample_of_texts_that_share_the_bytes():
+    assert quality_net.drawn(b"x" * 100, 200) == b"x" * 100
+    text = bytes(np.random.default_rng(1).integers(1, 255, 50_000).astype(np.uint8))
+    part = quality_net.drawn(text, 4 * quality_net.CHUNK)
+    assert len(part) == 4 * quality_net.CHUNK and part[:512] == text[:512] and part[-512:] == text[-512:]
+
+
 def test_mixing(spark, odd):
     rnd = random.Random(6)
     kinds = {"a": VOCABULARY[:100], "b": VOCABULARY[100:200], "c": VOCABULARY[200:300]}
@@ -474,6 +527,23 @@ def test_mixing(spark, odd):
     assert mixing.rates(docs, labelled.where("false"), targets).where("rate <> 1").count() == 0
 
 
+def test_mixing_reaches_rare_domains(spark):
+    """A domain with a hundredth of its target share gets it; what cannot be reached is said."""
+    rnd = random.Random(41)
+    rows = []
+    for i in range(2000):
+        b = rnd.uniform(0.001, 0.03)
+        rows.append((i, 1, rnd.randint(20, 400), [0.999 - b, b, 0.001] if i % 200 else [0.01, 0.03, 0.96]))
+    members = spark.createDataFrame(rows, "doc long, copies long, tokens long, p array<double>")
+    size, targets = sum(r[2] for r in rows), {"a": 0.84, "b": 0.01, "c": 0.15}
+    fitted = mixing.fit_rates(written(members, "test-members"), list("abc"), targets).collect()
+    assert all(r.rate >= 0 for r in fitted) and max(r.rate for r in fitted) > 4
+    for i, d in enumerate("abc"):
+        assert sum(r.tokens * r.rate * r.p[i] for r in fitted) == pytest.approx(targets[d] * size, abs=1e-3 * size)
+    with pytest.warns(UserWarning, match="b 0.5000 wanted"):
+        mixing.fit_rates(members, list("abc"), {"a": 0.25, "b": 0.5, "c": 0.25})
+
+
 def test_mixing_is_native(spark, odd):
     labelled = spark.createDataFrame([(4, "a"), (5, "b")], "doc_id long, domain string")
     plan = mixing.rates(odd, labelled, {"a": 0.5, "b": 0.5})._jdf.queryExecution().executedPlan().toString()

@@ -24,10 +24,13 @@ CHUNK = 512
 @dataclass(frozen=True)
 class Sample:
     """Bounds of the training sample: at most ``rows`` labelled rows, the first by the hash of their id, as far as
-    they fit into ``bytes`` of text."""
+    they fit into ``bytes`` of text. A text over ``longest`` bytes counts with chunks drawn over the whole of it. The first
+    ``sure`` rows of each label come before all others, whatever their place and size."""
 
     rows: int = 3000
     bytes: int = 6_000_000
+    longest: int = 300_000
+    sure: int = 10
 
 
 @dataclass
@@ -148,24 +151,46 @@ def train(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 1
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), folds: int = 5, **training) -> Net:
-    """Train on labelled documents of the folds other than the held-out one. ``labels`` has doc_id and quality (0 or 1;
+def drawn(text: bytes, most: int) -> bytes:
+    """The text, or as many chunks as fit into ``most`` bytes, evenly spread from its first to its last byte."""
+    if len(text) <= most:
+        return text
+    n = max(2, most // CHUNK)
+    starts = np.linspace(0, len(text) - CHUNK, n).astype(np.int64)
+    return b"".join(text[s:s + CHUNK] for s in starts.tolist())
+
+
+def sample_of(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), folds: int = 5) -> list[tuple[bytes, int]]:
+    """Texts and labels to train on, of the folds other than the held-out one. ``labels`` has doc_id and quality (0 or 1;
     other rows are left out). A document labelled more than once counts with its smallest label."""
     known = labels.where("quality in (0, 1) and doc_id is not null").where(crc_mod("doc_id", folds) != 0).groupBy(
         "doc_id").agg(F.min("quality").alias("quality"))
     order = F.xxhash64(F.col("doc_id"), F.lit("train"))
-    chosen = known.orderBy(order, "doc_id").limit(sample.rows)
+    later = known.orderBy(order, "doc_id").limit(max(0, sample.rows - 2 * sample.sure)).withColumn("later", F.lit(1))
+    sure = [known.where(F.col("quality") == y).orderBy(order, "doc_id").limit(sample.sure).withColumn("later", F.lit(0))
+            for y in (0, 1)]
+    chosen = later.union(sure[0]).union(sure[1]).groupBy("doc_id", "quality").agg(F.min("later").alias("later"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").groupBy(
-        "doc_id", "quality").agg(F.min("text").alias("text"))
-    before = F.sum(F.octet_length("text")).over(_ordered(order))
-    bounded = rows.withColumn("_bytes", before).where(F.col("_bytes") <= sample.bytes).orderBy(order, "doc_id")
-    taken = bounded.select(F.col("text").cast("binary").alias("text"), "quality").collect()
-    return train([bytes(r.text) for r in taken], [int(r.quality) for r in taken], **training)
+        "doc_id", "quality", "later").agg(F.min("text").alias("text"))
+
+    def shorten(batch: pa.RecordBatch) -> dict:
+        return {"data": pa.array([drawn(t, sample.longest) for t in utf8(batch)], pa.binary())}
+
+    short = arrow_map(rows, shorten, ["doc_id", "quality", "later"], "data binary")
+    before = F.sum(F.octet_length("data")).over(_ordered(order))
+    bounded = short.withColumn("_bytes", before).where(F.col("_bytes") <= sample.bytes).orderBy(order, "doc_id")
+    return [(bytes(r.data), int(r.quality)) for r in bounded.select("data", "quality").collect()]
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), folds: int = 5, **training) -> Net:
+    """Train on the labelled documents of ``sample_of``."""
+    taken = sample_of(docs, labels, sample, folds)
+    return train([t for t, _ in taken], [y for _, y in taken], **training)
 
 
 def _ordered(order):
     from pyspark.sql import Window
-    return Window.partitionBy().orderBy(order, "doc_id")  # over the sample only
+    return Window.partitionBy().orderBy("later", order, "doc_id")  # over the sample only
 
 
 def score(docs: DataFrame, net: Net, threshold: float = 0.3) -> DataFrame:
