@@ -4,11 +4,12 @@ A classifier learned from the labelled table gives every document a posterior ov
 each document gets a rate, the expected number of copies in the mix, such that the tokens of the
 domains, counted with posterior and rate, come to the target shares of the tokens wanted:
 
-    minimise |S r - t|^2 in the metric of (S S')^-1, over r >= 0, from r = rate of the whole corpus,
+    minimise |S r - t|^2 over r >= 0, and of all such r take the nearest to the rate of the whole corpus,
 
-with S[d, i] = tokens of document i in domain d. One projected-gradient step needs the domains' sums
-over all documents, which is one aggregate of as many numbers as there are domains; the rates are
-columns computed from the steps so far, so the driver only ever holds those sums.
+with S[d, i] = tokens of document i in domain d. The answer is r = max(0, start + S' y) with one number in y per
+domain. These maximise a concave dual, by Newton steps that need sums over all documents for each pair of domains: one
+aggregate each. The rates are columns computed from y, so the driver only ever holds those sums. A small ridge
+(``RIDGE``) weighs the second aim against the first and gives the dual an optimum also where targets are out of reach.
 
 All of it is DataFrame expressions. Words are counted by hash in a table of fixed size, so that what
 is broadcast is bounded.
@@ -16,6 +17,7 @@ is broadcast is bounded.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from math import log
 
@@ -27,6 +29,7 @@ from tidemark.llm.text import WHITE, row_key, without
 from tidemark.session import written
 
 CELLS = 1 << 14        # cells of the word table, the bound of the broadcast
+RIDGE = 1e-8           # of the dual, in units of the trace of S S'
 SMOOTHING = 200.0      # pseudo-words of the overall distribution in each domain
 
 
@@ -103,46 +106,68 @@ def posteriors(docs: DataFrame, weights: DataFrame, domains: list[str]) -> DataF
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: Mapping[str, float], growth: float = 1.0,
-              most: float = 4.0, rounds: int = 30, tolerance: float = 1e-4) -> DataFrame:
-    """Add ``rate`` to ``members`` (``doc``, ``copies``, ``tokens``, ``p``), between 0 and ``most``.
+              most: float | None = None, rounds: int = 100, tolerance: float = 1e-4) -> DataFrame:
+    """Add ``rate`` to ``members`` (``doc``, ``copies``, ``tokens``, ``p``), not below 0 and, if given, not above ``most``.
 
     ``targets`` are the wanted shares of tokens (made to sum to one); a domain that is not named gets none.
-    The mix has ``growth`` times the tokens of the corpus. The steps end after ``rounds``, when no domain is off by
-    more than ``tolerance`` of the mix, or when a step moves none by a tenth of that: targets may be out of reach. Without domains or tokens all rates are 1."""
+    The mix has ``growth`` times the tokens of the corpus. The steps end when the gradient of the dual is below a tenth of
+    ``tolerance`` of the mix in every domain, which proves the optimum; if ``rounds`` do not suffice, that is an error. If a
+    domain of the optimum is off by more than ``tolerance`` of the mix, its targets are out of reach: a warning says target and
+    reached share of each domain. Without domains or tokens all rates are 1."""
     size = float(members.agg(F.sum(F.col("tokens") * F.col("copies"))).first()[0] or 0)
     whole = sum(targets.get(d, 0.0) for d in domains)
     if not domains or not size or not whole:
         return members.withColumn("rate", F.lit(1.0))
-    wanted = growth * size
+    wanted, k = growth * size, range(len(domains))
     target = np.array([targets.get(d, 0.0) / whole * wanted for d in domains])
-    held = [F.col("tokens") * F.col("p")[i] for i in range(len(domains))]
-    k = range(len(domains))
-    gram = members.agg(*[F.sum(F.col("copies") * held[i] * held[j]) for i in k for j in k]).first()
-    metric = np.linalg.pinv(np.array(gram, float).reshape(len(domains), -1))
-    steps: list[list[float]] = []
-    before = np.full(len(domains), np.inf)
+    held = [F.col("tokens") * F.col("p")[i] for i in k]
+    both = [F.col("copies") * held[i] * held[j] for i in k for j in k]
+    gram = np.array(members.agg(*[F.sum(x) for x in both]).first(), float).reshape(len(domains), -1)
+    ridge = RIDGE * np.trace(gram) * np.eye(len(domains))
+    scale = np.sqrt(np.diag(gram + ridge))
+
+    def at(step: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """The dual and its gradient and curvature there, and the tokens of the domains."""
+        free = _free(held, step, growth)
+        rate = _rate(held, step, growth, most)
+        inside = (free > 0) if most is None else (free > 0) & (free < most)
+        sums = members.agg(F.sum(F.col("copies") * (free * rate - rate * rate / 2)),
+                           *[F.sum(F.col("copies") * h * rate) for h in held],
+                           *[F.sum(F.when(inside, x).otherwise(0.0)) for x in both]).first()
+        now, curve = np.array(sums[1:1 + len(k)], float), np.array(sums[1 + len(k):], float).reshape(gram.shape)
+        soft = ridge @ step
+        return sums[0] + step @ soft / 2 - step @ target, now + soft - target, curve + ridge, now
+
+    step = np.zeros(len(domains))
+    value, slope, curve, now = at(step)
     for _ in range(rounds):
-        rate = _rate(held, steps, wanted / size, most)
-        now = np.array(members.agg(*[F.sum(F.col("copies") * h * rate) for h in held]).first(), float)
-        if np.abs(now - target).max() <= tolerance * wanted or np.abs(now - before).max() <= tolerance * wanted / 10:
+        if np.abs(slope).max() <= tolerance * wanted / 10:
             break
-        before = now
-        steps.append((metric @ (now - target)).tolist())
-    return members.withColumn("rate", _rate(held, steps, wanted / size, most))
-
-
-def _rate(held: list[Column], steps: list[list[float]], start: float, most: float) -> Column:
-    """The rate after these steps: each moves against the gradient and back into the bounds."""
-    first = F.lit(float(min(start, most)))
-    if not steps:
-        return first
-    share = F.array(*held)
-
-    def move(rate: Column, step: Column) -> Column:
-        along = F.aggregate(F.zip_with(share, step, lambda h, s: h * s), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(0.0), F.least(F.lit(float(most)), rate - along))
-
-    return F.aggregate(F.lit(steps), first, move)
+        move = -np.linalg.solve(curve / np.outer(scale, scale), slope / scale) / scale
+        part = 1.0
+        while True:
+            there = at(step + part * move)
+            if there[0] <= value + 1e-4 * part * (slope @ move) or part < 1e-6:
+                break
+            part /= 2
+        step = step + part * move
+        value, slope, curve, now = there
+    else:
+        raise RuntimeError(f"the rates did not settle: {np.abs(slope).max() / wanted:.2g} of the mix is open")
+    if np.abs(now - target).max() > tolerance * wanted:
+        said = ", ".join(f"{d} {t / wanted:.4f} wanted and {n / wanted:.4f} reached" for d, t, n in zip(domains, target, now))
+        warnings.warn(f"targets of the mix are out of reach: {said}", stacklevel=2)
+    return members.withColumn("rate", _rate(held, step, growth, most))
+
+
+def _free(held: list[Column], step: np.ndarray, start: float) -> Column:
+    return sum((h * F.lit(float(x)) for h, x in zip(held, step)), F.lit(float(start)))
+
+
+def _rate(held: list[Column], step: np.ndarray, start: float, most: float | None) -> Column:
+    """The start moved along the domains and back into the bounds."""
+    rate = F.greatest(F.lit(0.0), _free(held, step, start))
+    return rate if most is None else F.least(F.lit(float(most)), rate)
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], rows: int = 10_000, **fitting) -> DataFrame:
