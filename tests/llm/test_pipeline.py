@@ -5,7 +5,7 @@ import re
 from pathlib import Path
 
 import corpus_pipeline
-from tidemark.llm import near_copies
+from tidemark.llm import simhash
 from tidemark.llm.queries import tokenizer
 from tidemark.session import written
 
@@ -31,8 +31,8 @@ def test_stages(spark):
     assert all(list(r.ids) == reference.encode(r.text, add_special_tokens=False).ids for r in last)
 
 
-def test_near_copies_go(spark, monkeypatch):
-    """Planted copies at a similarity of 0.8 or more go, those below stay, also where all pairs of a band never are few."""
+def test_near_copies_go(spark):
+    """Of documents whose fingerprints are linked at four bits or fewer the smallest stays; all others stay."""
     rnd = random.Random(17)
     words = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(900)]
     texts = []
@@ -40,14 +40,11 @@ def test_near_copies_go(spark, monkeypatch):
         base = [rnd.choice(words) for _ in range(rnd.choice([60, 200, 700]))]
         for j in range(5):
             copy = list(base)
-            for at in rnd.sample(range(len(base)), j * len(base) // 100):
+            for at in rnd.sample(range(len(base)), j * len(base) // 200):
                 copy[at] = rnd.choice(words)
             texts.append((10 * i + j, " ".join(copy).upper() if j == 3 else " ".join(copy)))
     texts += [(9000, None), (9001, ""), (9002, "one"), (9003, "One"), (None, "one"), (None, "no other")]
-    sets = []
-    for _, text in texts:
-        w = (text or "").lower().split()
-        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    prints = [simhash._fingerprint(simhash._hashes((t or "").encode(), 4)) for _, t in texts]
     label = list(range(len(texts)))
 
     def find(a):
@@ -55,13 +52,13 @@ def test_near_copies_go(spark, monkeypatch):
             a = label[a]
         return a
 
-    near = exact = 0
+    near = 0
     for a in range(len(texts)):
         for b in range(a):
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                near, exact = near + (sets[a] != sets[b]), exact + (sets[a] == sets[b])
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                near += prints[a] != prints[b]
                 label[find(a)] = find(b)
-    assert near >= 100 and exact
+    assert near >= 20
     least = {}
     for a, (i, _) in enumerate(texts):
         old = least.get(find(a))
@@ -69,11 +66,9 @@ def test_near_copies_go(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     docs = written(docs, "test-near")
-    for limit in (near_copies.PAIRS, 0):
-        monkeypatch.setattr(near_copies, "PAIRS", limit)
-        left = corpus_pipeline.near_duplicates(spark, docs, SMALL)
-        assert left.columns == docs.columns
-        assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted(least.values(), key=repr)
+    left = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted(least.values(), key=repr)
 
 
 def test_clean_documents_stay(spark):
