@@ -10,7 +10,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, near_copies, quality_net, suffix_dedup
+from tidemark.llm import bpe, mixing, quality_net, simhash, suffix_dedup
 from tidemark.llm.queries import TARGETS, domains, tokenizer
 from tidemark.llm.text import small_batches
 from tidemark.session import scratch_path
@@ -26,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near copies: fingerprints of four-word shingles, linked at four bits or fewer."""
+    return simhash.one_of_each(docs, radius=4, words=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
