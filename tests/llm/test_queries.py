@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -26,7 +26,7 @@ def test_equals_sql(spark, name):
 
 
 @pytest.mark.parametrize("name", ["op2_soft_mixing", "op5_line_frequency", "op7_distinct_word_bpe", "op8_byte_network",
-                                  "op9_context_tree", "op10_ball_hashing"])
+                                  "op9_context_tree", "op10_ball_hashing", "op11_string_kernel"])
 def test_a_row_for_every_document(spark, name):
     docs = sorted(r.doc_id for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").collect())
     assert sorted(r.doc_id for r in QUERIES[name](spark, FOLDER).collect()) == docs

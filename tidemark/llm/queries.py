@@ -9,7 +9,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat, ctw, mixing, quality_net, quality_rules, simhash, suffix_dedup, warc
+from tidemark.llm import (ann, bpe, centroids, chat, ctw, kernel_language, mixing, quality_net, quality_rules, simhash,
+                          suffix_dedup, vector_codes, warc)
 from tidemark.llm.text import small_batches
 from tidemark.sources.tables import table
 
@@ -202,3 +203,79 @@ def op9_context_tree(spark: SparkSession, folder: str) -> DataFrame:
 def op10_ball_hashing(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash fingerprints and components of documents at most four bits apart."""
     return simhash.components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text by a string kernel that has not seen the held-out fold."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return kernel_language.predict_held_out(docs)
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds written out: the vectors' parts as rows, a codebook after each round."""
+    steps = [f"""
+kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+cut AS MATERIALIZED (SELECT vec_id, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS p
+  FROM kept, (SELECT unnest(range({parts})) AS part)),
+book0 AS MATERIALIZED (SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, p AS e FROM cut
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries}))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (SELECT vec_id, part, any_value(p) AS p, min(d) AS d, arg_min(entry, d * {entries} + entry) AS entry
+  FROM (SELECT c.vec_id, c.part, c.p, b.entry,
+          list_sum(list_transform(range(1, len(p) + 1), lambda i: (p[i] - e[i]) * (p[i] - e[i]))) AS d
+        FROM cut c JOIN book{r} b ON b.part = c.part) GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (SELECT part, entry, i, sum(p[i])::BIGINT AS s, count(*) AS n
+  FROM (SELECT part, entry, p, unnest(range(1, len(p) + 1)) AS i FROM near{r}) GROUP BY part, entry, i),
+mean{r} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM sums{r} GROUP BY part, entry),
+book{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.e, b.e) AS e
+  FROM book{r} b LEFT JOIN mean{r} m ON m.part = b.part AND m.entry = b.entry)""")
+    return "WITH " + ",".join(steps) + f""",
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id)
+SELECT c.vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM coded c JOIN kept k ON k.vec_id = c.vec_id"""
+
+
+@query(_codes_sql())
+def op12_equal_average_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors, with their errors."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
+    coded = vector_codes.errors(vector_codes.compress(vectors))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    steps = ["""
+kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+book0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v AS e
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT 16))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (SELECT vec_id, any_value(v) AS v, min(d) AS d, arg_min(c, d * 16 + c) AS c
+  FROM (SELECT vec_id, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - e[i]) * (v[i] - e[i]))) AS d
+        FROM kept, book{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (SELECT c, i, sum(v[i])::BIGINT AS s, count(*) AS n
+  FROM (SELECT c, v, unnest(range(1, 65)) AS i FROM near{r}) GROUP BY c, i),
+mean{r} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM sums{r} GROUP BY c),
+book{r + 1} AS MATERIALIZED (SELECT b.c, coalesce(m.e, b.e) AS e FROM book{r} b LEFT JOIN mean{r} m ON m.c = b.c)""")
+    return "WITH " + ",".join(steps) + f"""
+SELECT vec_id, n.c::INTEGER AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY n.c)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(e, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN book{rounds} b ON b.c = n.c"""
+
+
+@query(_clusters_sql())
+def op13_progressive_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all vectors, with their inertia."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return centroids.inertias(*centroids.cluster(vectors))
