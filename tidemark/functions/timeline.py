@@ -5,16 +5,20 @@ than ``rows_per_slice`` is cut along its ordering column into slices, the window
 (key, slice), and what earlier or later slices contribute is carried over from one summary row
 per slice. Results are those of the plain window.
 
+Whether there is such a key is found first, by a count per key that reads the key columns only and is combined map-side.
+Where there is none, what runs is the plain window: one shuffle, one sort, no joins. Otherwise the bounds of the
+slices are worked out once, from the hot keys' rows only, and kept; the rows are still shuffled once, by (key, slice).
+
 Sizes: a key is cut only above ``rows_per_slice`` rows, so at most ``N / rows_per_slice`` keys and
-``2 * SPLIT * N / rows_per_slice`` bounds, of eight bytes, are broadcast (10^12 rows at the default:
-200,000 keys, 800,000 bounds), and so many summary rows of the width of what is carried: carry ids, not
-payloads. When no key is that large these sides are empty and adaptive execution removes their joins and the summary
-pass; what remains is one column-pruned counting pass before the plain window. A key has ``GRID``
+``2 * SPLIT * N / rows_per_slice`` bounds of eight bytes are joined in (10^12 rows at the default:
+200,000 keys, 800,000 bounds), after a check of their bytes, and so many summary rows. These are hinted for a broadcast only if
+what they carry has a fixed width; carried payloads are left to Spark's own measure. A key has ``GRID``
 slices at most: beyond ``GRID / SPLIT * rows_per_slice`` rows (5 * 10^9) its slices grow with it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -22,8 +26,11 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import place
+from tidemark.functions.sizes import small_side
+from tidemark.session import written
 
 ROWS_PER_SLICE = 5_000_000
 SPLIT = 2   # slices per ROWS_PER_SLICE rows, to absorb the error of the quantiles
@@ -132,51 +139,71 @@ def _same(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs], F.lit(True))
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_fixed_width(f.dataType) for f in kind)
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VariantType))
+
+
 class Timeline:
     """The rows of ``df``, ordered per key. ``order_by`` is ascending; its first column is cut
-    into slices, the others only break ties."""
+    into slices, the others only break ties.
+
+    ``counted``: a table to count keys on in place of ``df``, cheaper to read, with some of the key columns and at least as many
+    rows for each of their values; by default ``df``."""
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                 rows_per_slice: int = ROWS_PER_SLICE, _sliced: bool = False):
+                 rows_per_slice: int = ROWS_PER_SLICE, counted: DataFrame | None = None):
         self.keys, self.order_by, self.rows_per_slice = list(keys), list(order_by), rows_per_slice
-        self._df = df if _sliced else self._cut(df)
+        self._df, self.sliced = self._cut(df, df if counted is None else counted)
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        """Number the slices of hot keys. Bounds are quantiles of the ordering column, found in a second pass over the hot
-        keys' rows only, so slices are of equal size however the rows lie."""
-        at = place(df, self.order_by[0])
+    def _cut(self, df: DataFrame, counted: DataFrame) -> tuple[DataFrame, bool]:
+        """Number the slices of hot keys, null for all others. Slices are of equal size however the rows lie: their bounds are
+        quantiles of the ordering column."""
+        by = [k for k in self.keys if k in counted.columns]
         many = F.count(F.lit(1)).alias("rows")
+        most = counted.groupBy(*by).agg(many).agg(F.max("rows")).first()[0] or 0
+        if most <= self.rows_per_slice:
+            return df, False
+        parts = min(math.ceil(most / self.rows_per_slice) * SPLIT, GRID)
+        at = place(df, self.order_by[0])
         if self.keys:
-            hot = df.groupBy(*self.keys).agg(many).where(F.col("rows") > self.rows_per_slice).select(
-                *[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], "rows")
+            hot = written(df.groupBy(*self.keys).agg(many).where(F.col("rows") > self.rows_per_slice).select(
+                *[F.col(k).alias(f"_tl_hot_{k}") for k in self.keys], "rows"), "hot-keys")
             on = _same([(k, f"_tl_hot_{k}") for k in self.keys])
-            rows = df.select(*self.keys, at.alias("_tl_at")).join(F.broadcast(hot), on)
-            bounds = rows.groupBy(*[F.col(f"_tl_hot_{k}") for k in self.keys]).agg(self._bounds())
-            df = df.join(F.broadcast(bounds), on, "left")
+            rows = df.select(*self.keys, at.alias("_tl_at")).join(small_side(hot), on)
+            bounds = rows.groupBy(*hot.columns).agg(self._quantiles(min(4 * parts, GRID)))
+            bounds = written(bounds.select(*[c for c in hot.columns if c != "rows"], self._bounds(min(4 * parts, GRID))), "bounds")
+            df = df.join(small_side(bounds), on, "left")
+            cut = F.col("_tl_bounds")
         else:
-            bounds = df.select(at.alias("_tl_at")).agg(many, self._bounds()).where(
-                F.col("rows") > self.rows_per_slice).select("_tl_bounds")
-            df = df.withColumn("_tl_bounds", bounds.scalar())  # one timeline: its single row needs no join
-        cut = F.col("_tl_bounds")
+            found = df.select(at.alias("_tl_at")).agg(self._quantiles(parts)).first()[0] or []
+            cut = F.lit([float(b) for b in sorted(set(found))]).cast("array<double>")
         # the number of bounds passed, found among every 64th first
         step = 64
         coarse = F.size(F.filter(F.sequence(F.lit(1), F.size(cut), F.lit(step)), lambda i: F.get(cut, i - 1) <= at))
         begin = F.greatest(coarse - 1, F.lit(0)) * step
         nth = begin + F.size(F.filter(F.slice(cut, begin + 1, step), lambda b: b <= at))
         number = F.when(F.size(cut) > 0, F.when(at.isNull(), F.lit(0)).otherwise(nth)).when(cut.isNotNull(), F.lit(0))
-        return df.withColumn(SLICE, number.cast("long")).drop("_tl_bounds", *[f"_tl_hot_{k}" for k in self.keys])
+        gone = ["_tl_bounds", *[f"_tl_hot_{k}" for k in self.keys]]
+        return df.withColumn(SLICE, number.cast("long")).drop(*gone), True
+
+    @staticmethod
+    def _quantiles(grid: int) -> Column:
+        shares = [i / grid for i in range(1, grid)]
+        return F.percentile_approx("_tl_at", F.lit(shares), F.lit(max(4 * grid, 1000))).alias("_tl_grid")
 
-    def _bounds(self) -> Column:
-        """Where slices begin, ascending and distinct: quantiles of ``_tl_at`` in ``SPLIT`` parts for every
-        ``rows_per_slice`` rows, ``GRID`` at most."""
-        grid = F.percentile_approx("_tl_at", F.lit([i / GRID for i in range(1, GRID)]), F.lit(4 * GRID))
-        parts = F.least(F.ceil(F.count(F.lit(1)) / self.rows_per_slice) * SPLIT, F.lit(GRID)).cast("int")
+    def _bounds(self, grid: int) -> Column:
+        """Where the slices of a key begin, ascending and distinct: ``SPLIT`` parts for every ``rows_per_slice`` rows."""
+        parts = F.least(F.ceil(F.col("rows") / self.rows_per_slice) * SPLIT, F.lit(grid)).cast("int")
         picked = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get(
-            grid, F.floor(i * GRID / parts).cast("int") - 1))
+            "_tl_grid", F.floor(i * grid / parts).cast("int") - 1))
         return F.array_sort(F.array_distinct(F.filter(picked, lambda b: b.isNotNull()))).alias("_tl_bounds")
 
     def _with(self, df: DataFrame) -> Timeline:
-        return Timeline(df, self.keys, self.order_by, self.rows_per_slice, _sliced=True)
+        other = object.__new__(Timeline)
+        other.__dict__.update(self.__dict__, _df=df)
+        return other
 
     def derive(self, **columns: Column) -> Timeline:
         """Add row-wise columns."""
@@ -184,6 +211,9 @@ class Timeline:
 
     def running(self, **columns: Running) -> Timeline:
         """Add running columns."""
+        if not self.sliced:
+            plain = Window.partitionBy(*self.keys).orderBy(*self.order_by)
+            return self._with(self._df.withColumns({n: c.local(plain) for n, c in columns.items()}))
         within = [*self.keys, SLICE]
         here = Window.partitionBy(*within).orderBy(*self.order_by)
         across = Window.partitionBy(*self.keys).orderBy(SLICE)
@@ -192,7 +222,9 @@ class Timeline:
             *[F.col(k).alias(f"_tl_from_{k}") for k in within],
             *[c.carry(F.col(f"_tl_sum_{n}"), across).alias(f"_tl_far_{n}") for n, c in columns.items()],
         )
-        joined = local.join(F.broadcast(carried), _same([(k, f"_tl_from_{k}") for k in within]), "left")
+        if all(_fixed_width(f.dataType) for f in carried.schema):
+            carried = F.broadcast(carried)
+        joined = local.join(carried, _same([(k, f"_tl_from_{k}") for k in within]), "left")
         merged = joined.withColumns({
             n: c.merge(F.col(f"_tl_here_{n}"), F.col(f"_tl_far_{n}")) for n, c in columns.items()})
         helpers = [f"_tl_from_{k}" for k in within]

@@ -49,9 +49,10 @@ def page_path(views: DataFrame, day: Day, periods: Sequence[int] = PERIODS,
     Step numbers keep the graph free of cycles; the last page of a session leads to ``null``
     written as text.
     """
-    steps = (
+    longest = views.where(F.col("dt").between(F.lit(iso(day, 1 - max(periods))), F.lit(iso(day))))
+    steps = (  # a session has no more rows in any period than in the longest, where they are counted without copies
         Timeline(recent_days(views, day, periods), ["session_id", "recent_days"], ["view_time"],
-                 rows_per_slice)
+                 rows_per_slice, counted=longest.select("session_id"))
         .running(_step=row_number(), _next=following(F.struct("page_id")))
         .rows
     )

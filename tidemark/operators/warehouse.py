@@ -103,7 +103,9 @@ def max_concurrency(intervals: DataFrame, key: str, start: str, end: str, name:
         .select(key, "col.*").where(F.col("at").isNotNull())
         .groupBy(key, "at").agg(F.sum("change").alias("change"))
     )
-    level = Timeline(changes, [key], ["at"], rows_per_slice).running(_level=running_sum(F.col("change")))
+    # a key has at most two instants for each of its intervals
+    twice = intervals.select(key, F.explode(F.array(F.lit(0), F.lit(1)))).select(key)
+    level = Timeline(changes, [key], ["at"], rows_per_slice, counted=twice).running(_level=running_sum(F.col("change")))
     return level.rows.groupBy(key).agg(F.max("_level").alias(name))
 
 
