@@ -149,6 +149,73 @@ def test_top_n_keyed(feed):
     assert sorted((r["rank"], r.key, r.score) for r in out.collect()) == [(1, "p2", 5), (2, "p3", 4)]
 
 
+def test_filter_never_counts_too_many(spark, feed):
+    """Batch, stream and merged filters agree; shortfalls stay near their mean."""
+    rows = [(f"u{i % 5000}", "", i / 100) for i in range(8000)] + [(None, "", 1.0)]
+    df = spark.createDataFrame(rows, "key string, value string, at double").withColumn("et", F.timestamp_seconds(F.col("at") + BASE))
+    exact = {r.window_start: r.uv for r in _exact(df).collect()}
+    for capacity, error in ((20_000, 0.001), (500, 0.01)):
+        m = windows.bitmaps_of(capacity, error)
+        for parts in (1, 7):
+            got = windows.window_uv_filter(df.repartition(parts), "key", "et", "1 minute", capacity=capacity, error=error).collect()
+            found = {r.window_start: r.uv for r in got}
+            assert found.keys() == exact.keys()
+            for w, n in exact.items():
+                mean = windows.missed(n, m)
+                assert n - mean - 5 * mean ** 0.5 - 1 <= found[w] <= n
+    fed = [(k, "", a) for k, _, a in rows if k]
+    out = drain(windows.window_uv_filter(feed(fed[:3000], fed[3000:], [("z", "", 9000)]), "key", "et", "1 minute", capacity=500, error=0.01))
+    assert {r.window_start: r.uv for r in out.collect()} == found
+
+
+def _exact(df):
+    from tidemark.operators import windows as batch
+    return batch.window_uv_exact(df, "key", "et", "1 minute")
+
+
+def test_as_of_join_of_streams(feed):
+    """Versions before, at and after a row; one that comes late but within the delay; one behind the watermark, for later rows only."""
+    left = feed([("a", "r5", 5), ("a", "r0", 0), (None, "none", 5)], [("a", "r20", 20), ("b", "r21", 21)], [("a", "r130", 130), ("b", "b131", 131)],
+                [("z", "end", 9000)])
+    right = feed([("a", "v1", 1)], [("a", "v5", 5), ("a", "v20", 20)], [("a", "v90", 90), ("b", "v3", 3)], [("z", "end", 9000)])
+    for shards in (1, 3):
+        out = drain(joins.as_of_join(left, right, "key", "et", "et", delay=30, shards=shards)).where("key is null or key <> 'z'")
+        assert sorted((r.value, r.right_value) for r in out.collect()) == [
+            ("b131", "v3"), ("none", None), ("r0", None), ("r130", "v90"), ("r20", "v20"), ("r21", "v3"), ("r5", "v5")]
+
+
+def test_as_of_join_equals_batch(spark, shuffled):
+    from tidemark.operators import joins as batch
+    rows, df = shuffled
+
+    def sides(d):
+        return d.where("value <> 'pay' or key = 'z'"), d.where("value = 'pay'").select("key", "et", F.col("at").alias("n"))
+
+    for how in ("left", "inner"):
+        same(spark, rows, joins.as_of_join(*sides(df), "key", "et", "et", how, 20).withColumns({c: F.col(c).cast("double") for c in ("at", "right_n")}),
+             lambda d: batch.as_of_join(*sides(d), "key", "et", "et", how).withColumns({c: F.col(c).cast("double") for c in ("at", "right_n")}))
+
+
+def test_session_join_of_streams(feed):
+    """A late row merges two open sessions, whose rows then meet."""
+    left = feed([("a", "l1", 1), ("b", "l2", 2)], [("a", "l40", 40)], [("z", "", 9000)])
+    right = feed([("a", "r14", 14), ("a", "r2", 2)], [("a", "r8", 8), ("c", "r9", 9)], [("z", "", 9000)])
+    out = drain(joins.session_window_join(left, right, "key", "et", "10 seconds", "60 seconds"))
+    got = sorted((r.value, r.right_value, sec(r.window_start)) for r in out.where("key <> 'z'").collect())
+    assert got == [("l1", "r14", 1), ("l1", "r2", 1), ("l1", "r8", 1)]
+
+
+def test_session_join_equals_batch(spark, shuffled):
+    from tidemark.operators import joins as batch
+    rows, df = shuffled
+
+    def sides(d):
+        return (d.where(f"value = '{v}' or key = 'z'").select("key", "et", F.col("at").cast("double").alias("at")) for v in ("create", "pay"))
+
+    same(spark, rows, joins.session_window_join(*sides(df), "key", "et", "12 seconds", "20 seconds").drop("window_start", "window_end"),
+         lambda d: batch.session_window_join(*sides(d), "key", "et", 12).drop("session"))
+
+
 def test_sessions(feed):
     df = feed([("a", "", 1), ("a", "", 5)], [("a", "", 30)], [("z", "", 500)])
     out = drain(windows.session_counts(df, "key", "et", "10 seconds"))

@@ -1,6 +1,6 @@
 """The streaming operators run over the events table, read as a stream of files.
 
-The stateful ones get it in four files, one per micro-batch and in the order of events, so that state,
+The stateful ones get it in four parts, one per micro-batch and in the order of events, so that state,
 timers and watermarks are carried between batches. Each query runs until the files present are consumed and returns what it wrote. A window or
 timeout the last watermark has not passed is not part of the result, which is what the
 ``closed`` conditions of the oracle SQL say.
@@ -17,7 +17,7 @@ from tidemark.operators.warehouse import read_final
 from tidemark.plans import inputs
 from tidemark.plans.inputs import kind, sql_text, text
 from tidemark.plans.registry import query
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, written
 from tidemark.streaming import joins, patterns, streams, windows
 from tidemark.streaming.sinks import batched_sink, drain
 
@@ -30,26 +30,29 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _in_files(spark: SparkSession, rows: DataFrame, cuts: list[Column]) -> DataFrame:
-    """``rows`` as a stream of one file per micro-batch: the i-th has the rows of the i-th condition that holds first."""
+    """``rows`` as a stream of one part per micro-batch: the i-th has the rows of the i-th condition that holds first."""
     path = scratch_path(spark, "feed")
     part = F.lit(len(cuts))
     for i, cut in reversed(list(enumerate(cuts))):
         part = F.when(cut, i).otherwise(part)
-    numbered = rows.withColumn("_part", part)
+    numbered = written(rows.withColumn("_part", part), "feed-rows")
+    # every part in as many files as a micro-batch takes; no task writes more than its share of a part
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1))).collect()
+    files = min([spark.sparkContext.defaultParallelism, *(n // 100 + 1 for _, n in sizes)])
     for i in range(len(cuts) + 1):  # written one after the other: a file source takes the oldest first
-        numbered.where(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        numbered.where(F.col("_part") == i).drop("_part").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _ordered(spark: SparkSession, folder: str) -> DataFrame:
-    """Events in four files by time."""
+    """Events in four parts by time."""
     rows = inputs.events(spark, folder).select("event_id", "ts", "user_id", "event_type", "value")
     days = [F.col("ts") < F.lit(d).cast("timestamp_ntz") for d in ("2024-01-08", "2024-01-16", "2024-01-23")]
     return _in_files(spark, rows, days).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _with_late(spark: SparkSession, folder: str) -> DataFrame:
-    """As ``_ordered``, but each 50th event of the first week comes with the third file, two weeks late."""
+    """As ``_ordered``, but each 50th event of the first week comes with the third part, two weeks late."""
     rows = inputs.events(spark, folder).select("event_id", "ts", "user_id", "event_type", "value")
     held = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
     days = [(F.col("ts") < F.lit(d).cast("timestamp_ntz")) & ~held for d in ("2024-01-08", "2024-01-16")]
@@ -162,7 +165,7 @@ def stream_top_n_keyed(spark: SparkSession, folder: str) -> DataFrame:
     counts = marked.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("score"))
     timed = counts.select(F.window_time("window").alias("at"), F.col("window.end").alias("window_end"),
                           "event_type", "score")
-    found = drain(windows.top_n_keyed(timed, "window_end", "at", "event_type", "score", 2))
+    found = drain(windows.top_n_keyed(timed, "window_end", "at", "event_type", "score", 2, shards=1))
     return _text(found, "window_end")
 
 
@@ -193,6 +196,22 @@ def stream_window_uv_approx(spark: SparkSession, folder: str) -> DataFrame:
     return both.select("window_start", "window_end", "exact", near.alias("within_error"))
 
 
+@query(f"""
+SELECT {sql_text("date_trunc('day', ts)")} AS window_start, {sql_text("date_trunc('day', ts) + INTERVAL 1 DAY")} AS window_end,
+       count(DISTINCT user_id) AS exact, TRUE AS never_above, TRUE AS within_bound FROM events
+WHERE event_type = 'view' AND date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM {_VIEWS}) GROUP BY ALL""")
+def stream_window_uv_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The filter of each closed day against its exact count: never above, and short by little more than pairs that share a bit."""
+    found = _text(drain(windows.window_uv_filter(
+        kind(_ordered(spark, folder), "view"), "user_id", "ts", "1 day")), "window_start", "window_end")
+    exact = batch_windows.window_uv_exact(kind(inputs.events(spark, folder), "view"), "user_id", "ts", "1 day")
+    both = found.join(_text(exact.withColumnRenamed("uv", "exact"), "window_start", "window_end"),
+                      ["window_start", "window_end"])
+    missed = windows.missed(F.col("exact"), windows.bitmaps_of(20_000, 0.001))
+    return both.select("window_start", "window_end", "exact", (F.col("uv") <= F.col("exact")).alias("never_above"),
+                       (F.col("exact") - F.col("uv") <= missed + 5 * F.sqrt(missed) + 1).alias("within_bound"))
+
+
 @query(f"""
 WITH counted AS (SELECT event_type, ts, row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts)
                                                            ORDER BY ts) AS n FROM events)
@@ -225,6 +244,34 @@ def stream_window_join(spark: SparkSession, folder: str) -> DataFrame:
     return _pairs(drain(joins.window_join(*_ordered_sides(spark, folder), "user_id", "ts", "1 hour")))
 
 
+@query(f"""
+WITH {_L}, {_R},
+both_sides AS (SELECT 'l' AS side, * FROM l UNION ALL SELECT 'r', * FROM r),
+lagged AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM both_sides),
+numbered AS (SELECT *, sum(CASE WHEN ts - prev > INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY user_id ORDER BY ts) AS session FROM lagged),
+closed AS (SELECT user_id, session FROM numbered GROUP BY user_id, session
+           HAVING epoch_ms(max(ts)) + 1800000 <= least((SELECT epoch_ms(max(ts)) FROM l), (SELECT epoch_ms(max(ts)) FROM r)) - 16 * 86400000)
+SELECT a.user_id, a.event_id, b.event_id AS right_event_id
+FROM numbered a JOIN numbered b ON a.user_id = b.user_id AND a.session = b.session AND a.side = 'l' AND b.side = 'r'
+JOIN closed c ON c.user_id = a.user_id AND c.session = a.session""")
+def stream_session_window_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Views and purchases of one session, some of the first week's coming with the third part."""
+    return _pairs(drain(joins.session_window_join(
+        *_late_sides(spark, folder), "user_id", "ts", "30 minutes", delay="16 days")))
+
+
+@query(f"""
+WITH {_L}, {_R}
+SELECT l.user_id, l.event_id, r.event_id AS right_event_id FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.ts
+WHERE (epoch_us(l.ts) + 999) // 1000 + 1
+  <= least((SELECT epoch_ms(max(ts)) FROM l), (SELECT epoch_ms(max(ts)) FROM r)) - 16 * 86400000""")
+def stream_as_of_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Views with the last purchase of the user before them, some purchases and views coming two weeks late."""
+    return _pairs(drain(joins.as_of_join(
+        *_late_sides(spark, folder), "user_id", "ts", "ts", delay=16 * 86400, shards=2)))
+
+
 _NEAR = f"""
 WITH {_L}, {_R},
 pairs AS (SELECT l.user_id, l.event_id, r.event_id AS right_event_id

@@ -13,6 +13,8 @@ from tidemark.plans.inputs import kind, sql_text, text
 from tidemark.plans.registry import query
 from tidemark.streaming.streams import connect_map as connect
 from tidemark.streaming.streams import union_streams as union_all
+from tidemark.streaming.windows import bitmaps_of, missed
+from tidemark.streaming.windows import window_uv_filter as window_filter
 
 
 def _bounds(df: DataFrame) -> DataFrame:
@@ -104,6 +106,21 @@ def window_uv_approx(spark: SparkSession, folder: str) -> DataFrame:
     return _bounds(both.select("window_start", "window_end", "exact", near.alias("within_error")))
 
 
+@query(f"""
+SELECT {sql_text("date_trunc('day', ts)")} AS window_start, {sql_text("date_trunc('day', ts) + INTERVAL 1 DAY")} AS window_end,
+       count(DISTINCT user_id) AS exact, TRUE AS never_above, TRUE AS within_bound
+FROM events WHERE event_type = 'view' GROUP BY ALL""")
+def window_uv_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter of 20,000 visitors and an error of 0.001 for each day, compared with its exact count."""
+    seen = kind(inputs.events(spark, folder), "view")
+    exact = windows.window_uv_exact(seen, "user_id", "ts", "1 day").withColumnRenamed("uv", "exact")
+    both = window_filter(seen, "user_id", "ts", "1 day").join(exact, ["window_start", "window_end"])
+    short = missed(F.col("exact"), bitmaps_of(20_000, 0.001))
+    return _bounds(both.select(
+        "window_start", "window_end", "exact", (F.col("uv") <= F.col("exact")).alias("never_above"),
+        (F.col("exact") - F.col("uv") <= short + 5 * F.sqrt(short) + 1).alias("within_bound")))
+
+
 _THREE = f"""
 WITH seq AS (SELECT user_id, ts, event_type = 'error' AS hit, lag(ts, 1) OVER w AS t1, lag(ts, 2) OVER w AS t0,
                     lag(event_type = 'error', 1) OVER w AS h1, lag(event_type = 'error', 2) OVER w AS h0

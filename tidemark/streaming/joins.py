@@ -68,6 +68,131 @@ def _named(kind: T.StructType, row) -> dict | None:
     return None if row is None else dict(zip(kind.names, row))
 
 
+def session_window_join(left: DataFrame, right: DataFrame, key: str, ts: str, gap: str,
+                        delay: str = "0 seconds") -> DataFrame:
+    """Inner join on equal key and same session, where sessions are formed over the rows of both sides together; a pause longer
+    than ``gap`` starts the next one. Columns of ``right`` other than the key get the prefix ``right_``.
+
+    A session's rows are gathered by a session window: a row between two open sessions merges them. Its pairs come out
+    when the watermark, the smaller of the two streams', has passed its end; until then it holds the rows of both sides. Null keys
+    meet nobody."""
+    both = side_by_side(watermark(left, ts, delay), watermark(right, ts, delay), key, ts).where(F.col(key).isNotNull())
+    side = F.col("_side")
+    sessions = both.groupBy(F.session_window(ts, gap).alias("window"), key).agg(
+        F.collect_list(F.when(side == "l", F.col("_left"))).alias("_lefts"),
+        F.collect_list(F.when(side == "r", F.col("_right"))).alias("_rights"))
+    met = sessions.where((F.size("_lefts") > 0) & (F.size("_rights") > 0))
+    pairs = met.withColumn("_left", F.explode("_lefts")).withColumn("_right", F.explode("_rights"))
+    mine = [F.col("_left")[c].alias(c) for c in left.columns]
+    return pairs.select(*mine, *[F.col("_right")[c].alias(f"right_{c}") for c in right.columns if c != key],
+                        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"))
+
+
+class AsOf(LogicalClock):
+    """One key, or a share of its rows. Versions are kept in map state by their start, beside the sorted list of starts; rows
+    wait in map state by millisecond until the watermark has passed them. A version that no later row can meet goes."""
+
+    def __init__(self, row: T.StructType, version: T.StructType, delay: float):
+        super().__init__(delay)
+        self.types = (row, version)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.starts = handle.getValueState("starts", "at array<long>, answered long")
+        self.versions = handle.getMapState("versions", "at long", T.StructType([T.StructField("row", self.types[1])]))
+        held = T.StructType([T.StructField("at", T.LongType()), T.StructField("row", self.types[0])])
+        self.waiting = handle.getMapState("waiting", "ms long", T.StructType([T.StructField("rows", T.ArrayType(held))]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now = self.now(timerValues)
+        known, answered = self._known()
+        starts = set(known)
+        new: dict[int, list] = {}
+        for row in rows:
+            at = row["at"]
+            if row["_side"] == "r":
+                self.versions.updateValue((at,), (_values(row["_right"]),))
+                starts.add(at)
+            elif now is None or at >= now * 1000:
+                new.setdefault(-(-at // 1000), []).append((at, _values(row["_left"])))
+        for ms, more in new.items():
+            before = self._rows(ms)
+            if not before:
+                self.wake(ms + 1)
+            self.waiting.updateValue((ms,), ([*before, *more],))
+        # timers run after the rows: what waits until now is answered by the next call
+        self._keep(sorted(starts), answered, now)
+        return iter(())
+
+    def _known(self) -> tuple[list[int], int | None]:
+        """Starts of the versions kept, and the time up to which no row waits any more."""
+        found = self.starts.get()
+        return (list(found[0] or []), found[1]) if found else ([], None)
+
+    def _rows(self, ms: int) -> list[tuple]:
+        found = self.waiting.getValue((ms,))
+        return [(r["at"], _values(r["row"])) if isinstance(r, dict) else (r[0], _values(r[1])) for r in (found[0] if found else [])]
+
+    def _keep(self, starts: list[int], answered: int | None, now: int | None) -> None:
+        """Forget the versions before the newest that had started by ``answered`` (milliseconds): no row waits or comes that is as old."""
+        if answered is not None:
+            old = max(bisect_right(starts, (answered - 1) * 1000) - 1, 0)  # rows of this millisecond may still wait
+            for at in starts[:old]:
+                self.versions.removeKey((at,))
+            starts = starts[old:]
+        self.starts.update((starts, now))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        ms = expiredTimerInfo.getExpiryTimeInMs() - self.behind - 1
+        starts, answered = self._known()
+        seen: dict[int, tuple] = {}
+        for at, row in self._rows(ms):
+            i = bisect_right(starts, at) - 1
+            if i >= 0 and starts[i] not in seen:
+                seen[starts[i]] = _values(self.versions.getValue((starts[i],))[0])
+            yield Row(left=_named(self.types[0], row), right=_named(self.types[1], seen[starts[i]]) if i >= 0 else None)
+        self.waiting.removeKey((ms,))
+
+    def close(self) -> None:
+        pass
+
+
+def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_ts: str, how: str = "left",
+               delay: float = 0, shards: int = 1, horizon: float = HORIZON) -> DataFrame:
+    """Streaming form of ``operators.joins.as_of_join``: each row of ``left`` with the version of its key that was valid
+    at its time, not the newest one known when it arrives.
+
+    A row waits until the watermark, ``delay`` seconds behind the smaller of the two streams' clocks, has passed it: versions that
+    come late by less than this still count for rows before them. Rows behind the watermark are dropped; versions are
+    kept however late they come, for the rows after them. Of versions with one start the last to arrive counts. ``shards``
+    spreads the rows of a hot key over so many groups, each with a copy of its versions. A row with a null key comes out at once, without a
+    version."""
+    right = versions.withColumn(version_ts, F.col(version_ts).cast("timestamp")).where(F.col(key).isNotNull())
+    mine = left_typed(left, ts)
+    both = side_by_side(
+        late_watermark(mine.where(F.col(key).isNotNull()).withColumns({"_key": F.col(key), "_at": F.col(ts)}), "_at", horizon),
+        late_watermark(right.withColumns({"_key": F.col(key), "_at": F.col(version_ts)}), "_at", horizon), "_key", "_at", CLOCK)
+    share = F.xxhash64("_left") if shards > 1 else F.lit(0).cast("long")
+    every = F.array(*[F.lit(i).cast("long") for i in range(shards)])
+    own = ["_key", "_at", CLOCK]
+    rows = both.select(
+        F.col("_key").alias("key"), F.explode(F.when(F.col("_side") == "r", every).otherwise(
+            F.array(F.pmod(share, F.lit(shards).cast("long"))))).alias("shard"),
+        "_side", F.col("_left").dropFields(*own).alias("_left"), F.col("_right").dropFields(*own).alias("_right"),
+        micros("_at").alias("at"), CLOCK)
+    types = (_struct(mine), _struct(right))
+    found = rows.groupBy("key", "shard").transformWithState(
+        AsOf(*types, delay), T.StructType([T.StructField("left", types[0]), T.StructField("right", types[1])]), "append", "EventTime")
+    if how == "inner":
+        found = found.where(F.col("right").isNotNull())
+    names = [c for c in versions.columns if c != key]
+    out = found.select("left.*", *[F.col("right")[c].alias(f"right_{c}") for c in names])
+    if how == "inner":
+        return out
+    return out.unionByName(mine.where(F.col(key).isNull()).select(
+        *mine.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(f"right_{c}") for c in names]))
+
+
 class IntervalJoinLate(LogicalClock):
     """One cell of time of one key. The rows of each side wait in map state, by slot of time: a new row reads
     only the slots its partners can lie in, and pairs are found in sorted lists."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import json
+import math
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -38,26 +38,26 @@ def tumbling_count(df: DataFrame, key: str, ts: str, size: str, delay: str) -> D
 
 def hot_items(df: DataFrame, item: str, ts: str, size: str = "1 hour", slide: str = "5 minutes",
               n: int = 3, delay: str = "0 seconds", shards: int = 64) -> DataFrame:
-    """The ``n`` most frequent items per sliding window, emitted once it closes.
+    """The ``n`` most frequent items per sliding window, emitted once it closes; ties by item.
 
     Rows are counted once, per item and pane of one slide; only pane counts are copied to the windows
-    they lie in. Then the best ``n`` of each shard of items, then of the shards: both keep ``n`` entries,
-    so no state and no task holds the items of a window. ``size`` is a multiple of ``slide``.
+    they lie in. A window's counts come out together when it closes; they are ranked within shards of items and the shards'
+    best ``n`` then among each other, all by built-in aggregates, so the items of a window are spread over
+    ``shards`` groups, as many as it has items if those are fewer. ``size`` is a multiple of ``slide``.
     """
-    kind = df.schema[item].dataType
     panes = watermark(df, ts, delay).groupBy(F.window(ts, slide), item).agg(F.count(F.lit(1)).alias("_n"))
     counts = panes.groupBy(F.window("window", size, slide), item).agg(F.sum("_n").alias("_score"))
-    at = F.window_time("window")
-    entries = counts.select(
-        F.unix_millis(F.col("window.end")).alias("group"), F.pmod(F.xxhash64(item), F.lit(shards)).alias("shard"),
-        F.to_json(F.struct(F.col(item).alias("v"))).alias("item"), F.col("_score").alias("score"), at.alias("at"))
-    of_shard = _top(entries, ["group", "shard"], n)
-    top = _top(of_shard.select("group", F.lit(0).cast("long").alias("shard"), "item", "score", "at"), ["group", "shard"], n)
-    value = F.from_json("item", T.StructType([T.StructField("v", kind)]))["v"]
-    length = F.expr(f"INTERVAL {size}")
-    end = F.timestamp_millis("group")
-    return top.select((end - length).alias("window_start"), end.alias("window_end"), value.alias(item),
-                      F.col("score").alias("view_count"), "rank")
+    entry = F.struct((-F.col("_score")).alias("lost"), F.col(item).alias("item"))
+    of_shard = counts.groupBy("window", F.pmod(F.xxhash64(item), F.lit(shards)).alias("_shard")).agg(
+        _first(F.collect_list(entry), n).alias("_best"))
+    best = of_shard.groupBy("window").agg(_first(F.flatten(F.collect_list("_best")), n).alias("_best"))
+    ranked = best.select("window", F.posexplode("_best").alias("_at", "_one"))
+    return _flat(ranked.select("window", F.col("_one.item").alias(item), (-F.col("_one.lost")).alias("view_count"),
+                               (F.col("_at") + 1).cast("int").alias("rank")))
+
+
+def _first(entries: Column, n: int) -> Column:
+    return F.slice(F.array_sort(entries), 1, n)
 
 
 def window_uv_exact(df: DataFrame, user: str, ts: str, size: str = "1 hour",
@@ -76,6 +76,39 @@ def window_uv_approx(df: DataFrame, user: str, ts: str, size: str = "1 hour", rs
         F.approx_count_distinct(user, rsd).alias("uv")))
 
 
+#: Bits of one bitmap of ``bitmap_construct_agg``.
+BITMAP = 32_768
+
+
+def bitmaps_of(capacity: int, error: float) -> int:
+    """Bitmaps for a filter that ``capacity`` visitors fill so little that a share of ``error`` of them is not seen, on average."""
+    return math.ceil(capacity / (2 * error) / BITMAP)
+
+
+def missed(visitors: int | Column, bitmaps: int) -> float | Column:
+    """How many of ``visitors`` a filter of so many bitmaps counts too few on average: pairs that share a bit."""
+    return visitors * visitors / (2 * BITMAP * bitmaps)
+
+
+def _set_bits(df: DataFrame, by: list, user: str, bitmaps: int) -> DataFrame:
+    """``uv``: the number of different bits the users hash to. A bitmap is kept for each part of the bits that is used."""
+    place = F.pmod(F.xxhash64(user), F.lit(bitmaps * BITMAP))
+    parts = df.where(F.col(user).isNotNull()).groupBy(*by, F.floor(place / BITMAP).alias("_part")).agg(
+        F.bitmap_construct_agg(place % BITMAP).alias("_bits"))
+    return parts.select("window", F.bitmap_count("_bits").alias("_set")).groupBy("window").agg(F.sum("_set").alias("uv"))
+
+
+def window_uv_filter(df: DataFrame, user: str, ts: str, size: str = "1 hour", delay: str = "0 seconds",
+                     capacity: int = 20_000, error: float = 0.001) -> DataFrame:
+    """Distinct users per window by a Bloom filter with one hash: a user counts if their bit was not set.
+
+    The filter is a set of bits, so it can be merged, also map-side, and its count does not depend on the order of rows. It never
+    counts too many; ``capacity`` users are undercounted by a share of ``error`` on average, v users by v^2 / 2m with m bits.
+    State holds at most ``bitmaps_of(capacity, error)`` bitmaps of 4 kB per window. Works on tables and streams."""
+    rows = watermark(df, ts, delay) if df.isStreaming else df
+    return _flat(_set_bits(rows, [F.window(ts, size)], user, bitmaps_of(capacity, error)))
+
+
 def session_counts(df: DataFrame, key: str, ts: str, gap: str, delay: str = "0 seconds") -> DataFrame:
     """Events per key and session, a session ending after ``gap`` without events."""
     sessions = watermark(df, ts, delay).groupBy(F.session_window(ts, gap).alias("window"), key)
@@ -266,44 +299,37 @@ class TopN(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        at = datetime.fromtimestamp(key[0] / 1000)
+        at = datetime.fromtimestamp(key[0] / 1000, timezone.utc)  # an instant, whatever the zone of the worker
         for rank, (score, item) in enumerate(self._top([tuple(e) for e in self.best.get()]), 1):
             yield Row(group=key[0], shard=key[1], item=item, score=score, rank=rank, at=at)
         self.best.clear()
 
     def _top(self, entries):
-        return sorted(entries, key=lambda e: (-e[0], _plain(e[1])))[:self.n]
+        return sorted(entries, key=lambda e: (-e[0], e[1] is not None, e[1] or ""))[:self.n]
 
     def close(self) -> None:
         pass
 
 
-def _plain(item: str):
-    """An item as it sorts: numbers in JSON by value, all else as text."""
-    if item.startswith('{"v":'):
-        value = json.loads(item)["v"]
-        return (0, value, "") if isinstance(value, (int, float)) else (1, 0, str(value))
-    return (1, 0, item)
-
-
 def _top(rows: DataFrame, by: list[str], n: int) -> DataFrame:
     return rows.groupBy(*by).transformWithState(
         TopN(n), "group long, shard long, item string, score long, rank int, at timestamp", "append", "EventTime",
         eventTimeColumnName="at")
 
 
-def top_n_keyed(df: DataFrame, group_end: str, ts: str, item: str, score: str, n: int, shards: int = 16) -> DataFrame:
+def top_n_keyed(df: DataFrame, group_end: str, ts: str, item: str, score: str, n: int, shards: int = 4) -> DataFrame:
     """Best ``n`` rows per group, emitted when the watermark passes the group's end time.
 
     ``df`` is watermarked on ``ts`` and has one row per group and item. Items are ranked per shard first, so that
-    a group's items are spread over tasks; state holds ``n`` entries per group and shard, whatever the number
-    of rows. Ties go by item as text.
+    a group's items are spread over tasks (choose more shards for more items, one where a group has only a few); state holds
+    ``n`` entries per group and shard, whatever the number of rows. Ties go by item as text.
     """
     rows = df.select(
         F.unix_millis(group_end).alias("group"), F.pmod(F.xxhash64(item), F.lit(shards)).alias("shard"),
         F.col(item).cast("string").alias("item"), F.col(score).cast("long").alias("score"), F.col(ts).alias("at"))
-    of_shard = _top(rows, ["group", "shard"], n)
-    out = _top(of_shard.select("group", F.lit(0).cast("long").alias("shard"), "item", "score", "at"), ["group", "shard"], n)
+    out = _top(rows, ["group", "shard"], n)
+    if shards > 1:
+        out = _top(out.select("group", F.lit(0).cast("long").alias("shard"), "item", "score", "at"), ["group", "shard"], n)
     kind = df.schema[item].dataType
     return out.select(F.timestamp_millis("group").alias(group_end), F.col("item").cast(kind).alias(item),
                       F.col("score").alias(score), "rank")
