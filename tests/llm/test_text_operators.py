@@ -250,7 +250,11 @@ def shared_texts():
     return texts + [(1000, texts[3][1]), (1001, texts[3][1])]
 
 
-def test_repeated_passages(spark):
+@pytest.mark.parametrize("group, chunk", [(100_000, 30_000), (100_000, 40), (2, 40), (0, 1)])
+def test_repeated_passages(spark, monkeypatch, group, chunk):
+    """Also in small pieces, and where groups count as large."""
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
     texts = shared_texts()
     want = repeats(texts, 50)
     got = [np.zeros(len(w), bool) for w in want]
@@ -258,11 +262,7 @@ def test_repeated_passages(spark):
     spans = suffix_dedup.repeated_spans(frame(spark, texts)).collect()
     for r in spans:
         got[place[r.doc]][r.start:r.end] = True
-    for found, right in zip(got, want):
-        assert not (found & ~right).any()
-        # every run is found; its ends may reach further with another document than with the first
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], right.astype(int), [0]])))
-        assert all(found[a:b].sum() >= max(50, b - a - 34) for a, b in edges.reshape(-1, 2))
+    assert all((found == right).all() for found, right in zip(got, want))
     assert all(r.first_doc <= r.doc for r in spans)
     assert all(r.kept == (r.first_doc == r.doc) for r in spans)
 
@@ -302,6 +302,30 @@ def test_passages_at_a_later_place_of_the_first_document(spark):
     assert not any(x.any() for x in repeats([(r.doc_id, r.text) for r in clean], 50))
 
 
+def test_passages_of_every_kind(spark):
+    """Near copies, copies, passages inside others, repeats inside a text, at its ends and in a very long one."""
+    rnd = random.Random(31)
+    long = prose(rnd, 400).split()
+    inner = long[100:160]
+    texts = [(1, " ".join(long)), (2, " ".join(long[:200] + ["changed"] + long[201:])), (3, " ".join([prose(rnd, 30), *inner, prose(rnd, 9)])),
+             (4, " ".join(inner)), (5, " ".join(inner[:50])), (6, " ".join(inner[10:60])), (7, " ".join(inner[:49])), (8, " ".join(long[230:]))]
+    texts += [(9, " ".join([*inner[:55], prose(rnd, 5), *inner[5:]])), (10, " ".join(["again"] * 300)), (11, " ".join(["again"] * 120)),
+              (12, " ".join(long)), (13, " ".join([prose(rnd, 20_000), *inner[3:58], prose(rnd, 9_000)])), (14, None), (15, "")]
+    for j in range(20):
+        copy = list(long)
+        for at in rnd.sample(range(400), 8):
+            copy[at] = f"new{j % 3}"
+        texts.append((100 + j, " ".join(copy)))
+    want = repeats(texts, 50)
+    got = {i: np.zeros(len(w), bool) for (i, _), w in zip(texts, want)}
+    for r in suffix_dedup.repeated_spans(frame(spark, texts)).collect():
+        got[r.doc][r.start:r.end] = True
+    assert all((got[i] == w).all() for (i, _), w in zip(texts, want))
+    clean = suffix_dedup.without_repeats(frame(spark, texts)).collect()
+    assert not any(x.any() for x in repeats([(r.doc_id, r.text) for r in clean], 50))
+    assert {r.doc_id: r.text for r in clean}[1] == texts[0][1]
+
+
 def test_cut_passages(spark, odd):
     texts = shared_texts()
     docs = frame(spark, texts, extra=True).unionByName(odd)

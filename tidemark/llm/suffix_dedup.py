@@ -2,14 +2,18 @@
 
 Suffixes are kept only at positions that their content selects: a word position whose hash over the
 next ``PREFIX`` words is the smallest in some window of neighbouring positions. Two occurrences of a
-passage select the same positions inside it, and every passage of ``least`` words has at least one.
+passage of ``least`` words select the same position inside it. What is known of a suffix whose first words are those of no other
+document never leaves the first shuffle.
 
-The suffixes are sorted by the hash of their first words; equal neighbours are compared with the
-first of them (the smallest document and position), and matches are extended word by word to the
-left and right. Where the first shares too little, the others of its group, also the later ones of its
-own document, are compared by all windows of ``least`` words around them. What is known of a suffix that has no equal neighbour never leaves the first
-shuffle. Groups are only aggregated and joined, so a passage in a third of all documents is spread
-by adaptive execution; a suffix's neighbourhood travels as ``2 * reach`` word hashes, never as text.
+The others are sorted by their content, with the words before them behind it. Each is compared with its neighbour; in
+the sorted order, all that share a number of words to the right lie side by side, without a smaller match between them.
+For each number of words that a passage may reach to the left of a suffix, those of a run are told apart by these words, and
+passages in two documents are matches. All lengths together are the extension to the left and right, and the result is exact: every
+word in a passage of ``least`` words that another document has too.
+
+Texts that are equal as a whole are found by their digests, and only the smallest is looked at further. A group of
+suffixes with equal first words is compared in one task, in pieces of many small groups, up to ``GROUP`` suffixes; larger groups are
+compared by a shuffle of the digests of their passages, with the same result.
 
 Every removed word is justified by an equal word of a smaller (document, position), so one copy of
 each passage always stays.
@@ -30,6 +34,10 @@ from tidemark.session import written
 
 PREFIX = 16   # words of a suffix that are hashed
 WORDS_KEPT = 1_000_000
+GROUP = 100_000  # suffixes with equal first words that are compared in one task
+CHUNK = 30_000   # suffixes compared at a time, whole groups
+
+SPANS = "doc long, row long, start int, end int, first_doc long, kept boolean"
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -79,66 +87,155 @@ def minimisers(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffixes(docs: DataFrame, least: int) -> DataFrame:
-    """(``hash``, ``doc``, ``row``, ``pos``): the selected suffixes of all documents."""
+    """The selected suffixes of all documents: ``hash``, ``doc``, ``row``, ``pos``; and a row for each text with ``pos`` -1, its number
+    of words and a digest in ``hash`` and ``more``."""
     def run(batches: Batches) -> Batches:
         hashes = _Hashes()
         for batch in batches:
-            found = [minimisers(hashes.of(t), least) for t in utf8(batch)]
-            index = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-            none = [np.zeros(0, np.int64)]
+            hash_, more, pos, words, index = [], [], [], [], []
+            for i, text in enumerate(utf8(batch)):
+                w = hashes.of(text)
+                at, h = minimisers(w, least)
+                digest = np.frombuffer(xxhash.xxh3_128_digest(text), np.int64)
+                hash_ += [digest[:1], h.view(np.int64)]
+                more += [digest[1:], np.zeros(len(at), np.int64)]
+                pos += [[-1], at]
+                words += [[len(w)], np.zeros(len(at), np.int64)]
+                index.append(np.full(1 + len(at), i))
+            if not index:
+                continue
+            of = pa.array(np.concatenate(index))
             yield pa.RecordBatch.from_pydict({
-                "hash": np.concatenate([f[1].view(np.int64) for f in found] or none),
-                "doc": batch.column("doc").take(pa.array(index)), "row": batch.column("row").take(pa.array(index)),
-                "pos": np.concatenate([f[0] for f in found] or none).astype(np.int32)})
+                "hash": np.concatenate(hash_), "more": np.concatenate(more), "doc": batch.column("doc").take(of),
+                "row": batch.column("row").take(of), "pos": np.concatenate(pos).astype(np.int32),
+                "words": np.concatenate(words).astype(np.int32)})
 
-    return docs.mapInArrow(run, "hash long, doc long, row long, pos int")
+    return docs.mapInArrow(run, "hash long, more long, doc long, row long, pos int, words int")
 
 
-def _contexts(docs: DataFrame, wanted: DataFrame, reach: int) -> DataFrame:
-    """The ``reach`` words before and after the prefix of the wanted (``doc``, ``row``, ``pos``), as 32-bit hashes with one
-    word each in front and behind; how many there are is ``left`` and ``right``."""
-    lists = wanted.groupBy("doc", "row").agg(F.collect_set("pos").alias("at"))
+def _contexts(docs: DataFrame, wanted: DataFrame, copies: DataFrame, reach: int) -> DataFrame:
+    """The ``reach`` words behind the prefix of the wanted (``doc``, ``row``, ``pos``, ``hash``) and the ``reach`` before it, nearest first, as
+    32-bit hashes in ``around``, which sorts like the text; how many there are is ``left`` and ``right``. Of equal texts
+    only the first has any."""
+    lists = wanted.groupBy("doc", "row").agg(F.collect_set(F.struct("pos", "hash")).alias("at"))
+    lists = lists.join(copies.where("not kept"), ["doc", "row"], "left_anti")
     texts = lists.join(docs, ["doc", "row"]).dropDuplicates(["doc", "row"]).select("doc", "row", "at", "text")
 
     def run(batches: Batches) -> Batches:
         hashes = _Hashes()
-        steps = np.concatenate([np.arange(-1, -reach - 1, -1), np.arange(PREFIX, PREFIX + reach)])
+        steps = np.concatenate([np.arange(PREFIX, PREFIX + reach), np.arange(-1, -reach - 1, -1)])
         for batch in batches:
             for i, text in enumerate(utf8(batch)):
                 words = hashes.of(text).astype(np.uint32)
-                at = batch.column("at")[i].values.to_numpy()
+                chosen = batch.column("at")[i].values
+                every = chosen.field("pos").to_numpy()
                 padded = np.concatenate([np.zeros(reach, np.uint32), words, np.zeros(reach, np.uint32)])
-                around = padded[at[:, None] + reach + steps].astype("<u4")
-                k = np.full(len(at), i)
-                yield pa.RecordBatch.from_pydict({
-                    "doc": batch.column("doc").take(pa.array(k)), "row": batch.column("row").take(pa.array(k)),
-                    "pos": at, "around": pa.array([a.tobytes() for a in around], pa.binary()),
-                    "left": np.minimum(at, reach).astype(np.int32),
-                    "right": np.minimum(len(words) - at - PREFIX, reach).astype(np.int32)})
-
-    return texts.mapInArrow(run, "doc long, row long, pos int, around binary, left int, right int")
-
-
-def _extended(pairs: DataFrame, reach: int) -> DataFrame:
-    """Add ``l`` and ``r``: how many words match before and after the prefix."""
-    names = [c for c in pairs.columns if c not in ("around", "around0", "left", "left0", "right", "right0")]
-
+                for a in range(0, len(every), CHUNK):
+                    at = every[a:a + CHUNK]
+                    around = np.ascontiguousarray(padded[at[:, None] + reach + steps].astype(">u4"))
+                    k = pa.array(np.full(len(at), i))
+                    yield pa.RecordBatch.from_pydict({
+                        "hash": chosen.field("hash").slice(a, CHUNK), "doc": batch.column("doc").take(k),
+                        "row": batch.column("row").take(k), "pos": at,
+                        "around": pa.array([x.tobytes() for x in around], pa.binary()),
+                        "left": np.minimum(at, reach).astype(np.int32),
+                        "right": np.minimum(len(words) - at - PREFIX, reach).astype(np.int32)})
+
+    return texts.mapInArrow(run, "hash long, doc long, row long, pos int, around binary, left int, right int")
+
+
+def _left_hashes(words: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, ... words of each row: (number, rows)."""
+    out = np.zeros((words.shape[1] + 1, len(words)), np.uint64)
+    for o in range(words.shape[1]):
+        mixed = (out[o] ^ (out[o] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + words[:, o] + np.uint64(1)
+        out[o + 1] = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out
+
+
+def _compared(rows: pa.Table, reach: int) -> pa.RecordBatch:
+    """Spans of whole groups of suffixes, sorted by ``hash`` and ``around``."""
+    hash_, doc, row, pos, left, right = (rows.column(c).to_numpy() for c in ("hash", "doc", "row", "pos", "left", "right"))
+    around = np.frombuffer(b"".join(rows.column("around").to_pylist()), ">u4").reshape(-1, 2 * reach).astype(np.uint32)
+    # words shared with the suffix before, to the right
+    same = around[1:, :reach] == around[:-1, :reach]
+    shared = np.where(same.all(axis=1), reach, same.argmin(axis=1))
+    shared = np.concatenate([[-1], np.where(hash_[1:] == hash_[:-1], shared, -1)])
+    before = _left_hashes(around[:, reach:])
+    # rows by place, so that the first of a class is its smallest document
+    order = np.lexsort((pos, row, doc))
+    new_doc = np.concatenate([[True], (doc[order][1:] != doc[order][:-1]) | (row[order][1:] != row[order][:-1])])
+    document = np.empty(len(doc), np.int64)
+    document[order] = np.cumsum(new_doc) - 1
+    first = np.full((len(doc), reach + 1), -1, np.int64)
+    for o in range(reach + 1):
+        run = np.cumsum(shared < reach - o).astype(np.uint64)
+        key = (run * np.uint64(0x9E3779B97F4A7C15)) ^ before[o]
+        able = order[(left[order] >= o) & (right[order] >= reach - o)]
+        if not len(able):
+            continue
+        by_key = able[np.argsort(key[able], kind="stable")]
+        begins = np.flatnonzero(np.concatenate([[True], key[by_key[1:]] != key[by_key[:-1]]]))
+        sizes = np.diff(np.concatenate([begins, [len(by_key)]]))
+        heads = by_key[begins]
+        meets = document[heads] != document[by_key[begins + sizes - 1]]
+        first[by_key, o] = np.repeat(np.where(meets, heads, -1), sizes)
+    # neighbouring passages of one first document are one span
+    own = np.where(first >= 0, document[first], -1)
+    state = np.where(first >= 0, 2 * own + (own == document[:, None]), -1)
+    edge = np.full((len(doc), 1), -2)
+    changes = np.diff(np.concatenate([edge, state, edge], axis=1), axis=1) != 0
+    at, a = np.nonzero(changes[:, :-1] & (state >= 0))
+    _, b = np.nonzero(changes[:, 1:] & (state >= 0))
+    source = first[at, a]
+    return pa.RecordBatch.from_pydict({
+        "doc": doc[at], "row": row[at], "start": (pos[at] - b).astype(np.int32),
+        "end": (pos[at] - a + PREFIX + reach).astype(np.int32), "first_doc": doc[source],
+        "kept": document[source] == document[at]})
+
+
+def _in_groups(contexts: DataFrame, reach: int) -> DataFrame:
+    """Spans of groups of at most ``GROUP`` suffixes."""
     def run(batches: Batches) -> Batches:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            mine, first = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, 2 * reach)
-                           for c in ("around", "around0"))
-            same = mine == first
-
-            def length(part: np.ndarray, side: str) -> np.ndarray:
-                n = np.where(part.all(axis=1), reach, part.argmin(axis=1))
-                return np.minimum(n, np.minimum(*(batch.column(c).to_numpy() for c in (side, f"{side}0")))).astype(np.int32)
-
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(length(same[:, :reach], "left")),
-                 pa.array(length(same[:, reach:], "right"))], [*names, "l", "r"])
+            held.append(batch)
+            if sum(b.num_rows for b in held) < CHUNK:
+                continue
+            rows = pa.Table.from_batches(held)
+            hash_ = rows.column("hash").to_numpy()
+            whole = int(np.searchsorted(hash_, hash_[-1]))  # the last group may go on
+            if whole:
+                yield _compared(rows.slice(0, whole), reach)
+            held = rows.slice(whole).to_batches()
+        if held:
+            yield _compared(pa.Table.from_batches(held), reach)
+
+    return contexts.repartition("hash").sortWithinPartitions("hash", "around").mapInArrow(run, SPANS)
+
+
+def _by_digest(contexts: DataFrame, reach: int) -> DataFrame:
+    """The same for larger groups: a row for each passage of ``least`` words around a suffix, shuffled by its digest."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for part in (batch.slice(a, 1000) for a in range(0, batch.num_rows, 1000)):
+                index, start, key = [], [], []
+                columns = (part.column(c).to_pylist() for c in ("around", "hash", "pos", "left", "right"))
+                for i, (around, hash_, pos, left, right) in enumerate(zip(*columns)):
+                    for o in range(max(0, reach - right), left + 1):
+                        index.append(i)
+                        start.append(pos - o)
+                        key.append(xxhash.xxh64_intdigest(around[:4 * (reach - o)] + around[4 * reach:4 * (reach + o)], (hash_ + o) % 2**64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(key, np.uint64).view(np.int64)), part.column("doc").take(pa.array(index, pa.int64())),
+                     part.column("row").take(pa.array(index, pa.int64())), pa.array(start, pa.int32())], ["key", "doc", "row", "start"])
 
-    schema = pairs.select(*names).schema.add("l", "integer").add("r", "integer")
-    return pairs.mapInArrow(run, schema)
+    passages = contexts.mapInArrow(run, "key long, doc long, row long, start int")
+    place = F.struct("doc", "row")
+    shared = passages.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    found = passages.join(shared.select("key", "first"), "key")
+    return found.select("doc", "row", "start", (F.col("start") + PREFIX + reach).alias("end"), F.col("first.doc").alias("first_doc"),
+                        (F.struct("doc", "row") == F.col("first")).alias("kept"))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -153,75 +250,32 @@ def _merged(spans: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, least: int = 50) -> DataFrame:
     """(``doc``, ``row``, ``start``, ``end``, ``first_doc``, ``kept``): passages of ``least`` words or more (from word ``start``
-    up to ``end``) that two documents share. ``kept`` spans are those that stay, in the smallest document;
-    the others repeat text of ``first_doc``. Every such passage is found; where documents of one group share more
-    with each other than with its first, the ends of a span (less than ``least`` words) may be cut to what the
-    first has. ``row`` tells apart rows with one doc_id; rows without an id
-    take no part, and rows equal in id, source and text count as one document."""
+    up to ``end``) that two documents share; together they cover exactly the words in such passages. ``kept`` spans are those
+    that stay, in the smallest document; the others repeat text of ``first_doc``. ``least`` is more than ``PREFIX``.
+
+    ``docs`` has doc_id, source and text. ``row`` tells apart rows with one doc_id; rows without an id take no part, null texts are empty,
+    and rows equal in id, source and text count as one document."""
     reach = least - PREFIX
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), row_key(docs).alias("row"), "text").where(
         "doc is not null")
-    found = suffixes(rows, least)
-    place = F.struct("doc", "row", "pos")
-    heads = written(found.groupBy("hash").agg(
-        F.min(place).alias("head"), F.max(F.struct("doc", "row")).alias("last")).where(
-        "head.doc <> last.doc or head.row <> last.row").select(
-        "hash", F.col("head.doc").alias("doc0"), F.col("head.row").alias("row0"), F.col("head.pos").alias("pos0")),
-        "suffix-heads")
-    members = written(found.join(heads, "hash").where("doc <> doc0 or row <> row0 or pos <> pos0").drop("hash").distinct(),
-                      "suffix-pairs")
-    pairs, own = members.where("doc <> doc0 or row <> row0"), members.where("doc = doc0 and row = row0")
-    wanted = members.select("doc", "row", "pos").union(pairs.select("doc0", "row0", "pos0")).distinct()
-    around = written(_contexts(rows, wanted, reach), "suffix-contexts")
-    of_first = around.select(*[F.col(c).alias(f"{c}0") for c in around.columns])
-    both = pairs.join(around, ["doc", "row", "pos"]).join(of_first, ["doc0", "row0", "pos0"])
-    compared = written(_extended(both, reach), "suffix-compared")
-    long_enough = F.col("l") + F.col("r") + PREFIX >= least
-    matched = compared.where(long_enough)
-    spans = matched.select("doc", "row", (F.col("pos") - F.col("l")).alias("start"),
-                           (F.col("pos") + PREFIX + F.col("r")).alias("end"), F.col("doc0").alias("first_doc"),
-                           F.lit(False).alias("kept"))
-    firsts = matched.select("doc0", "row0", F.col("pos0") - F.col("l"), F.col("pos0") + PREFIX + F.col("r"), "doc0",
-                            F.lit(True))
-    among = _among_others(compared, compared.where(~long_enough), own, around, least)
-    return _merged(spans.union(firsts).union(among))
-
-
-def _among_others(compared: DataFrame, short: DataFrame, own: DataFrame, around: DataFrame, least: int) -> DataFrame:
-    """Spans that suffixes share with each other where the first of their group shares less with one of them: by the hash
-    of the windows of ``least`` words around the suffixes of such groups. A window that a suffix shares with the
-    first is known already and left out. ``own`` are the later positions of the first's document, of which nothing is
-    known yet."""
-    reach, head = least - PREFIX, ["doc0", "row0", "pos0"]
-    later = own.withColumns({"l": F.lit(-1), "r": F.lit(-1)}).select(*compared.columns)
-    members = compared.union(later).join(short.select(*head).distinct(), head, "left_semi").where(
-        (F.col("l") < reach) | (F.col("r") < reach)).join(around, ["doc", "row", "pos"])
-
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            index, before, key = [], [], []
-            group = zip(*(batch.column(c).to_pylist() for c in head))
-            rows = zip(*(batch.column(c).to_pylist() for c in ("around", "left", "right", "l", "r")))
-            for i, (of, (words, left, right, known_left, known_right)) in enumerate(zip(group, rows)):
-                name = repr(of).encode()
-                for l in range(max(0, reach - right), left + 1):
-                    if l > known_left or reach - l > known_right:
-                        index.append(i)
-                        before.append(l)
-                        key.append(xxhash.xxh64_intdigest(words[:4 * l] + words[4 * reach:4 * (2 * reach - l)] + name, l))
-            some = batch.take(pa.array(index, pa.int64()))
-            start = some.column("pos").to_numpy() - np.array(before, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(key, np.uint64).view(np.int64)), some.column("doc"), some.column("row"),
-                 pa.array(start.astype(np.int32))], ["key", "doc", "row", "start"])
-
-    windows = members.mapInArrow(run, "key long, doc long, row long, start int")
-    place = F.struct("doc", "row", "start")
-    shared = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(F.struct("doc", "row")).alias("last")).where(
-        "first.doc <> last.doc or first.row <> last.row")
-    found = windows.join(shared.select("key", "first"), "key")
-    own = (F.col("doc") == F.col("first.doc")) & (F.col("row") == F.col("first.row"))
-    return found.select("doc", "row", "start", F.col("start") + least, F.col("first.doc"), own)
+    found = written(suffixes(rows, least), "suffixes")
+    place = F.struct("doc", "row")
+    texts = found.where(F.col("pos") == -1).where(F.col("words") >= least)
+    digest = ["hash", "more", "words"]
+    equal = texts.groupBy(*digest).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    copies = written(texts.join(equal, digest).select(
+        "doc", "row", F.lit(0).alias("start"), F.col("words").alias("end"), F.col("first.doc").alias("first_doc"),
+        (place == F.col("first")).alias("kept")).distinct(), "suffix-copies")
+    some = found.where("pos >= 0").select("hash", "doc", "row", "pos")
+    repeated = written(some.groupBy("hash").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n")).where("first <> last").select(
+        "hash", (F.col("n") > GROUP).alias("hot")), "suffix-groups")
+    spans = copies
+    for hot, compare in ((False, _in_groups), (True, _by_digest)):
+        groups = repeated.where(F.col("hot") == hot).select("hash")
+        if not hot or not groups.isEmpty():
+            spans = spans.union(compare(_contexts(rows, some.join(groups, "hash"), copies, reach), reach))
+    return _merged(spans)
 
 
 def cut(text: bytes, starts: list[int], ends: list[int]) -> bytes:
