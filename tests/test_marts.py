@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions.periods import recent_days, unpivot_periods
 from tidemark.operators import marts, summaries
-from tidemark.sources.tables import publish, read_days
+from tidemark.sources.tables import overwrite_partitions, publish, read_current, read_days
 
 DAY = "2020-06-14"
 
@@ -127,8 +128,16 @@ def test_publish_is_idempotent(spark, tmp_path, rows):
     path = str(tmp_path / "mart")
     for day, n in (("2020-06-13", 1), (DAY, 2), (DAY, 2), (DAY, 3)):
         publish(spark.createDataFrame([(n,)], "n int"), path, day)
-    assert rows(spark.read.parquet(path).selectExpr("n", "cast(dt as string)")) == [(1, "2020-06-13"), (3, DAY)]
-    assert len(list((tmp_path / "mart" / f"dt={DAY}").glob("*.parquet"))) == 1
+    assert rows(read_current(spark, path).select("n", "dt")) == [(1, "2020-06-13"), (3, DAY)]
+    one = read_days(spark, path, DAY, DAY)
+    assert rows(one) == [(3, DAY)]
+    assert len(one.inputFiles()) == 1 and f"dt={DAY}/" in one.inputFiles()[0]  # other days are not even listed
+
+
+def test_read_days_of_a_plain_table(spark, tmp_path, rows):
+    path = str(tmp_path / "plain")
+    for day, n in (("2020-06-13", 1), (DAY, 2), (DAY, 3)):
+        overwrite_partitions(spark.createDataFrame([(n, day)], "n int, dt string"), path, "dt")
     one = read_days(spark, path, DAY, DAY)
     assert rows(one) == [(3, DAY)]
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -138,7 +147,22 @@ def test_publish_is_idempotent(spark, tmp_path, rows):
 def test_period_filter_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "views")
     for day in (DAY, "2020-01-01"):
-        publish(spark.createDataFrame([(1,)], "n int"), path, day)
+        overwrite_partitions(spark.createDataFrame([(1, day)], "n int, dt string"), path, "dt")
     df = recent_days(spark.read.parquet(path), DAY)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "2020-05-16" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] or "18398" in plan
+
+
+def test_visitor_days_equal_distinct_counts(spark, rows):
+    """Bitmaps of days give the distinct visitors of any period, also for null, negative and far numbers."""
+    import random
+    rnd = random.Random(5)
+    data = [(rnd.choice([None, -5, 10**12, rnd.randint(0, 70_000), 7]), rnd.choice("ab"), rnd.choice([None, rnd.randint(0, 9000)]),
+             rnd.randint(1, 3), f"2020-06-{rnd.randint(1, 14):02d}") for _ in range(600)]
+    df = spark.createDataFrame(data, "mid_id long, channel string, during_time_1d long, page_count_1d long, dt string")
+    periods = (1, 3, 7, 12)
+    want = marts.channel_traffic(df, DAY, periods)
+    got = marts.channel_traffic_of_days(marts.channel_days(df), DAY, periods)
+    names = want.columns
+    rounded = lambda d: rows(d.select(*names).withColumns({c: F.round(c, 9) for c in ("avg_duration_sec", "avg_page_count", "bounce_rate")}))
+    assert rounded(got) == rounded(want)

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import warehouse as wh
+from tidemark.sources import tables
+from tidemark.sources.tables import read_current
 
 ZIP = "id string, create_time string, operate_time string, start_date string, end_date string, dt string"
 CHANGES = "id string, create_time string, operate_time string, ts long, dt string"
@@ -36,9 +38,9 @@ def test_scd2_rerun_changes_nothing(spark, rows, tmp_path):
     wh.scd2_publish(history, path)
     seen = []
     for _ in range(2):
-        table = spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
+        table = read_current(spark, path)
         wh.scd2_publish(wh.scd2_apply(table, changes, "2020-06-15"), path, "2020-06-15")
-        seen.append(rows(spark.read.parquet(path).select("id", "start_date", "end_date")))
+        seen.append(rows(read_current(spark, path).select("id", "start_date", "end_date")))
     assert seen[0] == seen[1] and len(seen[0]) == 5
 
 
@@ -53,10 +55,10 @@ def test_scd2_corrected_rerun_loses_nothing(spark, rows, tmp_path):
     def run(*changed):
         changes = spark.createDataFrame([(i, "c", o, day, n) for n, (i, o) in enumerate(changed)],
                                         "id int, create_time string, operate_time string, dt string, ts int")
-        table = spark.read.schema(schema).parquet(path)
+        table = read_current(spark, path)
         whole = rows(wh.scd2_rebuild(table, changes, day))
         wh.scd2_publish(wh.scd2_apply(table, changes, day), path, day)
-        got = rows(spark.read.schema(schema).parquet(path))
+        got = rows(read_current(spark, path))
         assert got == whole
         return [(r[0], r[2], r[3], r[4]) for r in got]
 
@@ -67,6 +69,55 @@ def test_scd2_corrected_rerun_loses_nothing(spark, rows, tmp_path):
     assert run() == [(i, "o", "2024-01-01", end) for i in (1, 2, 3)]
 
 
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["before the load", "in the load", "before the pointer", "in the pointer"])
+@pytest.mark.parametrize("kind", ["publish", "rebuild"])
+def test_stopped_writes_leave_the_old_table(spark, rows, tmp_path, monkeypatch, step, kind):
+    """A writer stopped between any two steps: readers see the old table, a rerun gives the new one."""
+    history, changes = zip_and_changes(spark)
+    path = str(tmp_path / "zip")
+    wh.scd2_publish(history, path)
+    before = rows(read_current(spark, path))
+    new = rows(wh.scd2_rebuild(history, changes, "2020-06-15"))
+
+    def run():
+        stored = read_current(spark, path)
+        if kind == "publish":
+            wh.scd2_publish(wh.scd2_apply(stored, changes, "2020-06-15"), path, "2020-06-15")
+        else:
+            tables.swap_table(wh.scd2_rebuild(stored, changes, "2020-06-15"), path, "dt")
+
+    def stopped(*args):
+        if step == "in the load":  # some of its files are there
+            args[0].limit(1).write.partitionBy("dt").parquet(f"{path}/load=half")
+        if step == "in the pointer":
+            (tmp_path / "zip" / "_pointer" / "_temporary").mkdir(exist_ok=True)
+            (tmp_path / "zip" / "_pointer" / "_temporary" / "part.json").write_text('{"version": 9, "lo')
+        raise Stop
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_load" if "load" in step else "_point", stopped)
+        with pytest.raises(Stop):
+            run()
+    assert rows(read_current(spark, path)) == before
+    run()
+    assert rows(read_current(spark, path)) == new
+    run()
+    assert rows(read_current(spark, path)) == new
+
+
+def test_history_is_not_shuffled(spark, tmp_path):
+    """The day's changes are broadcast; the only shuffle is that which makes them one row per id."""
+    history, changes = zip_and_changes(spark)
+    path = str(tmp_path / "zip")
+    wh.scd2_publish(history, path)
+    plan = wh.scd2_apply(read_current(spark, path), changes, "2020-06-15")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_max_concurrency(spark, rows):
     df = spark.createDataFrame([("r", 0, 100), ("r", 50, 4000), ("r", 100, 200), ("r", 3700, None), ("q", 5, 6)],
                                "room string, a long, b long")

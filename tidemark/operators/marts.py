@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import Day, iso
 from tidemark.functions.periods import PERIODS, count_in_periods, recent_days, unpivot_periods
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, following, row_number
+from tidemark.operators.summaries import visitor_days, visitors_in_periods
 
 
 def _on(day: Day, dt: str = "dt") -> Column:
@@ -42,6 +43,25 @@ def channel_traffic(sessions: DataFrame, day: Day, periods: Sequence[int] = PERI
     return _stamped(result, day)
 
 
+def channel_days(sessions: DataFrame) -> DataFrame:
+    """What ``channel_traffic_of_days`` needs of each day, to be published by ``dt``. ``sessions`` as for
+    ``channel_traffic``, with numbers for mid_id."""
+    return visitor_days(sessions, ["channel"], "mid_id", {
+        "sv_count": F.count(F.lit(1)), "one_page": F.count_if(F.col("page_count_1d") == 1),
+        "pages": F.sum("page_count_1d"), "paged": F.count("page_count_1d"),
+        "time": F.sum("during_time_1d"), "timed": F.count("during_time_1d")})
+
+
+def channel_traffic_of_days(days: DataFrame, day: Day, periods: Sequence[int] = PERIODS) -> DataFrame:
+    """``channel_traffic`` from the published ``channel_days``: a day is added by reading that day's sessions, and the
+    report reads the bitmaps and sums of its longest period."""
+    sums = ["sv_count", "one_page", "pages", "paged", "time", "timed"]
+    n = visitors_in_periods(days, ["channel"], sums, day, periods)
+    return _stamped(n.select(
+        "recent_days", "channel", "uv_count", (F.try_divide("time", "timed") / 1000).alias("avg_duration_sec"),
+        F.try_divide("pages", "paged").alias("avg_page_count"), "sv_count", (F.col("one_page") / F.col("sv_count")).alias("bounce_rate")), day)
+
+
 def page_path(views: DataFrame, day: Day, periods: Sequence[int] = PERIODS,
               rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Page-to-page steps per period, counted. ``views``: session_id, page_id, view_time, dt.

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import Day, iso, later
+from tidemark.functions.sizes import small_side
 from tidemark.functions.timeline import ROWS_PER_SLICE, Timeline, previous, running_sum
+from tidemark.session import written
 from tidemark.sources.tables import replace_partitions, swap_table
 
 OPEN_END = "9999-12-31"
@@ -46,16 +48,13 @@ def _before(zip_table: DataFrame, day: Day, columns: Sequence[str]) -> DataFrame
 
 
 def _step(zip_table: DataFrame, changes: DataFrame, day: Day, attributes: Sequence[str]) -> DataFrame:
-    """Open rows after ``day``, and those it closes: one join by id."""
-    old = _before(zip_table, day, ["id", *attributes, "start_date"])
-    new = _opened(changes, day, attributes)
-    at = F.struct(*attributes, "start_date")
-    both = old.select("id", at.alias("_old")).join(new.select("id", at.alias("_new")), "id", "full")
-    end = F.when(F.col("_new").isNotNull(), F.lit(iso(day, -1))).otherwise(F.lit(OPEN_END))
-    rows = F.array(F.struct(F.col("_old").alias("row"), end.alias("end_date")),
-                   F.struct(F.col("_new").alias("row"), F.lit(OPEN_END).alias("end_date")))
-    each = both.select("id", F.explode(F.filter(rows, lambda r: r["row"].isNotNull())).alias("_one"))
-    return each.select("id", "_one.row.*", F.col("_one.end_date").alias("end_date")).withColumn("dt", F.col("end_date"))
+    """Open rows after ``day``, and those it closes. The day's changes are worked out once and kept; the history is joined with
+    their ids, which are broadcast if they are few, and is then not shuffled."""
+    new = written(_opened(changes, day, attributes), "opened")
+    ids = small_side(new.select("id", F.lit(True).alias("_closes")))
+    old = _before(zip_table, day, ["id", *attributes, "start_date"]).join(ids, "id", "left")
+    end = F.when(F.col("_closes"), F.lit(iso(day, -1))).otherwise(F.lit(OPEN_END))
+    return old.withColumn("end_date", end).drop("_closes").unionByName(new).withColumn("dt", F.col("end_date"))
 
 
 def scd2_apply(zip_table: DataFrame, changes: DataFrame, day: Day,
@@ -81,8 +80,8 @@ def scd2_rebuild(zip_table: DataFrame, changes: DataFrame, day: Day,
 
 
 def scd2_publish(result: DataFrame, path: str, day: Day | None = None) -> None:
-    """Write ``scd2_apply`` output for ``day`` over the two partitions it stands for; without a day, the whole table as it is
-    first loaded."""
+    """Write ``scd2_apply`` output for ``day`` over the two partitions it stands for, in one step for readers of the published
+    table (``read_current``); without a day, the whole table as it is first loaded."""
     if day is None:
         swap_table(result, path, "dt")
     else:

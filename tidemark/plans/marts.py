@@ -14,7 +14,7 @@ from tidemark.plans.inputs import EARLY_DAY, EVENTS_DAY, LAST_DAY, MIDDLE_DAY, t
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path, written
 from tidemark.sources.tables import publish as publish_mart
-from tidemark.sources.tables import read_days
+from tidemark.sources.tables import read_days, swap_table
 
 PERIOD_ROWS = "(SELECT unnest([1, 7, 30]) AS recent_days)"
 
@@ -39,7 +39,7 @@ def recent_days(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.to_date("dt")).cast("string").alias("first_day"))
 
 
-@query(f"""
+_TRAFFIC = f"""
 WITH {inputs.SESSIONS}
 SELECT '{EVENTS_DAY}' AS dt, recent_days, channel, count(DISTINCT mid_id) AS uv_count,
        round(avg(during_time_1d) / 1000, 6) AS avg_duration_sec, round(avg(page_count_1d), 6) AS avg_page_count,
@@ -47,12 +47,27 @@ SELECT '{EVENTS_DAY}' AS dt, recent_days, channel, count(DISTINCT mid_id) AS uv_
        round(sum(CASE WHEN page_count_1d = 1 THEN 1.0::DOUBLE ELSE 0 END) / count(*), 6) AS bounce_rate
 FROM sessions CROSS JOIN {PERIOD_ROWS}
 WHERE dt BETWEEN {_from(EVENTS_DAY)} AND '{EVENTS_DAY}'
-GROUP BY recent_days, channel""")
+GROUP BY recent_days, channel"""
+
+
+@query(_TRAFFIC)
 def channel_traffic(spark: SparkSession, folder: str) -> DataFrame:
     result = marts.channel_traffic(inputs.sessions(spark, folder), EVENTS_DAY)
     return _rounded(result, "avg_duration_sec", "avg_page_count", "bounce_rate")
 
 
+@query(_TRAFFIC)
+def channel_traffic_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a published summary: the days before are loaded at once, the last one from its own sessions."""
+    path = scratch_path(spark, "channel_days")
+    seen = written(inputs.sessions(spark, folder), "sessions")
+    before, last = F.col("dt") < EVENTS_DAY, F.col("dt") == EVENTS_DAY
+    swap_table(marts.channel_days(seen.where(before)), path, "dt")
+    publish_mart(marts.channel_days(seen.where(last)).drop("dt"), path, EVENTS_DAY)
+    result = marts.channel_traffic_of_days(read_days(spark, path, iso(EVENTS_DAY, -29), EVENTS_DAY), EVENTS_DAY)
+    return _rounded(result, "avg_duration_sec", "avg_page_count", "bounce_rate")
+
+
 @query(f"""
 WITH {inputs.VIEWS},
 steps AS (SELECT recent_days, page_id,

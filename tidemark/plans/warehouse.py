@@ -10,9 +10,8 @@ from tidemark.plans import inputs
 from tidemark.plans.inputs import EARLY_DAY, MIDDLE_DAY, table
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
-from tidemark.sources.tables import swap_table
+from tidemark.sources.tables import read_current, swap_table
 
-ZIP_SCHEMA = "id long, create_time string, operate_time string, start_date string, end_date string, dt string"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -61,11 +60,10 @@ def scd2_publish(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "customer_zip")
     warehouse.scd2_publish(customer_zip(spark, folder, EARLY_DAY), path)
     changes = inputs.customer_versions(spark, folder)
-    schema = ZIP_SCHEMA
     for _ in range(2):
-        stored = spark.read.schema(schema).parquet(path)
+        stored = read_current(spark, path)
         warehouse.scd2_publish(warehouse.scd2_apply(stored, changes, EARLY_DAY), path, EARLY_DAY)
-    return spark.read.schema(schema).parquet(path)
+    return read_current(spark, path)
 
 
 @query(_rebuilt(EARLY_DAY))
@@ -78,9 +76,9 @@ def scd2_publish_corrected(spark: SparkSession, folder: str) -> DataFrame:
     first = changes.where("id % 2 = 0").withColumn("create_time", wrong)
     extra = changes.where(F.col("dt") < EARLY_DAY).where("id % 7 = 1").withColumn("dt", F.lit(EARLY_DAY))
     for run in (first.unionByName(extra), changes):
-        stored = spark.read.schema(ZIP_SCHEMA).parquet(path)
+        stored = read_current(spark, path)
         warehouse.scd2_publish(warehouse.scd2_apply(stored, run, EARLY_DAY), path, EARLY_DAY)
-    return spark.read.schema(ZIP_SCHEMA).parquet(path)
+    return read_current(spark, path)
 
 
 @query(_rebuilt(EARLY_DAY))
@@ -90,9 +88,9 @@ def scd2_rebuild_swapped(spark: SparkSession, folder: str) -> DataFrame:
     swap_table(customer_zip(spark, folder, EARLY_DAY), path, "dt")
     changes = inputs.customer_versions(spark, folder)
     for run in (changes.where("id % 2 = 0"), changes):
-        stored = spark.read.schema(ZIP_SCHEMA).parquet(path)
+        stored = read_current(spark, path)
         swap_table(warehouse.scd2_rebuild(stored, run, EARLY_DAY), path, "dt")
-    return spark.read.schema(ZIP_SCHEMA).parquet(path)
+    return read_current(spark, path)
 
 
 @query(_rebuilt(MIDDLE_DAY))
