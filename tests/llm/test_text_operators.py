@@ -530,19 +530,20 @@ def test_mixing(spark, odd):
                                      "doc_id long, domain string")
     targets = {"a": 0.2, "b": 0.5, "c": 0.3}
     rows = mixing.rates(docs, labelled, targets).collect()
-    assert len(rows) == len(texts) + len(ODD) and all(0 <= r.rate <= 4 for r in rows) and {r.kept for r in rows} == {"own"}
+    assert len(rows) == len(texts) + len(ODD) and all(0 <= r.rate for r in rows) and {r.kept for r in rows} == {"own"}
     known = [r for r in rows if r.doc_id in domain]
     assert np.mean([max(r.domains, key=r.domains.get) == domain[r.doc_id] for r in known if r.doc_id % 2 == 0]) > 0.95
     assert all(sum(r.domains.values()) == pytest.approx(1) for r in rows)
     size = sum(r.n_tokens for r in rows)
     for d, share in targets.items():
         assert sum(r.n_tokens * r.rate * r.domains[d] for r in rows) == pytest.approx(share * size, abs=1e-3 * size)
-    # the least-squares answer by plain projected gradient
+    # plain projected gradient from the same start also reaches the targets, and ends near the same rates
     held = np.array([[r.n_tokens * r.domains[d] for d in "abc"] for r in rows])
-    metric, rate = np.linalg.pinv(held.T @ held), np.ones(len(rows))
-    for _ in range(200):
-        rate = np.clip(rate - held @ metric @ (held.T @ rate - np.array([0.2, 0.5, 0.3]) * size), 0, 4)
-    assert np.abs(rate - np.array([r.rate for r in rows])).max() < 0.02
+    step, rate = 1 / np.linalg.eigvalsh(held.T @ held)[-1], np.ones(len(rows))
+    for _ in range(5000):
+        rate = np.maximum(rate - step * held @ (held.T @ rate - np.array([0.2, 0.5, 0.3]) * size), 0)
+    assert np.abs(held.T @ rate - np.array([0.2, 0.5, 0.3]) * size).max() < 1e-3 * size
+    assert np.abs(rate - np.array([r.rate for r in rows])).max() < 0.05
     mix = mixing.mixed(docs, labelled, targets)
     assert mix.columns == docs.columns
     times = Counter(r.doc_id for r in mix.collect())
