@@ -345,8 +345,9 @@ def test_streamed_patterns_equal_batch(spark, shuffled):
     rows, df = shuffled
     create, pay = F.col("value") == "create", F.col("value") == "pay"
     wait = "20 seconds"
-    same(spark, rows, patterns.consecutive_match(df, "key", "et", pay, 3, wait),
-         lambda d: batch.consecutive_match(d, "key", "et", pay, 3))
+    for times, cell in ((3, 86_400), (3, 40), (2, 7), (4, 30), (1, 40)):
+        same(spark, rows, patterns.consecutive_match(df, "key", "et", pay, times, wait, cell),
+             lambda d: batch.consecutive_match(d, "key", "et", pay, times))
     for how in ("drop", "timeout"):
         same(spark, rows, patterns.sequence_within(df, "key", "et", create, pay, 15, how, wait),
              lambda d: batch.sequence_within(d, "key", "et", create, pay, 15, how))
@@ -354,6 +355,17 @@ def test_streamed_patterns_equal_batch(spark, shuffled):
          lambda d: batch.order_timeout(d, "key", "et", create, pay, 15))
 
 
+def test_hot_key_patterns_are_spread(spark, feed):
+    """A key with all rows is many groups, and patterns across their borders are found."""
+    rows = [("hot", "pay", t) for t in range(0, 4000, 10)]
+    df = feed(rows[:150], rows[150:], [("z", "other", 99000)])
+    out = drain(patterns.consecutive_match(df, "key", "et", F.col("value") == "pay", 3, cell=100)).collect()
+    assert sorted(sec(r.match_times[0]) for r in out) == [float(t) for t in range(0, 3980, 10)]
+    grouped = patterns._by_key(df, "key", "et", "0 seconds", F.lit(1), 100, 15)
+    cells = [r for r in drain(grouped.select("cell", "flag", "at")).collect() if r["at"] < (BASE + 5000) * 1_000_000]
+    assert len({r.cell for r in cells}) == 41 and sum(r.flag > 3 for r in cells) == 2 * 39 + 2
+
+
 def test_streamed_windows_equal_batch(spark, shuffled):
     from tidemark.operators import windows as batch
     rows, df = shuffled

@@ -1,4 +1,9 @@
-"""Event patterns per key over streams."""
+"""Event patterns per key over streams.
+
+A key is not one group but one for each cell of time, so the rows of a hot key are spread. What decides about a row lies close to it:
+patterns with a time limit also get the rows shortly after their cell, as copies that only end what the cell has open; runs of
+adjacent events hand the few events at the edges of their cell to a second step, which only ever sees those.
+"""
 
 from __future__ import annotations
 
@@ -41,8 +46,8 @@ class InOrder(StatefulProcessor):
         memory = [tuple(m) for m in self.memory.get()]
         before = list(memory)
         for at, flag in ready:
-            yield from self.event(key[0], at, flag, memory)
-        yield from self.passed(key[0], reached, memory)
+            yield from self.event(key, at, flag, memory)
+        yield from self.passed(key, reached, memory)
         if ready:
             self.waiting.put(rest) if rest else self.waiting.clear()
         if memory != before:
@@ -71,42 +76,121 @@ class InOrder(StatefulProcessor):
         pass
 
 
-def _by_key(df: DataFrame, key: str, ts: str, delay: str, flag: Column) -> DataFrame:
+def _by_key(df: DataFrame, key: str, ts: str, delay: str, flag: Column, cell: float, reach: float = 0) -> DataFrame:
+    """Rows by ``key`` and ``cell`` of time; those in the first ``reach`` seconds of a cell also as ``BORDER`` rows of the one before."""
     marked = watermark(df, ts, delay)
-    return marked.select(F.col(key).alias("key"), micros(ts).alias("at"),
-                         flag.cast("int").alias("flag"), F.col(ts))
+    rows = marked.select(F.col(key).alias("key"), micros(ts).alias("at"), flag.cast("int").alias("flag"), F.col(ts))
 
+    def number(at: Column) -> Column:
+        return F.floor(at / F.lit(round(cell * 1e6))).cast("long")
 
-class Consecutive(InOrder):
-    """Memory: the times of the current run of matching events, at most ``times - 1``."""
+    if not reach:
+        return rows.withColumn("cell", number(F.col("at")))
+    own, early = number(F.col("at")), number(F.col("at") - F.lit(round(reach * 1e6)))
+    both = rows.withColumn("cell", F.explode(F.when(early < own, F.array(own, early)).otherwise(F.array(own))))
+    return both.withColumn("flag", F.when(F.col("cell") < own, F.col("flag") + BORDER).otherwise(F.col("flag")))
 
-    def __init__(self, times: int):
-        self.times = times
+
+FIRST, SECOND, OTHER, BORDER = 1, 2, 0, 4
+CELL = 86_400.0  # seconds
+CELLS = 24       # length of a cell in time limits, for patterns that have one
+SHARES = 64      # groups that a key's matches pass through
+
+
+class RunsInCell(InOrder):
+    """The runs inside one cell of a key. Memory: the times of the current run of matching events, at most ``times - 1``. The
+    first ``times - 1`` events go on as they are, the last ones when the cell ends (``edges``; ``gap``: there were others between)."""
+
+    def __init__(self, times: int, cell: float):
+        self.times, self.cell = times, round(cell * 1e6)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.edge = handle.getValueState("edge", "n long, last array<struct<at: long, flag: int>>")
+
+    def _row(self, key, times=None, edges=(), gap=False) -> Row:
+        share = key[1] % SHARES + 1 if times else 0
+        return Row(key=key[0], share=share, cell=key[1], match_times=times, edges=[dict(at=a, flag=f) for a, f in edges], gap=gap)
 
     def event(self, key, at, flag, memory):
+        n, last = self.edge.get() or (0, [])
+        last = [(e["at"], e["flag"]) if isinstance(e, dict) else tuple(e) for e in last]
+        if n < self.times - 1:
+            yield self._row(key, edges=[(at, flag)])
+        else:
+            last = [*last, (at, flag)][-(self.times - 1):] if self.times > 1 else []
+        self.edge.update((n + 1, last))
         if not flag:
             memory.clear()
             return
         run = [m[0] for m in memory] + [at]
         if len(run) == self.times:
-            yield Row(key=key, match_times=run)
+            yield self._row(key, times=run)
         memory[:] = [(t,) for t in run[-(self.times - 1):]] if self.times > 1 else []
 
+    def passed(self, key, reached, memory):
+        found = self.edge.get()
+        if found and reached >= (key[1] + 1) * self.cell:
+            n, last = found
+            if last:
+                edges = [(e["at"], e["flag"]) if isinstance(e, dict) else tuple(e) for e in last]
+                yield self._row(key, edges=edges, gap=n > 2 * (self.times - 1))
+            self.edge.clear()
+            memory.clear()
+
+    def handleInputRows(self, key, rows, timerValues):
+        self.handle.registerTimer((key[1] + 1) * self.cell // 1000 + 1)
+        return super().handleInputRows(key, rows, timerValues)
+
+
+class RunsAcrossCells(StatefulProcessor):
+    """Edges of the cells of a key, which come in the order of cells, as a cell's events come after the cells before it have
+    ended. Finds the runs of more than one cell; matches found in a cell pass through."""
+
+    def __init__(self, times: int):
+        self.times = times
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getListState("run", "at long, cell long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        edges = []
+        for row in rows:
+            if row["match_times"] is not None and len(row["match_times"]):
+                yield Row(key=key[0], match_times=[int(t) for t in row["match_times"]])
+            else:
+                edges.append((row["cell"], [(e["at"], e["flag"]) for e in row["edges"]], row["gap"]))
+        if not edges:
+            return
+        run = [tuple(r) for r in self.run.get()]
+        for cell, events, gap in sorted(edges):
+            if gap:
+                run = []
+            for at, flag in events:
+                run = [*run, (at, cell)][-self.times:] if flag else []
+                if len(run) == self.times and run[0][1] != cell:
+                    yield Row(key=key[0], match_times=[at for at, _ in run])
+        run = run[-(self.times - 1):] if self.times > 1 else []
+        self.run.put(run) if run else self.run.clear()
+
+    def close(self) -> None:
+        pass
+
 
 def consecutive_match(df: DataFrame, key: str, ts: str, matches: Column, times: int = 3,
-                      delay: str = "0 seconds") -> DataFrame:
+                      delay: str = "0 seconds", cell: float = CELL) -> DataFrame:
     """Streaming form of ``operators.patterns.consecutive_match``."""
-    rows = _by_key(df, key, ts, delay, F.coalesce(matches, F.lit(False)))
+    rows = _by_key(df, key, ts, delay, F.coalesce(matches, F.lit(False)), cell)
     typed = df.schema[key].dataType.simpleString()
-    out = rows.groupBy("key").transformWithState(
-        Consecutive(times), f"key {typed}, match_times array<long>", "append", "EventTime")
+    in_cells = rows.groupBy("key", "cell").transformWithState(
+        RunsInCell(times, cell), f"key {typed}, share long, cell long, match_times array<long>, "
+        "edges array<struct<at: long, flag: int>>, gap boolean", "append", "EventTime")
+    out = in_cells.groupBy("key", "share").transformWithState(
+        RunsAcrossCells(times), f"key {typed}, match_times array<long>", "append", "None")
     return out.select(F.col("key").alias(key), F.transform(
         "match_times", F.timestamp_micros).alias("match_times"))
 
 
-FIRST, SECOND, OTHER = 1, 2, 0
-
-
 class SequenceWithin(InOrder):
     """Memory: the open first event, if any."""
 
@@ -118,15 +202,15 @@ class SequenceWithin(InOrder):
         if memory:
             opened = memory.pop()[0]
             if flag & SECOND:
-                yield Row(key=key, kind="match", first=opened, second=at)
+                yield Row(key=key[0], kind="match", first=opened, second=at)
             elif self.interrupted == "timeout":
-                yield Row(key=key, kind="timeout", first=opened, second=None)
-        if flag & FIRST:
+                yield Row(key=key[0], kind="timeout", first=opened, second=None)
+        if flag & FIRST and not flag & BORDER:
             memory.append((at,))
 
     def passed(self, key, reached, memory):
         if memory and reached >= memory[0][0] + self.within:
-            yield Row(key=key, kind="timeout", first=memory.pop()[0], second=None)
+            yield Row(key=key[0], kind="timeout", first=memory.pop()[0], second=None)
 
     def deadlines(self, memory):
         return [m[0] + self.within for m in memory]
@@ -139,7 +223,8 @@ def sequence_within(df: DataFrame, key: str, ts: str, first: Column, second: Col
     output; split it by ``kind``."""
     flag = (F.when(first, FIRST).otherwise(OTHER) + F.when(second, SECOND).otherwise(OTHER))
     typed = df.schema[key].dataType.simpleString()
-    out = _by_key(df, key, ts, delay, flag).groupBy("key").transformWithState(
+    rows = _by_key(df, key, ts, delay, flag, CELLS * within, within)
+    out = rows.groupBy("key", "cell").transformWithState(
         SequenceWithin(within, interrupted), f"key {typed}, kind string, first long, second long",
         "append", "EventTime")
     return out.select(F.col("key").alias(key), "kind", instant("first").alias("first_ts"),
@@ -155,15 +240,17 @@ class OrderTimeout(InOrder):
     def event(self, key, at, flag, memory):
         yield from self.passed(key, at - 1, memory)
         memory.clear()
+        if flag & BORDER:
+            return
         if flag == SECOND:
-            yield Row(key=key, kind="paid", at=at)
+            yield Row(key=key[0], kind="paid", at=at)
         else:
             memory.append((at,))
 
     def passed(self, key, reached, memory):
         # a payment at the very deadline still counts
         if memory and reached >= memory[0][0] + self.within:
-            yield Row(key=key, kind="timeout", at=memory.pop()[0] + self.within)
+            yield Row(key=key[0], kind="timeout", at=memory.pop()[0] + self.within)
 
     def deadlines(self, memory):
         return [m[0] + self.within + 1000 for m in memory]
@@ -174,7 +261,7 @@ def order_timeout(df: DataFrame, key: str, ts: str, create: Column, pay: Column,
     """Streaming form of ``operators.patterns.order_timeout``."""
     typed = df.schema[key].dataType.simpleString()
     flag = F.when(pay, SECOND).otherwise(FIRST)
-    rows = _by_key(df.where(create | pay), key, ts, delay, flag)
-    out = rows.groupBy("key").transformWithState(
+    rows = _by_key(df.where(create | pay), key, ts, delay, flag, CELLS * within, within)
+    out = rows.groupBy("key", "cell").transformWithState(
         OrderTimeout(within), f"key {typed}, kind string, at long", "append", "EventTime")
     return out.select(F.col("key").alias(key), "kind", instant("at").alias("at"))
