@@ -93,8 +93,11 @@ def resolve(records: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFra
 
 def with_payload(resolved: DataFrame, records: DataFrame) -> DataFrame:
     """Add the ``payload`` of the response to resolved revisits; null for others. A record_id that occurs more than once among the
-    responses takes the least payload."""
-    key = F.when(F.col("outcome") == "resolved", F.col("original_id"))
+    responses takes the least payload. Revisits that are not resolved have keys of their own in the join, which meet nothing and
+    are spread over its tasks."""
+    alone = F.concat(F.lit("none "), F.xxhash64("record_id", "url", "captured_at").cast("string"))
+    key = F.when(F.col("outcome") == "resolved", F.col("original_id").cast("string")).otherwise(alone)
     content = records.where("kind = 'response' and status = 200 and record_id is not null").groupBy(
-        F.col("record_id").alias("_id")).agg(F.min("payload").alias("payload"))
-    return resolved.withColumn("_key", key).join(content, F.col("_key") == F.col("_id"), "left").drop("_key", "_id")
+        F.col("record_id").cast("string").alias("_id")).agg(F.min("payload").alias("payload"))
+    kept = without(resolved, ["payload", "_key", "_id"])
+    return resolved.select(*kept, key.alias("_key")).join(content, F.col("_key") == F.col("_id"), "left").select(*kept, "payload")
