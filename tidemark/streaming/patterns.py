@@ -97,6 +97,10 @@ CELLS = 24       # length of a cell in time limits, for patterns that have one
 SHARES = 64      # groups that a key's matches pass through
 
 
+def _edge(edge) -> tuple[int, int]:
+    return (edge["at"], edge["flag"]) if isinstance(edge, dict) else tuple(edge)
+
+
 class RunsInCell(InOrder):
     """The runs inside one cell of a key. Memory: the times of the current run of matching events, at most ``times - 1``. The
     first ``times - 1`` events go on as they are, the last ones when the cell ends (``edges``; ``gap``: there were others between)."""
@@ -112,14 +116,21 @@ class RunsInCell(InOrder):
         share = key[1] % SHARES + 1 if times else 0
         return Row(key=key[0], share=share, cell=key[1], match_times=times, edges=[dict(at=a, flag=f) for a, f in edges], gap=gap)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        found = self.edge.get()
+        self.n, self.last = (found[0], [_edge(e) for e in found[1]]) if found else (0, [])
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        if self.n:
+            self.edge.update((self.n, self.last))
+        elif found:
+            self.edge.clear()
+
     def event(self, key, at, flag, memory):
-        n, last = self.edge.get() or (0, [])
-        last = [(e["at"], e["flag"]) if isinstance(e, dict) else tuple(e) for e in last]
-        if n < self.times - 1:
+        if self.n < self.times - 1:
             yield self._row(key, edges=[(at, flag)])
-        else:
-            last = [*last, (at, flag)][-(self.times - 1):] if self.times > 1 else []
-        self.edge.update((n + 1, last))
+        elif self.times > 1:
+            self.last = [*self.last, (at, flag)][-(self.times - 1):]
+        self.n += 1
         if not flag:
             memory.clear()
             return
@@ -129,13 +140,10 @@ class RunsInCell(InOrder):
         memory[:] = [(t,) for t in run[-(self.times - 1):]] if self.times > 1 else []
 
     def passed(self, key, reached, memory):
-        found = self.edge.get()
-        if found and reached >= (key[1] + 1) * self.cell:
-            n, last = found
-            if last:
-                edges = [(e["at"], e["flag"]) if isinstance(e, dict) else tuple(e) for e in last]
-                yield self._row(key, edges=edges, gap=n > 2 * (self.times - 1))
-            self.edge.clear()
+        if self.n and reached >= (key[1] + 1) * self.cell:
+            if self.last:
+                yield self._row(key, edges=self.last, gap=self.n > 2 * (self.times - 1))
+            self.n, self.last = 0, []
             memory.clear()
 
     def handleInputRows(self, key, rows, timerValues):
@@ -159,7 +167,7 @@ class RunsAcrossCells(StatefulProcessor):
             if row["match_times"] is not None and len(row["match_times"]):
                 yield Row(key=key[0], match_times=[int(t) for t in row["match_times"]])
             else:
-                edges.append((row["cell"], [(e["at"], e["flag"]) for e in row["edges"]], row["gap"]))
+                edges.append((row["cell"], [_edge(e) for e in row["edges"]], row["gap"]))
         if not edges:
             return
         run = [tuple(r) for r in self.run.get()]
