@@ -217,6 +217,45 @@ def test_frequent_lines_of_a_hot_source(spark):
     assert taken == set(range(41)) | set(range(2001, 2050, 2)) | set(range(3000, 3008))
 
 
+def test_kept_by_brute_force(spark):
+    """Every line of every document looked up in the documents of its host."""
+    rnd = random.Random(77)
+    shared = [f"{' '.join(rnd.choice('abcdefg') for _ in range(rnd.randint(1, 30)))} {i}x" for i in range(12)]
+    rows = []
+    for i in range(400):
+        host = rnd.choice(["big", "big", "big", "small", None, f"h{i % 9}"])
+        own = [" ".join(f"w{rnd.randint(0, 5000)}" for _ in range(rnd.randint(1, 40))) for _ in range(rnd.randint(1, 4))]
+        more = [rnd.choice(shared).replace(" ", rnd.choice([" ", "  ", "\t"])).upper() for _ in range(rnd.randint(0, 3))]
+        text = own + more
+        rnd.shuffle(text)
+        rows.append((i, "\n".join(text), host))
+    rows += [(1000, None, "big"), (1001, "", None), rows[5], rows[5]]
+
+    def normal(line):
+        return " ".join(re.sub("[1-9]", "0", line.lower()).split())
+
+    of_host, lines_in = {}, {}
+    for i, text, host in set(rows):
+        seen = {normal(x) for x in (text or "").split("\n")} - {""}
+        if seen:
+            of_host[host] = of_host.get(host, 0) + 1
+        for x in seen:
+            lines_in[host, x] = lines_in.get((host, x), 0) + 1
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    taken_any = 0
+    for i, text, host in rows:
+        left = taken = 0
+        for x in (text or "").split("\n"):
+            n, words = lines_in.get((host, normal(x)), 0), len(x.split())
+            common = n > 40 or n >= 5 and n > 0.1 * of_host[host]
+            taken, left = (taken + words, left) if common else (taken, left + words)
+        r, words = got[i], taken + left
+        depleted = taken > 0 and (left < 50 or left < 0.5 * words)
+        taken_any += taken > 0
+        assert (r.n_words, r.words_left) == (words, left) and r.kept == (not r.base_failed and not depleted), i
+    assert taken_any > 50
+
+
 def test_judge_odd_rows(spark, odd):
     rows = quality_rules.judge(odd, least=1, share=0.0).collect()
     assert len(rows) == len(ODD) and all(r.ids == "own" for r in rows)
@@ -452,6 +491,33 @@ def test_network_gradients():
         assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(float(slope[at]), rel=0.1)
 
 
+def test_network_forward_pass_by_loops():
+    """The probability of a text, byte by byte, filter by filter, chunk by chunk."""
+    rnd = np.random.default_rng(12)
+    net = quality_net.Net.fresh(d=3, width=4, f=5, seed=3)
+    net.offsets[:] = rnd.normal(0, 0.2, 5)
+    for n in (0, 1, 3, 4, 511, 512, 515, 516, 1500):
+        text = bytes(rnd.integers(0, 256, n, dtype=np.uint8))
+        data = text + bytes(max(0, 4 - n))
+        places = len(data) - 3
+        pooled = []
+        for start in range(0, places, quality_net.CHUNK):
+            best = []
+            for f in range(5):
+                answers = []
+                for at in range(start, min(start + quality_net.CHUNK, places)):
+                    total = float(net.offsets[f])
+                    for k in range(4):
+                        for c in range(3):
+                            total += float(net.vectors[data[at + k], c]) * float(net.filters[3 * k + c, f])
+                    answers.append(total)
+                best.append(max(0.0, max(answers)))
+            pooled.append(best)
+        both = [max(p[f] for p in pooled) for f in range(5)] + [sum(p[f] for p in pooled) / len(pooled) for f in range(5)]
+        z = float(net.bias[0]) + sum(float(w) * b for w, b in zip(net.weights, both))
+        assert quality_net.probability(net, text) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)
+
+
 def test_network_covers_whole_texts():
     """A pattern counts wherever it stands, also across the border of chunks."""
     net = quality_net.Net.fresh()

@@ -33,7 +33,7 @@ class Graph:
     beam: int = 64
     alpha: float = 1.2
     shards: int = 12
-    rows: int = 200_000
+    rows: int = 20_000
     batch: int = 512
 
 

@@ -124,7 +124,7 @@ def judge(docs: DataFrame, host: str = "source", share: float = 0.1, least: int
 
     A null host is a host like any other. Documents are counted by id, source and text: rows equal in
     all three are one document for the counts, and stay separate rows of the result."""
-    found = lines(docs, host)
+    found = written(lines(docs, host), "lines")  # texts are cut and hashed once; a row of it has four numbers
     common = written(frequent_lines(found, share, least, most), "frequent-lines")
     taken = found.join(common, found["host"].eqNullSafe(common["host"]) & (found["line"] == common["line"])).groupBy(
         "doc").agg(F.sum("words").alias("taken"))
