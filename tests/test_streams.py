@@ -278,8 +278,8 @@ GOLDEN = {
 
 
 @pytest.mark.parametrize("how", GOLDEN)
-@pytest.mark.parametrize("one_batch", [True, False])
-def test_changelog(feed, how, one_batch):
+@pytest.mark.parametrize("one_batch, shards", [(True, 1), (False, 1), (False, 3)])
+def test_changelog(feed, how, one_batch, shards):
     values = {"L1001": "10:00:00", "L1002": "10:01:02", "R1001": "80", "R1002": "100"}
     arrivals, want = GOLDEN[how]
     sides = {"L": [], "R": []}
@@ -290,12 +290,38 @@ def test_changelog(feed, how, one_batch):
     if one_batch:
         sides = {s: [[r for b in batches for r in b]] for s, batches in sides.items()}
     left, right = (feed(*sides[s]).drop("et") for s in "LR")
-    log = drain(joins.changelog_join(left, right, "key", "at", how)).collect()
+    log = drain(joins.changelog_join(left, right, "key", "at", how, shards)).collect()
     got = [f"{r.op} {r.key} {r.left and r.left.value} {r.right and r.right.value}"
            for r in sorted(log, key=lambda r: (r.at, r.step))]
     assert got == want
 
 
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_changelog_of_a_hot_key(feed, spark, how):
+    """The same log as of the tables, in cells that hold a share of each side."""
+    import random
+    rnd = random.Random(9)
+    rows = [("hot" if i % 3 else f"k{rnd.randint(0, 9)}", f"{rnd.choice('LR')}{i}", float(i)) for i in range(240)]
+    rows = [r for r in rows if r[0] != "hot" or r[1][0] == "L" or r[2] > 90]  # the hot key's left rows wait at first
+    left, right = ([r for r in rows if r[1][0] == s] for s in "LR")
+    fed = [feed(*[[r for r in side if n * 80 <= r[2] < n * 80 + 80] for n in range(3)]).drop("et") for side in (left, right)]
+    log = drain(joins.changelog_join(*fed, "key", "at", how, 3))
+    name = lambda side: F.col(f"{side}.value")
+    got = sorted(map(tuple, log.select("op", "at", "step", "key", name("left"), name("right")).collect()), key=repr)
+    sides = [spark.createDataFrame(side, "key string, value string, at double") for side in (left, right)]
+    want = _batch_log(sides, how)
+    assert got == want
+    cells = joins._in_cells(joins.side_by_side(*sides, "key").withColumn("seq", F.lit(0)), "key", 3).where("key = 'hot' and not mark")
+    assert cells.groupBy("i", "j").count().count() == 9
+
+
+def _batch_log(sides, how):
+    from tidemark.operators.joins import outer_join_changelog
+    named = [side.withColumnRenamed("at", "n") for side in sides]
+    log = outer_join_changelog(*named, "key", "n", how).select("op", "at", "step", "key", "value", "right_value")
+    return sorted(map(tuple, log.collect()), key=repr)
+
+
 def test_union_and_connect(feed, spark):
     a, b, c = (feed([(k, v, 0) for k, v in zip("xyz", vs)]) for vs in ("123", "223", "223"))
     out = drain(streams.union_streams(a, b, c, schema="value int"))

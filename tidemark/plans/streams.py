@@ -342,7 +342,7 @@ def stream_changelog_join(spark: SparkSession, folder: str) -> DataFrame:
     rows = _ordered(spark, folder).withColumn("visit", F.concat(
         F.col("user_id").cast("string"), F.lit(" "), day))
     left, right = (kind(rows, name).select("visit", "event_id") for name in ("signup", "purchase"))
-    log = drain(joins.changelog_join(left, right, "visit", "event_id", "full"))
+    log = drain(joins.changelog_join(left, right, "visit", "event_id", "full", shards=2))
     return log.select("op", "at", "visit", F.col("left.event_id").alias("event_id"),
                       F.col("right.event_id").alias("right_event_id"))
 

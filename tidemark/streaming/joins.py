@@ -307,8 +307,11 @@ def left_typed(df: DataFrame, ts: str) -> DataFrame:
 
 
 class ChangelogJoin(StatefulProcessor):
-    """All rows of one key, both sides, in arrival order. How many rows each side has is kept apart: a side is
-    read only when a row of the other has to meet it."""
+    """A cell of one key: its share of the left rows and its share of the right rows, in arrival order. Whether rows of a side have come
+    at all, here or elsewhere, is kept apart (``seen``), as are the counts: a side is read only when a row of the other has to meet it.
+
+    Cells lie in a square. The cells of the first column answer for the left rows that have met nobody, those of the first
+    row for the right ones; rows of other cells reach them as marks, which hold no row."""
 
     def __init__(self, left: T.StructType, right: T.StructType, how: str):
         self.types, self.how = (left, right), how
@@ -316,13 +319,15 @@ class ChangelogJoin(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sides = [handle.getListState("left", self.types[0]),
                       handle.getListState("right", self.types[1])]
-        self.sizes = handle.getValueState("sizes", "n_left long, n_right long")
+        self.sizes = handle.getValueState("sizes", "n_left long, n_right long, seen_left boolean, seen_right boolean")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = list(self.sizes.get() or (0, 0))
+        n_left, n_right, *seen = self.sizes.get() or (0, 0, False, False)
+        known = [n_left, n_right]
         new: tuple[list, list] = ([], [])
         held: list[list | None] = [None, None]
-        padded = (self.how in ("left", "full"), self.how in ("right", "full"))
+        # whose padded rows are told here
+        padded = (self.how in ("left", "full") and key[2] == 0, self.how in ("right", "full") and key[1] == 0)
 
         def partners(side: int) -> Iterator[tuple]:
             if known[side] and held[side] is None:
@@ -338,31 +343,53 @@ class ChangelogJoin(StatefulProcessor):
         for row in sorted(rows, key=lambda r: r["seq"]):
             at = row["seq"]
             side = 0 if row["_side"] == "l" else 1
-            mine = _values(row["_right"] if side else row["_left"])
-            others = known[1 - side] + len(new[1 - side])
             # partners alone so far were emitted padded; withdraw that first
-            if others and padded[1 - side] and not known[side] + len(new[side]):
+            if padded[1 - side] and not seen[side]:
                 for other in partners(1 - side):
                     yield out("-D", at, 0, side, None, other)
-            if others:
-                for other in partners(1 - side):
-                    yield out("+I", at, 1, side, mine, other)
-            elif padded[side]:
+            seen[side] = True
+            if row["mark"]:
+                continue
+            mine = _values(row["_right"] if side else row["_left"])
+            for other in partners(1 - side):
+                yield out("+I", at, 1, side, mine, other)
+            if padded[side] and not seen[1 - side]:
                 yield out("+I", at, 1, side, mine, None)
             new[side].append(mine)
         for state, rows_now in zip(self.sides, new):
             if rows_now:
                 state.appendList(rows_now)
-        self.sizes.update((known[0] + len(new[0]), known[1] + len(new[1])))
+        self.sizes.update((known[0] + len(new[0]), known[1] + len(new[1]), *seen))
 
     def close(self) -> None:
         pass
 
 
+def _in_cells(rows: DataFrame, key: str, shards: int) -> DataFrame:
+    """Left rows in a row of the square of cells, right rows in a column, and their marks in the first row or column."""
+    mine = F.pmod(F.xxhash64("_left", "_right"), F.lit(shards)).cast("int")  # one of them is null
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
+    left = F.col("_side") == "l"
+
+    def cell(own, other, mark: bool):
+        return F.struct(F.when(left, own).otherwise(other).alias("i"), F.when(left, other).otherwise(own).alias("j"),
+                        F.lit(mark).alias("mark"))
+
+    full = F.transform(every, lambda other: cell(F.col("_mine"), other, False))
+    marks = F.when(F.col("_mine") > 0, F.transform(every, lambda other: cell(F.lit(0), other, True))).otherwise(
+        F.array().cast("array<struct<i:int,j:int,mark:boolean>>"))
+    spread = rows.withColumn("_mine", mine).withColumn("_cell", F.explode(F.concat(full, marks)))
+    blank = [F.when(~F.col("_cell.mark"), F.col(c)).alias(c) for c in ("_left", "_right")]
+    return spread.select(key, "seq", "_side", F.col("_cell.i").alias("i"), F.col("_cell.j").alias("j"),
+                         F.col("_cell.mark").alias("mark"), *blank)
+
+
 def changelog_join(left: DataFrame, right: DataFrame, key: str, seq: str,
-                   how: str = "left") -> DataFrame:
+                   how: str = "left", shards: int = 1) -> DataFrame:
     """Streaming form of ``operators.joins.outer_join_changelog``: every row of both streams is
-    kept, nothing needs a watermark, and padded rows are withdrawn when a partner arrives.
+    kept, nothing needs a watermark, and padded rows are withdrawn when a partner arrives. With ``shards`` a key is
+    ``shards * shards`` groups, each with a share of both sides, for which every row is sent ``shards`` times and, without its
+    values, as often again: no group of a hot key reads or holds a whole side.
 
     Output: op, at, step, key and the whole rows ``left`` and ``right`` (null where padded).
     """
@@ -376,7 +403,7 @@ def changelog_join(left: DataFrame, right: DataFrame, key: str, seq: str,
         T.StructField("op", T.StringType()), T.StructField("at", left.schema[seq].dataType),
         T.StructField("step", T.IntegerType()), T.StructField("left", types[0]),
         T.StructField("right", types[1])])
-    log = rows.groupBy(key).transformWithState(
+    log = _in_cells(rows, key, shards).groupBy(key, "i", "j").transformWithState(
         ChangelogJoin(*types, how), out, "append", "None")
     # a null key equals nothing: such rows are padded at once and never withdrawn
     for side, name in ((left, "left"), (right, "right")):
