@@ -115,8 +115,8 @@ def suffixes(docs: DataFrame, least: int) -> DataFrame:
 
 def _contexts(docs: DataFrame, wanted: DataFrame, copies: DataFrame, reach: int) -> DataFrame:
     """The ``reach`` words behind the prefix of the wanted (``doc``, ``row``, ``pos``, ``hash``) and the ``reach`` before it, nearest first, as
-    32-bit hashes in ``around``, which sorts like the text; how many there are is ``left`` and ``right``. Of equal texts
-    only the first has any."""
+    32-bit hashes in ``around``, which sorts like the text; how many there are is ``left`` and ``right``. Places of a document
+    (of ``CHUNK`` at a time) with the same words around them are one row, with all of them in ``pos``; of equal texts only the first has any."""
     lists = wanted.groupBy("doc", "row").agg(F.collect_set(F.struct("pos", "hash")).alias("at"))
     lists = lists.join(copies.where("not kept"), ["doc", "row"], "left_anti")
     texts = lists.join(docs, ["doc", "row"]).dropDuplicates(["doc", "row"]).select("doc", "row", "at", "text")
@@ -133,15 +133,18 @@ def _contexts(docs: DataFrame, wanted: DataFrame, copies: DataFrame, reach: int)
                 for a in range(0, len(every), CHUNK):
                     at = every[a:a + CHUNK]
                     around = np.ascontiguousarray(padded[at[:, None] + reach + steps].astype(">u4"))
-                    k = pa.array(np.full(len(at), i))
+                    left, right = np.minimum(at, reach), np.minimum(len(words) - at - PREFIX, reach)
+                    places: dict[tuple, list[int]] = {}
+                    for key in zip(chosen.field("hash").slice(a, CHUNK).to_pylist(), map(bytes, around), left.tolist(), right.tolist(), at.tolist()):
+                        places.setdefault(key[:4], []).append(key[4])
+                    hash_, around, left, right = zip(*places)
+                    k = pa.array(np.full(len(places), i))
                     yield pa.RecordBatch.from_pydict({
-                        "hash": chosen.field("hash").slice(a, CHUNK), "doc": batch.column("doc").take(k),
-                        "row": batch.column("row").take(k), "pos": at,
-                        "around": pa.array([x.tobytes() for x in around], pa.binary()),
-                        "left": np.minimum(at, reach).astype(np.int32),
-                        "right": np.minimum(len(words) - at - PREFIX, reach).astype(np.int32)})
+                        "hash": pa.array(hash_, pa.int64()), "doc": batch.column("doc").take(k), "row": batch.column("row").take(k),
+                        "pos": pa.array(list(places.values()), pa.list_(pa.int32())), "around": pa.array(around, pa.binary()),
+                        "left": pa.array(left, pa.int32()), "right": pa.array(right, pa.int32())})
 
-    return texts.mapInArrow(run, "hash long, doc long, row long, pos int, around binary, left int, right int")
+    return texts.mapInArrow(run, "hash long, doc long, row long, pos array<int>, around binary, left int, right int")
 
 
 def _left_hashes(words: np.ndarray) -> np.ndarray:
@@ -155,15 +158,17 @@ def _left_hashes(words: np.ndarray) -> np.ndarray:
 
 def _compared(rows: pa.Table, reach: int) -> pa.RecordBatch:
     """Spans of whole groups of suffixes, sorted by ``hash`` and ``around``."""
-    hash_, doc, row, pos, left, right = (rows.column(c).to_numpy() for c in ("hash", "doc", "row", "pos", "left", "right"))
+    hash_, doc, row, left, right = (rows.column(c).to_numpy() for c in ("hash", "doc", "row", "left", "right"))
+    pos = rows.column("pos").combine_chunks()
+    many, places = pos.value_lengths().to_numpy(), pos.flatten().to_numpy()
     around = np.frombuffer(b"".join(rows.column("around").to_pylist()), ">u4").reshape(-1, 2 * reach).astype(np.uint32)
     # words shared with the suffix before, to the right
     same = around[1:, :reach] == around[:-1, :reach]
     shared = np.where(same.all(axis=1), reach, same.argmin(axis=1))
     shared = np.concatenate([[-1], np.where(hash_[1:] == hash_[:-1], shared, -1)])
     before = _left_hashes(around[:, reach:])
-    # rows by place, so that the first of a class is its smallest document
-    order = np.lexsort((pos, row, doc))
+    # rows by document, so that the first of a class has its smallest
+    order = np.lexsort((row, doc))
     new_doc = np.concatenate([[True], (doc[order][1:] != doc[order][:-1]) | (row[order][1:] != row[order][:-1])])
     document = np.empty(len(doc), np.int64)
     document[order] = np.cumsum(new_doc) - 1
@@ -188,9 +193,15 @@ def _compared(rows: pa.Table, reach: int) -> pa.RecordBatch:
     at, a = np.nonzero(changes[:, :-1] & (state >= 0))
     _, b = np.nonzero(changes[:, 1:] & (state >= 0))
     source = first[at, a]
+    # the same for all places of a row
+    each = np.repeat(np.arange(len(at)), many[at])
+    begin = (np.cumsum(many) - many)[at[each]]
+    nth = np.arange(len(each)) - np.repeat(np.cumsum(many[at]) - many[at], many[at])
+    place = places[begin + nth]
+    at, a, b, source = at[each], a[each], b[each], source[each]
     return pa.RecordBatch.from_pydict({
-        "doc": doc[at], "row": row[at], "start": (pos[at] - b).astype(np.int32),
-        "end": (pos[at] - a + PREFIX + reach).astype(np.int32), "first_doc": doc[source],
+        "doc": doc[at], "row": row[at], "start": (place - b).astype(np.int32),
+        "end": (place - a + PREFIX + reach).astype(np.int32), "first_doc": doc[source],
         "kept": document[source] == document[at]})
 
 
@@ -224,16 +235,16 @@ def _by_digest(contexts: DataFrame, reach: int) -> DataFrame:
                 for i, (around, hash_, pos, left, right) in enumerate(zip(*columns)):
                     for o in range(max(0, reach - right), left + 1):
                         index.append(i)
-                        start.append(pos - o)
+                        start.append([x - o for x in pos])
                         key.append(xxhash.xxh64_intdigest(around[:4 * (reach - o)] + around[4 * reach:4 * (reach + o)], (hash_ + o) % 2**64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.array(key, np.uint64).view(np.int64)), part.column("doc").take(pa.array(index, pa.int64())),
-                     part.column("row").take(pa.array(index, pa.int64())), pa.array(start, pa.int32())], ["key", "doc", "row", "start"])
+                     part.column("row").take(pa.array(index, pa.int64())), pa.array(start, pa.list_(pa.int32()))], ["key", "doc", "row", "starts"])
 
-    passages = contexts.mapInArrow(run, "key long, doc long, row long, start int")
+    passages = contexts.mapInArrow(run, "key long, doc long, row long, starts array<int>")
     place = F.struct("doc", "row")
     shared = passages.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    found = passages.join(shared.select("key", "first"), "key")
+    found = passages.join(shared.select("key", "first"), "key").withColumn("start", F.explode("starts"))
     return found.select("doc", "row", "start", (F.col("start") + PREFIX + reach).alias("end"), F.col("first.doc").alias("first_doc"),
                         (F.struct("doc", "row") == F.col("first")).alias("kept"))
 
