@@ -375,10 +375,12 @@ def test_streamed_patterns_equal_batch(spark, shuffled):
         same(spark, rows, patterns.consecutive_match(df, "key", "et", pay, times, wait, cell),
              lambda d: batch.consecutive_match(d, "key", "et", pay, times))
     for how in ("drop", "timeout"):
-        same(spark, rows, patterns.sequence_within(df, "key", "et", create, pay, 15, how, wait),
-             lambda d: batch.sequence_within(d, "key", "et", create, pay, 15, how))
-    same(spark, rows, patterns.order_timeout(df, "key", "et", create, pay, 15, wait),
-         lambda d: batch.order_timeout(d, "key", "et", create, pay, 15))
+        for cell in (None, 15, 40):
+            same(spark, rows, patterns.sequence_within(df, "key", "et", create, pay, 15, how, wait, cell),
+                 lambda d: batch.sequence_within(d, "key", "et", create, pay, 15, how))
+    for cell in (None, 15, 40):
+        same(spark, rows, patterns.order_timeout(df, "key", "et", create, pay, 15, wait, cell),
+             lambda d: batch.order_timeout(d, "key", "et", create, pay, 15))
 
 
 def test_hot_key_patterns_are_spread(spark, feed):

@@ -92,8 +92,8 @@ def _by_key(df: DataFrame, key: str, ts: str, delay: str, flag: Column, cell: fl
 
 
 FIRST, SECOND, OTHER, BORDER = 1, 2, 0, 4
-CELL = 86_400.0  # seconds
-CELLS = 24       # length of a cell in time limits, for patterns that have one
+CELL = 30 * 86_400.0  # seconds; shorter cells spread a hot key further and cost a group each
+CELLS = 240      # length of a cell in time limits, for patterns that have one
 SHARES = 64      # groups that a key's matches pass through
 
 
@@ -226,12 +226,12 @@ class SequenceWithin(InOrder):
 
 def sequence_within(df: DataFrame, key: str, ts: str, first: Column, second: Column,
                     within: float, interrupted: str = "drop",
-                    delay: str = "0 seconds") -> DataFrame:
+                    delay: str = "0 seconds", cell: float | None = None) -> DataFrame:
     """Streaming form of ``operators.patterns.sequence_within``. Matches and timeouts share one
-    output; split it by ``kind``."""
+    output; split it by ``kind``. ``cell`` is at least ``within`` seconds, by default ``CELLS`` times as long."""
     flag = (F.when(first, FIRST).otherwise(OTHER) + F.when(second, SECOND).otherwise(OTHER))
     typed = df.schema[key].dataType.simpleString()
-    rows = _by_key(df, key, ts, delay, flag, CELLS * within, within)
+    rows = _by_key(df, key, ts, delay, flag, max(within, cell or CELLS * within), within)
     out = rows.groupBy("key", "cell").transformWithState(
         SequenceWithin(within, interrupted), f"key {typed}, kind string, first long, second long",
         "append", "EventTime")
@@ -265,11 +265,11 @@ class OrderTimeout(InOrder):
 
 
 def order_timeout(df: DataFrame, key: str, ts: str, create: Column, pay: Column, within: float,
-                  delay: str = "0 seconds") -> DataFrame:
-    """Streaming form of ``operators.patterns.order_timeout``."""
+                  delay: str = "0 seconds", cell: float | None = None) -> DataFrame:
+    """Streaming form of ``operators.patterns.order_timeout``; ``cell`` as for ``sequence_within``."""
     typed = df.schema[key].dataType.simpleString()
     flag = F.when(pay, SECOND).otherwise(FIRST)
-    rows = _by_key(df.where(create | pay), key, ts, delay, flag, CELLS * within, within)
+    rows = _by_key(df.where(create | pay), key, ts, delay, flag, max(within, cell or CELLS * within), within)
     out = rows.groupBy("key", "cell").transformWithState(
         OrderTimeout(within), f"key {typed}, kind string, at long", "append", "EventTime")
     return out.select(F.col("key").alias(key), "kind", instant("at").alias("at"))
