@@ -211,7 +211,7 @@ def _in_groups(contexts: DataFrame, reach: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) < CHUNK:
+            if sum(len(b.column("pos").flatten()) for b in held) < CHUNK:  # places, of which a row may have many
                 continue
             rows = pa.Table.from_batches(held)
             hash_ = rows.column("hash").to_numpy()
@@ -226,27 +226,35 @@ def _in_groups(contexts: DataFrame, reach: int) -> DataFrame:
 
 
 def _by_digest(contexts: DataFrame, reach: int) -> DataFrame:
-    """The same for larger groups: a row for each passage of ``least`` words around a suffix, shuffled by its digest."""
+    """The same for larger groups: a row for each passage of ``least`` words around a suffix, shuffled by its digest. Rows of many
+    places travel with the first only, and get the others back when it is known which passages are shared."""
+    contexts = written(contexts.withColumn("at", F.element_at("pos", 1)), "suffix-large")
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for part in (batch.slice(a, 1000) for a in range(0, batch.num_rows, 1000)):
-                index, start, key = [], [], []
-                columns = (part.column(c).to_pylist() for c in ("around", "hash", "pos", "left", "right"))
-                for i, (around, hash_, pos, left, right) in enumerate(zip(*columns)):
+                index, before, key = [], [], []
+                columns = (part.column(c).to_pylist() for c in ("around", "hash", "left", "right"))
+                for i, (around, hash_, left, right) in enumerate(zip(*columns)):
                     for o in range(max(0, reach - right), left + 1):
                         index.append(i)
-                        start.append([x - o for x in pos])
+                        before.append(o)
                         key.append(xxhash.xxh64_intdigest(around[:4 * (reach - o)] + around[4 * reach:4 * (reach + o)], (hash_ + o) % 2**64))
+                of = pa.array(index, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(key, np.uint64).view(np.int64)), part.column("doc").take(pa.array(index, pa.int64())),
-                     part.column("row").take(pa.array(index, pa.int64())), pa.array(start, pa.list_(pa.int32()))], ["key", "doc", "row", "starts"])
+                    [pa.array(np.array(key, np.uint64).view(np.int64)), *(part.column(c).take(of) for c in ("hash", "doc", "row", "at")),
+                     pa.array(before, pa.int32())], ["key", "hash", "doc", "row", "at", "before"])
 
-    passages = contexts.mapInArrow(run, "key long, doc long, row long, starts array<int>")
+    own = ["hash", "doc", "row", "at"]
+    passages = contexts.select(*own, "around", "left", "right").mapInArrow(
+        run, "key long, hash long, doc long, row long, at int, before int")
     place = F.struct("doc", "row")
     shared = passages.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    found = passages.join(shared.select("key", "first"), "key").withColumn("start", F.explode("starts"))
-    return found.select("doc", "row", "start", (F.col("start") + PREFIX + reach).alias("end"), F.col("first.doc").alias("first_doc"),
-                        (F.struct("doc", "row") == F.col("first")).alias("kept"))
+    found = passages.join(shared.select("key", "first"), "key").join(contexts.select(*own, "pos"), own)
+    start = F.col("start") - F.col("before")
+    return found.withColumn("start", F.explode("pos")).select(
+        "doc", "row", start.alias("start"), (start + PREFIX + reach).alias("end"), F.col("first.doc").alias("first_doc"),
+        (F.struct("doc", "row") == F.col("first")).alias("kept"))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
