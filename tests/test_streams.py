@@ -410,3 +410,18 @@ def test_table_stream_reads_folders_and_files(spark, tmp_path):
     one = next((tmp_path / "t.parquet").glob("*.parquet"))
     (tmp_path / "u.parquet").write_bytes(one.read_bytes())
     assert 0 < drain(streams.table_stream(spark, str(tmp_path), "u", "id long")).count() < 10
+
+
+def _state_rows(stream, tmp_path):
+    """Entries that the first stateful operator of a stream holds after its last micro-batch with rows."""
+    query = batched_sink(stream, str(tmp_path / "o"), str(tmp_path / "c"), available_now=True)
+    query.awaitTermination()
+    return max(p["stateOperators"][-1]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+
+
+MANY = [(f"k{i}", "fail" if i % 2 else "ok", i % 5) for i in range(1500)]
+
+
+def test_interval_join_late_keys_share_groups(feed, tmp_path):
+    rows = feed(MANY)
+    assert 0 < _state_rows(joins.interval_join_late(rows, rows, "key", "et", -10, 10, 5), tmp_path) < 300

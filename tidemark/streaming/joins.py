@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark.functions.dates import later
 from tidemark.operators import joins
 from tidemark.operators.joins import prefixed, side_by_side
+from tidemark.streaming.groups import dealt, id_type
 from tidemark.streaming.streams import watermark
 from tidemark.streaming.windows import CLOCK, HORIZON, LogicalClock, late_watermark, micros
 
@@ -54,6 +56,9 @@ def outer_join(left: DataFrame, right: DataFrame, key: str, ts: str, lower: floa
     return joined.withColumn(key, F.coalesce(F.col(key), F.col(f"right_{key}"))).drop(f"right_{key}")
 
 
+BUCKETS = 256  # groups that keys are dealt to
+
+
 def _struct(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
 
@@ -88,6 +93,19 @@ def session_window_join(left: DataFrame, right: DataFrame, key: str, ts: str, ga
                         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"))
 
 
+def _rows_type(id_type: T.DataType, row: T.StructType, *more: str) -> T.StructType:
+    """An array of rows with the ids of their keys."""
+    fields = [T.StructField("id", id_type), *[T.StructField(c, T.LongType()) for c in more],
+              T.StructField("row", row)]
+    return T.StructType([T.StructField("rows", T.ArrayType(T.StructType(fields)))])
+
+
+def _held(state, *number: int) -> list[tuple]:
+    """The rows under a number in map state."""
+    found = state.getValue(number)
+    return [(*r[:-1], _values(r[-1])) for r in found[0]] if found else []
+
+
 class AsOf(LogicalClock):
     """One key, or a share of its rows. Versions are kept in map state by their start, beside the sorted list of starts; rows
     wait in map state by millisecond until the watermark has passed them. A version that no later row can meet goes."""
@@ -194,35 +212,35 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_
 
 
 class IntervalJoinLate(LogicalClock):
-    """One cell of time of one key. The rows of each side wait in map state, by slot of time: a new row reads
-    only the slots its partners can lie in, and pairs are found in sorted lists."""
+    """One cell of time of a bucket of keys. The rows of each side wait in map state, by slot of time: a new row reads
+    only the slots its partners can lie in, and pairs are found in sorted lists of a key's rows."""
 
-    def __init__(self, left: T.StructType, right: T.StructType, lower: float, upper: float,
+    def __init__(self, id_type: T.DataType, left: T.StructType, right: T.StructType, lower: float, upper: float,
                  cell: float, delay: float):
         super().__init__(delay)
-        self.types = (left, right)
+        self.id_type, self.types = id_type, (left, right)
         self.lower, self.upper = round(lower * 1e6), round(upper * 1e6)
         self.cell = cell
-        self.slot = max(1, (self.upper - self.lower) // 8)  # microseconds
+        self.slot = max(1, (self.upper - self.lower) // 2)  # microseconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        held = [T.StructType([T.StructField("rows", T.ArrayType(T.StructType(
-            [T.StructField("at", T.LongType()), T.StructField("row", t)])))]) for t in self.types]
-        self.sides = [handle.getMapState("left", "slot long", held[0]), handle.getMapState("right", "slot long", held[1])]
-
-    def _held(self, side: int, first: int, last: int, read: dict) -> list[tuple]:
-        """Kept rows of a side with ``first <= at <= last``, by time."""
-        out = []
+        self.sides = [handle.getMapState(name, "slot long", _rows_type(self.id_type, kind, "at"))
+                      for name, kind in zip(("left", "right"), self.types)]
+
+    def _slot(self, side: int, slot: int, read: list[dict | None]) -> dict:
+        """Kept rows of a slot by key, each by time."""
+        if read[side] is None:  # nothing is held: no need to look into every slot
+            read[side] = {} if self.sides[side].exists() else defaultdict(dict)
+        if isinstance(read[side], defaultdict) or slot in read[side]:
+            return read[side][slot]
+        read[side][slot] = _by_id(_held(self.sides[side], slot))
+        return read[side][slot]
+
+    def _near(self, side: int, id, first: int, last: int, read: list[dict | None]) -> Iterator[tuple]:
+        """Kept rows of a key and side with ``first <= at <= last``."""
         for slot in range(first // self.slot, last // self.slot + 1):
-            if slot not in read:
-                found = self.sides[side].getValue((slot,))
-                rows = [(r["at"], _values(r["row"])) if isinstance(r, dict) else (r[0], _values(r[1]))
-                        for r in (found[0] if found else [])]
-                read[slot] = sorted(rows, key=lambda r: r[0])
-            rows = read[slot]
-            out += rows[bisect_left(rows, first, key=lambda r: r[0]):bisect_right(rows, last, key=lambda r: r[0])]
-        return out
+            yield from _between(self._slot(side, slot, read).get(id, ()), first, last)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         now = self.now(timerValues)
@@ -235,27 +253,24 @@ class IntervalJoinLate(LogicalClock):
                     yield Row(kind=("left_late", "right_late")[side],
                               left=None if side else _named(self.types[0], mine),
                               right=_named(self.types[1], mine) if side else None)
-            elif key[0] is not None:  # a null key equals nothing
-                new[side].append((row["at"], mine))
-        for side in (0, 1):
-            new[side].sort(key=lambda r: r[0])
+            elif row["id"] is not None:  # a null key equals nothing
+                new[side].append((row["id"], row["at"], mine))
         # new left rows meet the right rows kept before and the new ones, new right rows the left rows kept before
-        seen: tuple[dict, dict] = ({}, {})
-        for l_at, l_row in new[0]:
-            first, last = l_at + self.lower, l_at + self.upper
-            fresh = new[1][bisect_left(new[1], first, key=lambda r: r[0]):bisect_right(new[1], last, key=lambda r: r[0])]
-            for _, r_row in (*self._held(1, first, last, seen[1]), *fresh):
+        read: list[dict | None] = [None, None]
+        fresh = _by_id(new[1])
+        for id, at, l_row in new[0]:
+            first, last = at + self.lower, at + self.upper
+            for _, r_row in (*self._near(1, id, first, last, read), *_between(fresh.get(id, ()), first, last)):
                 yield self._match(l_row, r_row)
-        for r_at, r_row in new[1]:
-            for _, l_row in self._held(0, r_at - self.upper, r_at - self.lower, seen[0]):
+        for id, at, r_row in new[1]:
+            for _, l_row in self._near(0, id, at - self.upper, at - self.lower, read):
                 yield self._match(l_row, r_row)
         for side in (0, 1):
             slots: dict[int, list] = {}
-            for at, mine in new[side]:
-                slots.setdefault(at // self.slot, []).append((at, mine))
+            for row in new[side]:
+                slots.setdefault(row[1] // self.slot, []).append(row)
             for slot, more in slots.items():
-                low = slot * self.slot
-                kept = self._held(side, low, low + self.slot - 1, seen[side])
+                kept = [(id, at, row) for id, of_key in self._slot(side, slot, read).items() for at, row in of_key]
                 self.sides[side].updateValue((slot,), ([*kept, *more],))
         if new[0] or new[1]:
             end = (key[1] + 1) * self.cell * 1000 + max(self.upper // 1000, 0)
@@ -273,14 +288,26 @@ class IntervalJoinLate(LogicalClock):
         pass
 
 
+def _by_id(rows: list[tuple]) -> dict:
+    """(id, at, row) as lists of (at, row) by id, each by time."""
+    out: dict = {}
+    for id, at, row in sorted(rows, key=lambda r: r[1]):
+        out.setdefault(id, []).append((at, row))
+    return out
+
+
+def _between(rows: list[tuple], first: int, last: int) -> list[tuple]:
+    return rows[bisect_left(rows, first, key=lambda r: r[0]):bisect_right(rows, last, key=lambda r: r[0])] if rows else []
+
+
 def interval_join_late(left: DataFrame, right: DataFrame, key: str, ts: str, lower: float,
-                       upper: float, delay: float, horizon: float = HORIZON) -> DataFrame:
+                       upper: float, delay: float, horizon: float = HORIZON, buckets: int = 16) -> DataFrame:
     """Interval join with rows behind the watermark tagged instead of dropped, however late they are.
 
     Output: ``kind`` (``match``, ``left_late``, ``right_late``) and the whole rows ``left`` and
-    ``right``. The watermark is the smaller one of the two streams. Grouped by key and cell of
+    ``right``. The watermark is the smaller one of the two streams. Grouped by bucket of keys and cell of
     time, as in the batch ``interval_join``; cells are wider here, as each costs state and a
-    timer. A right row reaches one or two cells and is reported late from the first only. A null
+    timer, and ``buckets`` few, as there are as many groups for every cell. A right row reaches one or two cells and is reported late from the first only. A null
     key equals nothing.
     """
     both = side_by_side(late_watermark(left, ts, horizon), late_watermark(right, ts, horizon), key, ts, CLOCK)
@@ -289,16 +316,16 @@ def interval_join_late(left: DataFrame, right: DataFrame, key: str, ts: str, low
     at = micros(ts)
     reach = F.sequence(number(at - F.lit(round(upper * 1e6))), number(at - F.lit(round(lower * 1e6))))
     cells = F.when(F.col("_side") == "l", F.array(number(at))).otherwise(reach)
-    rows = both.select(
+    rows = dealt(both.select(
         F.col(key).alias("key"), F.posexplode(cells).alias("_nth", "cell"), "_side",
         F.col("_left").dropFields(CLOCK).alias("_left"), F.col("_right").dropFields(CLOCK).alias("_right"),
         at.alias("at"), CLOCK,
-    ).withColumn("primary", F.col("_nth") == 0)
+    ).withColumn("primary", F.col("_nth") == 0), "key", buckets)
     types = (_struct(left_typed(left, ts)), _struct(left_typed(right, ts)))
     out = T.StructType([T.StructField("kind", T.StringType()), T.StructField("left", types[0]),
                         T.StructField("right", types[1])])
-    return rows.groupBy("key", "cell").transformWithState(
-        IntervalJoinLate(*types, lower, upper, cell, delay), out, "append", "EventTime")
+    return rows.groupBy("bucket", "cell").transformWithState(
+        IntervalJoinLate(id_type(both.schema[key].dataType), *types, lower, upper, cell, delay), out, "append", "EventTime")
 
 
 def left_typed(df: DataFrame, ts: str) -> DataFrame:
