@@ -425,3 +425,8 @@ MANY = [(f"k{i}", "fail" if i % 2 else "ok", i % 5) for i in range(1500)]
 def test_interval_join_late_keys_share_groups(feed, tmp_path):
     rows = feed(MANY)
     assert 0 < _state_rows(joins.interval_join_late(rows, rows, "key", "et", -10, 10, 5), tmp_path) < 300
+
+
+def test_changelog_keys_share_groups(feed, tmp_path):
+    rows = feed(MANY).drop("et")
+    assert 0 < _state_rows(joins.changelog_join(rows, rows, "key", "at", "full", 1, buckets=4), tmp_path) < 300

@@ -334,59 +334,91 @@ def left_typed(df: DataFrame, ts: str) -> DataFrame:
 
 
 class ChangelogJoin(StatefulProcessor):
-    """A cell of one key: its share of the left rows and its share of the right rows, in arrival order. Whether rows of a side have come
-    at all, here or elsewhere, is kept apart (``seen``), as are the counts: a side is read only when a row of the other has to meet it.
+    """A cell of a bucket of keys: its share of the left rows and its share of the right rows, in arrival order. How many rows of a key and
+    side there are here, and whether any have come at all, here or elsewhere (``seen``), is kept apart, by page: the rows of a
+    page and side are read only when a row of the other side has to meet them. Rows are added as chunks, without reading those before.
 
     Cells lie in a square. The cells of the first column answer for the left rows that have met nobody, those of the first
     row for the right ones; rows of other cells reach them as marks, which hold no row."""
 
-    def __init__(self, left: T.StructType, right: T.StructType, how: str):
-        self.types, self.how = (left, right), how
+    most_chunks = 16  # chunks that are read are joined into one if they are more
+
+    def __init__(self, id_type: T.DataType, left: T.StructType, right: T.StructType, how: str):
+        self.id_type, self.types, self.how = id_type, (left, right), how
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.sides = [handle.getListState("left", self.types[0]),
-                      handle.getListState("right", self.types[1])]
-        self.sizes = handle.getValueState("sizes", "n_left long, n_right long, seen_left boolean, seen_right boolean")
+        self.sides = [handle.getMapState(name, "page int, chunk int", _rows_type(self.id_type, kind))
+                      for name, kind in zip(("left", "right"), self.types)]
+        self.pages = handle.getMapState(
+            "pages", "page int", f"left int, right int, keys array<struct<id: {self.id_type.simpleString()}, n_left: long, n_right: long, "
+            "seen_left: boolean, seen_right: boolean>>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        n_left, n_right, *seen = self.sizes.get() or (0, 0, False, False)
-        known = [n_left, n_right]
-        new: tuple[list, list] = ([], [])
-        held: list[list | None] = [None, None]
+        pages: dict[int, list] = {}
+        for row in rows:
+            pages.setdefault(row["page"], []).append(row)
+        for page, own in pages.items():
+            yield from self._page(key, page, sorted(own, key=lambda r: r["seq"]))
+
+    def _read(self, side: int, page: int, chunks: list[int]) -> dict:
+        """Rows of a page and side by key."""
+        out: dict = {}
+        parts = [self.sides[side].getValue((page, chunk))[0] for chunk in range(chunks[side])]
+        for part in parts:
+            for id, row in part:
+                out.setdefault(id, []).append(_values(row))
+        if chunks[side] > self.most_chunks:
+            for chunk in range(1, chunks[side]):
+                self.sides[side].removeKey((page, chunk))
+            self.sides[side].updateValue((page, 0), ([(id, row) for id, own in out.items() for row in own],))
+            chunks[side] = 1
+        return out
+
+    def _page(self, key, page: int, rows: list[Row]) -> Iterator[Row]:
+        found = self.pages.getValue((page,))
+        chunks = [found[0], found[1]] if found else [0, 0]
+        keys = {k[0]: list(k[1:]) for k in found[2]} if found else {}
+        new: tuple[dict, dict] = ({}, {})
+        held: list[dict | None] = [None, None]
         # whose padded rows are told here
         padded = (self.how in ("left", "full") and key[2] == 0, self.how in ("right", "full") and key[1] == 0)
 
-        def partners(side: int) -> Iterator[tuple]:
-            if known[side] and held[side] is None:
-                held[side] = [tuple(s) for s in self.sides[side].get()]
-            yield from held[side] or ()
-            yield from new[side]
+        def partners(side: int, id) -> Iterator[tuple]:
+            if keys[id][side]:
+                if held[side] is None:
+                    held[side] = self._read(side, page, chunks)
+                yield from held[side][id]
+            yield from new[side].get(id, ())
 
         def out(op, at, step, side, mine, other):
             left, right = (other, mine) if side else (mine, other)
             return Row(op=op, at=at, step=step, left=_named(self.types[0], left),
                        right=_named(self.types[1], right))
 
-        for row in sorted(rows, key=lambda r: r["seq"]):
-            at = row["seq"]
+        for row in rows:
+            at, id = row["seq"], row["id"]
+            known = keys.setdefault(id, [0, 0, False, False])
             side = 0 if row["_side"] == "l" else 1
             # partners alone so far were emitted padded; withdraw that first
-            if padded[1 - side] and not seen[side]:
-                for other in partners(1 - side):
+            if padded[1 - side] and not known[2 + side]:
+                for other in partners(1 - side, id):
                     yield out("-D", at, 0, side, None, other)
-            seen[side] = True
+            known[2 + side] = True
             if row["mark"]:
                 continue
             mine = _values(row["_right"] if side else row["_left"])
-            for other in partners(1 - side):
+            for other in partners(1 - side, id):
                 yield out("+I", at, 1, side, mine, other)
-            if padded[side] and not seen[1 - side]:
+            if padded[side] and not known[3 - side]:
                 yield out("+I", at, 1, side, mine, None)
-            new[side].append(mine)
-        for state, rows_now in zip(self.sides, new):
-            if rows_now:
-                state.appendList(rows_now)
-        self.sizes.update((known[0] + len(new[0]), known[1] + len(new[1]), *seen))
+            new[side].setdefault(id, []).append(mine)
+        for side in (0, 1):
+            if new[side]:
+                self.sides[side].updateValue((page, chunks[side]), ([(id, row) for id, own in new[side].items() for row in own],))
+                chunks[side] += 1
+                for id, own in new[side].items():
+                    keys[id][side] += len(own)
+        self.pages.updateValue((page,), (*chunks, [(id, *known) for id, known in keys.items()]))
 
     def close(self) -> None:
         pass
@@ -412,9 +444,9 @@ def _in_cells(rows: DataFrame, key: str, shards: int) -> DataFrame:
 
 
 def changelog_join(left: DataFrame, right: DataFrame, key: str, seq: str,
-                   how: str = "left", shards: int = 1) -> DataFrame:
+                   how: str = "left", shards: int = 1, buckets: int = BUCKETS) -> DataFrame:
     """Streaming form of ``operators.joins.outer_join_changelog``: every row of both streams is
-    kept, nothing needs a watermark, and padded rows are withdrawn when a partner arrives. With ``shards`` a key is
+    kept, nothing needs a watermark, and padded rows are withdrawn when a partner arrives. Keys are dealt to ``buckets``. With ``shards`` a bucket is
     ``shards * shards`` groups, each with a share of both sides, for which every row is sent ``shards`` times and, without its
     values, as often again: no group of a hot key reads or holds a whole side.
 
@@ -430,8 +462,8 @@ def changelog_join(left: DataFrame, right: DataFrame, key: str, seq: str,
         T.StructField("op", T.StringType()), T.StructField("at", left.schema[seq].dataType),
         T.StructField("step", T.IntegerType()), T.StructField("left", types[0]),
         T.StructField("right", types[1])])
-    log = _in_cells(rows, key, shards).groupBy(key, "i", "j").transformWithState(
-        ChangelogJoin(*types, how), out, "append", "None")
+    log = dealt(_in_cells(rows, key, shards), key, buckets).groupBy("bucket", "i", "j").transformWithState(
+        ChangelogJoin(id_type(rows.schema[key].dataType), *types, how), out, "append", "None")
     # a null key equals nothing: such rows are padded at once and never withdrawn
     for side, name in ((left, "left"), (right, "right")):
         if how in (name, "full"):
