@@ -430,3 +430,20 @@ def test_interval_join_late_keys_share_groups(feed, tmp_path):
 def test_changelog_keys_share_groups(feed, tmp_path):
     rows = feed(MANY).drop("et")
     assert 0 < _state_rows(joins.changelog_join(rows, rows, "key", "at", "full", 1, buckets=4), tmp_path) < 300
+
+
+def test_as_of_keys_share_groups(feed, tmp_path):
+    rows = feed(MANY)
+    assert 0 < _state_rows(joins.as_of_join(rows, rows, "key", "et", "et", delay=5, buckets=4), tmp_path) < 300
+
+
+def test_as_of_versions_over_many_batches(feed):
+    """Versions in more chunks than a page keeps apart, late ones and replaced ones among them."""
+    n = 20
+    left = feed(*[[("a", f"r{i}", 10 * i + 5), ("b", f"s{i}", 10 * i)] for i in range(n)], [("z", "", 9000)])
+    right = feed(*[[("a", f"v{i}", 10 * i), ("a", f"w{i}", max(10 * i - 8, 0)), ("b", f"u{i}", 1)] for i in range(n)], [("z", "", 9000)])
+    for delay in (0, 25):
+        got = drain(joins.as_of_join(left, right, "key", "et", "et", delay=delay, buckets=1)).where("key = 'a'").collect()
+        # w, 8 seconds before the next v, is the newest at r if it comes before r is answered
+        assert sorted((r.value, r.right_value) for r in got) == sorted(
+            (f"r{i}", f"w{i + 1}" if i + 1 < n else f"v{i}") for i in range(n))

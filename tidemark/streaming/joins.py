@@ -107,83 +107,138 @@ def _held(state, *number: int) -> list[tuple]:
 
 
 class AsOf(LogicalClock):
-    """One key, or a share of its rows. Versions are kept in map state by their start, beside the sorted list of starts; rows
-    wait in map state by millisecond until the watermark has passed them. A version that no later row can meet goes."""
+    """A bucket of keys, or a share of its rows. Versions are kept in map state by page of keys, as chunks added without reading those
+    before; rows wait in map state by slot of time until the watermark has passed them. One timer, for the row that waits longest, answers
+    all rows passed, so that a page of versions is read once a micro-batch. A version that no later row can meet goes when its page is written
+    again: if half of it is such versions, or after ``most_chunks``."""
 
-    def __init__(self, row: T.StructType, version: T.StructType, delay: float):
+    most_chunks = 16
+
+    def __init__(self, id_type: T.DataType, row: T.StructType, version: T.StructType, delay: float):
         super().__init__(delay)
-        self.types = (row, version)
+        self.id_type, self.types = id_type, (row, version)
+        self.slot = max(1000, round(delay * 1000) // 32)  # milliseconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.starts = handle.getValueState("starts", "at array<long>, answered long")
-        self.versions = handle.getMapState("versions", "at long", T.StructType([T.StructField("row", self.types[1])]))
-        held = T.StructType([T.StructField("at", T.LongType()), T.StructField("row", self.types[0])])
-        self.waiting = handle.getMapState("waiting", "ms long", T.StructType([T.StructField("rows", T.ArrayType(held))]))
+        self.book = handle.getValueState(
+            "book", "answered long, wake long, slots array<long>, chunks array<struct<page: int, n: int>>")
+        self.versions = handle.getMapState("versions", "page int, chunk int", _rows_type(self.id_type, self.types[1], "at"))
+        self.waiting = handle.getMapState("waiting", "slot long", _rows_type(self.id_type, self.types[0], "page", "at"))
+
+    def _book(self) -> tuple:
+        """What has been answered, when the timer is due, the slots with rows that wait, and the chunks of each page."""
+        found = self.book.get()
+        return (found[0], found[1], set(found[2]), {p: n for p, n in found[3]}) if found else (None, None, set(), {})
+
+    def _note(self, answered: int | None, wake: int | None, slots: set[int], chunks: dict[int, int]) -> None:
+        self.book.update((answered, wake, sorted(slots), list(chunks.items())))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         now = self.now(timerValues)
-        known, answered = self._known()
-        starts = set(known)
+        answered, wake, slots, chunks = self._book()
         new: dict[int, list] = {}
+        waiting: dict[int, list] = {}
         for row in rows:
             at = row["at"]
             if row["_side"] == "r":
-                self.versions.updateValue((at,), (_values(row["_right"]),))
-                starts.add(at)
+                new.setdefault(row["page"], []).append((row["id"], at, _values(row["_right"])))
             elif now is None or at >= now * 1000:
-                new.setdefault(-(-at // 1000), []).append((at, _values(row["_left"])))
-        for ms, more in new.items():
-            before = self._rows(ms)
-            if not before:
-                self.wake(ms + 1)
-            self.waiting.updateValue((ms,), ([*before, *more],))
+                waiting.setdefault(-(-at // 1000) // self.slot, []).append((row["id"], row["page"], at, _values(row["_left"])))
+        for page, more in new.items():
+            n = chunks.get(page, 0)
+            if n >= self.most_chunks:
+                n = self._write(page, n, self._live([*self._versions(page, n), *more], answered))
+            else:
+                self.versions.updateValue((page, n), (more,))
+                n += 1
+            chunks[page] = n
+        for slot, more in waiting.items():
+            self.waiting.updateValue((slot,), ([*(_held(self.waiting, slot) if slot in slots else ()), *more],))
+            slots.add(slot)
+            first = min(-(-at // 1000) for _, _, at, _ in more) + 1
+            if wake is None or first < wake:
+                wake = first
+                self.wake(wake)
         # timers run after the rows: what waits until now is answered by the next call
-        self._keep(sorted(starts), answered, now)
+        self._note(answered if now is None else now, wake, slots, chunks)
         return iter(())
 
-    def _known(self) -> tuple[list[int], int | None]:
-        """Starts of the versions kept, and the time up to which no row waits any more."""
-        found = self.starts.get()
-        return (list(found[0] or []), found[1]) if found else ([], None)
-
-    def _rows(self, ms: int) -> list[tuple]:
-        found = self.waiting.getValue((ms,))
-        return [(r["at"], _values(r["row"])) if isinstance(r, dict) else (r[0], _values(r[1])) for r in (found[0] if found else [])]
-
-    def _keep(self, starts: list[int], answered: int | None, now: int | None) -> None:
-        """Forget the versions before the newest that had started by ``answered`` (milliseconds): no row waits or comes that is as old."""
-        if answered is not None:
-            old = max(bisect_right(starts, (answered - 1) * 1000) - 1, 0)  # rows of this millisecond may still wait
-            for at in starts[:old]:
-                self.versions.removeKey((at,))
-            starts = starts[old:]
-        self.starts.update((starts, now))
+    def _versions(self, page: int, chunks: int) -> list[tuple]:
+        return [v for chunk in range(chunks) for v in _held(self.versions, page, chunk)]
+
+    def _write(self, page: int, chunks: int, versions: list[tuple]) -> int:
+        """Keep the versions as the only chunk of a page."""
+        for chunk in range(1, chunks):
+            self.versions.removeKey((page, chunk))
+        self.versions.updateValue((page, 0), (versions,))
+        return 1
+
+    def _live(self, versions: list[tuple], answered: int | None) -> list[tuple]:
+        """Versions without those replaced, the last of one start to arrive counting, and those before the newest of their key that had started by
+        ``answered`` (milliseconds): no row waits or comes that is as old."""
+        last = {(id, at): row for id, at, row in versions}
+        if answered is None:
+            return [(id, at, row) for (id, at), row in last.items()]
+        bound = (answered - 1) * 1000  # rows of this millisecond may still wait
+        newest: dict = {}
+        for id, at in last:
+            if at <= bound and at > newest.get(id, at - 1):
+                newest[id] = at
+        return [(id, at, row) for (id, at), row in last.items() if at >= newest.get(id, at)]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ms = expiredTimerInfo.getExpiryTimeInMs() - self.behind - 1
-        starts, answered = self._known()
-        seen: dict[int, tuple] = {}
-        for at, row in self._rows(ms):
-            i = bisect_right(starts, at) - 1
-            if i >= 0 and starts[i] not in seen:
-                seen[starts[i]] = _values(self.versions.getValue((starts[i],))[0])
-            yield Row(left=_named(self.types[0], row), right=_named(self.types[1], seen[starts[i]]) if i >= 0 else None)
-        self.waiting.removeKey((ms,))
+        now = self.now(timerValues)
+        answered, wake, slots, chunks = self._book()
+        due = [slot for slot in sorted(slots) if slot * self.slot < now]
+        passed: dict[int, list] = {}
+        rest: list[int] = []
+        for slot in due:
+            later_rows = []
+            for row in _held(self.waiting, slot):
+                if -(-row[2] // 1000) < now:
+                    passed.setdefault(row[1], []).append(row)
+                else:
+                    later_rows.append(row)
+            if later_rows:
+                rest += [-(-row[2] // 1000) for row in later_rows]
+                self.waiting.updateValue((slot,), (later_rows,))
+            else:
+                self.waiting.removeKey((slot,))
+                slots.remove(slot)
+        for page, rows in passed.items():
+            n = chunks.get(page, 0)
+            held = self._versions(page, n)
+            versions: dict = {}
+            for id, start, version in sorted(held, key=lambda v: v[1]):
+                versions.setdefault(id, []).append((start, version))
+            for id, _, at, row in rows:
+                known = versions.get(id, ())
+                i = bisect_right(known, at, key=lambda v: v[0]) - 1
+                yield Row(left=_named(self.types[0], row), right=_named(self.types[1], known[i][1]) if i >= 0 else None)
+            live = self._live(held, now)
+            if 2 * len(live) < len(held):
+                chunks[page] = self._write(page, n, live)
+        if not rest and slots:  # the next slot's rows are not read for it
+            rest = [min(slots) * self.slot]
+        wake = min(rest) + 1 if rest else None
+        if wake is not None:
+            self.wake(max(wake, now + 1))
+        self._note(answered, wake, slots, chunks)
 
     def close(self) -> None:
         pass
 
 
 def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_ts: str, how: str = "left",
-               delay: float = 0, shards: int = 1, horizon: float = HORIZON) -> DataFrame:
+               delay: float = 0, shards: int = 1, horizon: float = HORIZON, buckets: int = BUCKETS) -> DataFrame:
     """Streaming form of ``operators.joins.as_of_join``: each row of ``left`` with the version of its key that was valid
     at its time, not the newest one known when it arrives.
 
     A row waits until the watermark, ``delay`` seconds behind the smaller of the two streams' clocks, has passed it: versions that
     come late by less than this still count for rows before them. Rows behind the watermark are dropped; versions are
-    kept however late they come, for the rows after them. Of versions with one start the last to arrive counts. ``shards``
-    spreads the rows of a hot key over so many groups, each with a copy of its versions. A row with a null key comes out at once, without a
+    kept however late they come, for the rows after them. Of versions with one start the last to arrive counts. Keys are
+    dealt to ``buckets`` groups; ``shards`` spreads the rows of a hot key over so many, each with a copy of its versions. A row with a null key comes out at once, without a
     version."""
     right = versions.withColumn(version_ts, F.col(version_ts).cast("timestamp")).where(F.col(key).isNotNull())
     mine = left_typed(left, ts)
@@ -193,14 +248,14 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, ts: str, version_
     share = F.xxhash64("_left") if shards > 1 else F.lit(0).cast("long")
     every = F.array(*[F.lit(i).cast("long") for i in range(shards)])
     own = ["_key", "_at", CLOCK]
-    rows = both.select(
+    rows = dealt(both.select(
         F.col("_key").alias("key"), F.explode(F.when(F.col("_side") == "r", every).otherwise(
             F.array(F.pmod(share, F.lit(shards).cast("long"))))).alias("shard"),
         "_side", F.col("_left").dropFields(*own).alias("_left"), F.col("_right").dropFields(*own).alias("_right"),
-        micros("_at").alias("at"), CLOCK)
+        micros("_at").alias("at"), CLOCK), "key", buckets)
     types = (_struct(mine), _struct(right))
-    found = rows.groupBy("key", "shard").transformWithState(
-        AsOf(*types, delay), T.StructType([T.StructField("left", types[0]), T.StructField("right", types[1])]), "append", "EventTime")
+    found = rows.groupBy("bucket", "shard").transformWithState(
+        AsOf(id_type(mine.schema[key].dataType), *types, delay), T.StructType([T.StructField("left", types[0]), T.StructField("right", types[1])]), "append", "EventTime")
     if how == "inner":
         found = found.where(F.col("right").isNotNull())
     names = [c for c in versions.columns if c != key]
