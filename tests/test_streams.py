@@ -437,6 +437,16 @@ def test_as_of_keys_share_groups(feed, tmp_path):
     assert 0 < _state_rows(joins.as_of_join(rows, rows, "key", "et", "et", delay=5, buckets=4), tmp_path) < 300
 
 
+def test_runs_keys_share_groups(feed, tmp_path):
+    runs = patterns.consecutive_match(feed(MANY), "key", "et", F.col("value") == "fail", buckets=4)
+    assert 0 < _state_rows(runs, tmp_path) < 300
+
+
+def test_sequence_keys_share_groups(feed, tmp_path):
+    found = patterns.sequence_within(feed(MANY), "key", "et", F.col("value") == "ok", F.col("value") == "fail", 5, buckets=4)
+    assert 0 < _state_rows(found, tmp_path) < 300
+
+
 def test_as_of_versions_over_many_batches(feed):
     """Versions in more chunks than a page keeps apart, late ones and replaced ones among them."""
     n = 20
@@ -447,3 +457,15 @@ def test_as_of_versions_over_many_batches(feed):
         # w, 8 seconds before the next v, is the newest at r if it comes before r is answered
         assert sorted((r.value, r.right_value) for r in got) == sorted(
             (f"r{i}", f"w{i + 1}" if i + 1 < n else f"v{i}") for i in range(n))
+
+
+def test_pattern_keys_of_any_type(feed):
+    """Keys that Python would not tell apart, or not find again, as they are: NaN, times to the microsecond, bytes."""
+    rows = [(k, "fail", i) for i in range(3) for k in ("NaN", "1.5", None)]
+    df = feed(rows[:4], rows[4:], [("9", "ok", 500)])
+    number = F.col("key").cast("double")
+    for key in (number, F.timestamp_micros((F.when(F.isnan(number), 7).otherwise(number * 2)).cast("long")), F.encode("key", "utf-8")):
+        out = drain(patterns.consecutive_match(df.withColumn("k", key), "k", "et", F.col("value") == "fail"))
+        assert out.schema["k"].dataType == df.select(key.alias("k")).schema["k"].dataType
+        assert [[sec(t) for t in r.match_times] for r in out.collect()] == [[0, 1, 2]] * 3
+        assert len({str(r.k) for r in out.collect()}) == 3
