@@ -473,6 +473,30 @@ def test_context_tree_scores(spark, odd):
     assert outside and all(r.score < 0 and r.bits_per_byte > 0 for r in outside)
 
 
+def test_context_tree_reads_the_running_text(spark, monkeypatch):
+    """The score of a whole text against the recursive tree over its bytes, across words; other orders of the words score otherwise."""
+    texts = ["ab ba ab", "abba ab", "Ba  ba\nab é", "", "ab ab ba", "zz ab ba", None, "ba ab ab"]
+    learn = [True, True, True, True, False, False, False, False]
+    docs = written(spark.createDataFrame(list(zip(range(8), texts, learn)), "doc_id long, text string, learn boolean"), "test-ctw-running")
+    running = lambda t: Running("".join(w + " " for w in (t or "").lower().split()).encode())
+    train = Counter(running(t) for t, own in zip(texts, learn) if own)
+    got = {r.doc_id: r.score for r in ctw.score(docs, "learn", depth=3).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(tree_log10(train, running(text), 3), abs=1e-4)
+    assert got[4] != pytest.approx(got[7], abs=1e-3)
+    tokens = ctw.split_tokens(texts[2].encode() * 5)
+    whole = ctw._strings(ctw._pieces(tokens, 5), 5)[0].tolist()
+    monkeypatch.setattr(ctw, "PIECE", 4)
+    assert len(ctw._pieces(tokens, 5)) > 10 and ctw._strings(ctw._pieces(tokens, 5), 5)[0].tolist() == whole
+
+
+class Running(bytes):
+    """Words with a space behind each, which ``tree_log10`` spells with the line feed that ends a text."""
+
+    def __add__(self, _):
+        return bytes(self) + b"\n"
+
+
 def test_network_gradients():
     rnd = np.random.default_rng(2)
     net = quality_net.Net.fresh()

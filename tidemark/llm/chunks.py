@@ -101,8 +101,8 @@ def buckets_for(docs: DataFrame) -> int:
 class _Dictionary:
     """The chunks of one partition, in order."""
 
-    def __init__(self, limit: int, part: int):
-        self.limit, self.part, self.chunk = limit, part, -1
+    def __init__(self, limit: int, part: int, most_bytes: int = BYTES_PER_CHUNK):
+        self.limit, self.part, self.most_bytes, self.chunk = limit, part, most_bytes, -1
         self.renew()
 
     def renew(self) -> None:
@@ -118,11 +118,11 @@ class _Dictionary:
 
     @property
     def full(self) -> bool:
-        return len(self.codes) >= self.limit or self.bytes >= BYTES_PER_CHUNK
+        return len(self.codes) >= self.limit or self.bytes >= self.most_bytes
 
 
 def dictionaries(docs: DataFrame, split: Split, buckets: int, group: str | None = None, groups: int = 1,
-                 limit: int = WORDS_PER_CHUNK) -> DataFrame:
+                 limit: int = WORDS_PER_CHUNK, most_bytes: int = BYTES_PER_CHUNK) -> DataFrame:
     """(``bucket``, ``chunk``, ``pos``, ``words``, ``sizes``, ``n``): the distinct words of every chunk, those of one bucket packed
     together, with the steps between their numbers (``pos``). ``n`` packs, word by word, their occurrences in
     rows whose column ``group`` is 0, 1, ... below ``groups``; rows with another number count nowhere, and
@@ -145,7 +145,7 @@ def dictionaries(docs: DataFrame, split: Split, buckets: int, group: str | None
             return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in out.items()})
 
         for batch in batches:
-            book = book or _Dictionary(limit, batch.column("_part")[0].as_py())
+            book = book or _Dictionary(limit, batch.column("_part")[0].as_py(), most_bytes)
             of = batch.column(group).to_pylist() if group else [-1] * batch.num_rows
             for text, g in zip(utf8(batch), of):
                 codes = book.code(text, split)
@@ -166,7 +166,7 @@ def dictionaries(docs: DataFrame, split: Split, buckets: int, group: str | None
         run, "bucket int, chunk long, pos binary, words binary, sizes binary, n binary")
 
 
-def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK) -> DataFrame:
+def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK, most_bytes: int = BYTES_PER_CHUNK) -> DataFrame:
     """The columns of ``docs`` but the text, and ``_chunk`` and ``_codes``: its words as packed numbers of the
     chunk's dictionary."""
     kept = [c for c in docs.columns if c != "text"]
@@ -176,7 +176,7 @@ def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK) -> DataFr
     def run(batches: Batches) -> Batches:
         book = None
         for batch in batches:
-            book = book or _Dictionary(limit, batch.column("_part")[0].as_py())
+            book = book or _Dictionary(limit, batch.column("_part")[0].as_py(), most_bytes)
             chunk, codes = [], []
             for text in utf8(batch):
                 chunk.append(book.id)

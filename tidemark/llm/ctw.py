@@ -2,9 +2,8 @@
 
 The model gives a probability to a text's words, in order, and to its end. A word is spelled as its
 bytes and a closing space, the end as a line feed; every byte is eight binary decisions, one node
-of a 255-node tree each. A decision's context is the bytes before it in the same word, the nearest
-first, back to the space that closed the word before; beyond that the context is padded, so that the
-probability of a word does not hang on its neighbours and each distinct word is scored once.
+of a 255-node tree each. A decision's context is the bytes before it in the running text, the nearest
+first, across the words; before the text stand a space and padding.
 
 In every context the training counts (a, b) of a decision have the Krichevsky-Trofimov probability
 Pe(a, b); the tree mixes all depths, Pw = (Pe + product of the Pw of the longer contexts) / 2, with
@@ -15,8 +14,9 @@ Texts of different kinds, say languages, have trees of their own: the probabilit
 mean of what the trees of all groups give it, weighted by their shares of the training documents. The
 group of a document to be scored is never looked at.
 
-Corpus counts go through shuffles only: words per chunk (``chunks``), then per corpus; byte strings
-per chunk of distinct words, then per corpus. Contexts are shared out by their two nearest bytes:
+Corpus counts go through shuffles only: words per chunk (``chunks``), then per corpus; byte strings, a context and its byte,
+per chunk, then per corpus. The probability of a string's last byte goes back to the chunks that have it, as do the words, of which
+a chunk spells its texts again. Contexts are shared out by their two nearest bytes:
 a bucket holds whole subtrees from depth two on. The two depths above have 257 contexts at most,
 and their table (65,280 rows, a few numbers per group) is the only thing broadcast.
 """
@@ -24,17 +24,20 @@ and their table (65,280 rows, a few numbers per group) is the only thing broadca
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import (
     assembled, buckets_for, coded, dictionaries, gathered, lists, matrix, pack, unpack, unpack_words)
-from tidemark.llm.text import crc_mod, without
+from tidemark.llm.text import Batches, crc_mod, utf8, without
 from tidemark.session import written
 
 DEPTH = 5            # bytes of context; the byte strings counted have one more and fit 64 bits up to 7
-STRINGS_PER_BUCKET = 200_000
+STRINGS_PER_BUCKET = 40_000
+CHUNK_BYTES = 24 << 20  # of text; chunks end here only, so that the pass over byte strings needs no dictionary to end them alike
+PIECE = 1 << 20      # bytes whose strings are made at a time
 END = b""            # the end of a text among the words
 
 
@@ -43,11 +46,11 @@ def split_tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def _spelled(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The byte strings (context and byte, the byte lowest) of all words, and how many each word has."""
-    pad = bytes(depth - 1) + b" "
-    data = np.frombuffer(b"".join(pad + (w + b" " if w else b"\n") for w in words), np.uint8)
-    own = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+def _strings(pieces: list[tuple[bytes, bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The byte strings (context and byte, the byte lowest) of all bytes of some pieces, each with the ``depth`` bytes before it, and how
+    many each piece has."""
+    data = np.frombuffer(b"".join(x for piece in pieces for x in piece), np.uint8)
+    own = np.fromiter((len(piece) for _, piece in pieces), np.int64, len(pieces))
     strings = np.zeros(len(data), np.uint64)
     for back in range(min(depth, len(data)) + 1):
         strings[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
@@ -56,6 +59,21 @@ def _spelled(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return strings[at].view(np.int64), own
 
 
+def _pad(depth: int) -> bytes:
+    return bytes(depth - 1) + b" "
+
+
+def _spelled(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The byte strings of words that stand alone, and how many each word has."""
+    return _strings([(_pad(depth), w + b" " if w else b"\n") for w in words], depth)
+
+
+def _pieces(tokens: list[bytes], depth: int) -> list[tuple[bytes, bytes]]:
+    """The running text of words and the end, in pieces of bounded size with the bytes before them."""
+    text = _pad(depth) + b" ".join(tokens) + b"\n"
+    return [(text[a - depth:a], text[a:a + PIECE]) for a in range(depth, len(text), PIECE)]
+
+
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """log Gamma for x >= 1/2, by Stirling's series at x + 8."""
     shift = np.zeros_like(x)
@@ -135,24 +153,9 @@ def _upper(groups: int):
     return upper
 
 
-def score_words(words: DataFrame, groups: int, depth: int = DEPTH) -> DataFrame:
-    """(``cell``, ``word``, ``n``, ``log10_p``: a number per group) for distinct words in cells of any kind (``word``: binary; ``n``:
-    array of its counts in training per group, all 0 if it is only to be scored). The empty word is the end
-    of a text."""
-    if not 2 <= depth <= 7:
-        raise ValueError("the depth must be from 2 to 7")
-
-    def strings_of(key: tuple, rows: pa.Table) -> pa.Table:
-        strings, own = _spelled(rows.column("word").to_pylist(), depth)
-        distinct, at = np.unique(strings, return_inverse=True)
-        n = _sums(at, np.repeat(matrix(rows.column("n"), groups), own, axis=0), len(distinct)).astype(np.int64)
-        counts = {f"n{g}": n[:, g] for g in range(groups)}
-        return pa.table({"cell": np.full(len(distinct), key[0].as_py(), np.int32), "string": distinct, **counts})
-
+def _predicted(counted: DataFrame, groups: int, depth: int) -> DataFrame:
+    """(``string``, ``log10_p``: a number per group) for distinct byte strings and their training counts ``n0``, ``n1``, ..."""
     names = [f"n{g}" for g in range(groups)]
-    per_cell = words.groupBy("cell").applyInArrow(
-        strings_of, "cell int, string long, " + ", ".join(f"{c} long" for c in names))
-    counted = written(per_cell.groupBy("string").agg(*[F.sum(c).alias(c) for c in names]), "ctw-strings")
     # bytes one and two of a string are the two nearest of its context
     near = F.shiftrightunsigned("string", 8).bitwiseAND(F.lit(0xFFFF))
     buckets = max(16, -(-counted.count() // STRINGS_PER_BUCKET))
@@ -174,12 +177,33 @@ def score_words(words: DataFrame, groups: int, depth: int = DEPTH) -> DataFrame:
     table[:, :, 0], table[:, :, 1] = 0.5, 0.0
     for row in upper.toLocalIterator():  # 255 nodes of 256 contexts at most
         table[row.near, row.node] = row.zero, row.rest
-    above = words.sparkSession.sparkContext.broadcast(table)
+    above = counted.sparkSession.sparkContext.broadcast(table)
 
     def predict(rows: pa.Table) -> pa.Table:
         return pa.table({"string": rows.column("string"), "log10_p": lists(tree(rows).log10(above.value))})
 
-    predicted = dealt.groupBy("bucket").applyInArrow(predict, "string long, log10_p array<double>")
+    return dealt.groupBy("bucket").applyInArrow(predict, "string long, log10_p array<double>")
+
+
+def score_words(words: DataFrame, groups: int, depth: int = DEPTH) -> DataFrame:
+    """(``cell``, ``word``, ``n``, ``log10_p``: a number per group) for distinct words in cells of any kind (``word``: binary; ``n``:
+    array of its counts in training per group, all 0 if it is only to be scored). The empty word is the end
+    of a text."""
+    if not 2 <= depth <= 7:
+        raise ValueError("the depth must be from 2 to 7")
+
+    def strings_of(key: tuple, rows: pa.Table) -> pa.Table:
+        strings, own = _spelled(rows.column("word").to_pylist(), depth)
+        distinct, at = np.unique(strings, return_inverse=True)
+        n = _sums(at, np.repeat(matrix(rows.column("n"), groups), own, axis=0), len(distinct)).astype(np.int64)
+        counts = {f"n{g}": n[:, g] for g in range(groups)}
+        return pa.table({"cell": np.full(len(distinct), key[0].as_py(), np.int32), "string": distinct, **counts})
+
+    names = [f"n{g}" for g in range(groups)]
+    per_cell = words.groupBy("cell").applyInArrow(
+        strings_of, "cell int, string long, " + ", ".join(f"{c} long" for c in names))
+    counted = written(per_cell.groupBy("string").agg(*[F.sum(c).alias(c) for c in names]), "ctw-strings")
+    predicted = _predicted(counted, groups, depth)
     back = per_cell.select("cell", "string").join(predicted, "string")
 
     def add_up(rows: pa.Table, strings: pa.Table) -> pa.Table:
@@ -214,29 +238,62 @@ def score(docs: DataFrame, learn: str, group: str | None = None, depth: int = DE
         number = F.when(F.col(group) == name, i).otherwise(number)
     docs = gathered(docs.select(*kept, F.when(F.col("_learn"), number).otherwise(-1).alias("_group"), "text"))
     groups = len(names)
-    book = written(dictionaries(docs, split_tokens, buckets_for(docs), "_group", groups), "ctw-dictionaries")
+    book = written(dictionaries(docs, split_tokens, buckets_for(docs), "_group", groups, CHUNK_BYTES, CHUNK_BYTES), "ctw-dictionaries")
     words = written(book.groupBy("bucket").applyInArrow(
         _distinct(groups), "cell int, word binary, n array<long>"), "ctw-words")
     every = F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)
     total, distinct = words.agg(F.coalesce(F.sum(every), F.lit(0)), F.count(F.when(every > 0, 1))).first()
-    values = book.select("bucket", "chunk", "pos", "words", "sizes").groupBy("bucket").cogroup(
-        score_words(words, groups, depth).groupBy("cell")).applyInArrow(
-        _values(groups), "chunk long, pos binary, a binary, b binary")
+    parts = buckets_for(docs)
+    strings = written(_chunk_strings(docs, parts, groups, depth), "ctw-chunk-strings")
+    counted = written(strings.groupBy("bucket").applyInArrow(
+        _counted(groups), "string long, " + ", ".join(f"n{g} long" for g in range(groups))), "ctw-strings")
+    predicted = _predicted(counted, groups, depth).withColumn("bucket", _bucket_of("string", parts))
+    blank = F.lit(b"").alias("pos")
+    values = book.select("bucket", "chunk", "pos", "words", "sizes").groupBy("bucket").cogroup(words.groupBy("cell")).applyInArrow(
+        _values(groups), "chunk long, pos binary, a binary, b binary").unionByName(
+        strings.select("bucket", "chunk", "strings").groupBy("bucket").cogroup(predicted.groupBy("bucket")).applyInArrow(
+            _string_values(groups), "chunk long, a binary, b binary").select("chunk", blank, "a", "b"))
 
     def prepare(numbers: np.ndarray, spans: list, a: list[bytes], b: list[bytes]) -> tuple:
-        base, sizes, p = np.zeros(len(numbers)), np.zeros(len(numbers), np.int64), np.zeros((len(numbers), groups))
-        known = np.zeros(len(numbers), bool)
-        for (first, last), counts, scores in zip(spans, a, b):
+        base, sizes = np.zeros(len(numbers)), np.zeros(len(numbers), np.int64)
+        known, spelled = np.zeros(len(numbers), bool), np.empty(len(numbers), object)
+        keys, p = [], []
+        for (first, last), counts, data in zip(spans, a, b):
+            if first == last:  # byte strings and what their last bytes have
+                keys.append(np.frombuffer(counts, "<i8"))
+                p.append(np.frombuffer(data, "<f4").reshape(-1, groups))
+                continue
             at = numbers[first:last]
             n, sizes[at] = unpack(counts).reshape(2, -1)
-            p[at] = np.frombuffer(scores, "<f4").reshape(-1, groups)
+            ends = np.cumsum(sizes[at]).tolist()
+            spelled[at] = [data[x:y] for x, y in zip([0, *ends], ends)]
             base[at] = np.log10((n + 0.1) / (total + 0.1 * (distinct + 1)))
             known[at] = n > 0
-        return base, known, sizes, p
+        return base, known, sizes, spelled, pd.Index(np.concatenate(keys)), np.concatenate(p)
 
     def work(table: tuple, codes: list[np.ndarray]) -> dict:
-        base, known, sizes, p = table
-        each = np.array([p[c].sum(axis=0) for c in codes]) + shares
+        base, known, sizes, spelled, keys, p = table
+        each = np.zeros((len(codes), groups))
+
+        def add(pieces: list, of: list[int]) -> None:
+            strings, own = _strings(pieces, depth)
+            at = keys.get_indexer(strings)
+            if len(at) and at.min() < 0:
+                raise ValueError("the documents were dealt out differently in the two passes")
+            np.add.at(each, of, np.add.reduceat(p[at], np.cumsum(own) - own, axis=0, dtype=np.float64))
+
+        pieces, of, size = [], [], 0
+        for i, c in enumerate(codes):
+            for piece in _pieces(spelled[c].tolist(), depth):
+                pieces.append(piece)
+                of.append(i)
+                size += len(piece[1])
+                if size >= PIECE:
+                    add(pieces, of)
+                    pieces, of, size = [], [], 0
+        if pieces:
+            add(pieces, of)
+        each += shares
         top = each.max(axis=1)
         scores = top + np.log10((10 ** (each - top[:, None])).sum(axis=1))
         length = np.array([(sizes[c] + 1).sum() for c in codes])
@@ -244,7 +301,7 @@ def score(docs: DataFrame, learn: str, group: str | None = None, depth: int = DE
                 "train_tokens": np.full(len(codes), total), "base_score": np.array([base[c].sum() for c in codes]),
                 "score": scores, "bits_per_byte": -scores * np.log2(10) / length}
 
-    return assembled(coded(docs.drop("_group"), split_tokens), values, prepare, work,
+    return assembled(coded(docs.drop("_group"), split_tokens, CHUNK_BYTES, CHUNK_BYTES), values, prepare, work,
                      "n_tokens long, n_known long, train_tokens long, base_score double, score double, "
                      "bits_per_byte double")
 
@@ -272,18 +329,133 @@ def _distinct(groups: int):
 
 
 def _values(groups: int):
-    def values(rows: pa.Table, scored: pa.Table) -> pa.Table:
-        """``a``: the counts of the words, then their sizes; ``b``: their scores as 32-bit numbers."""
-        place = {w: i for i, w in enumerate(scored.column("word").to_pylist())}
-        n = matrix(scored.column("n"), groups).sum(axis=1)
-        p = matrix(scored.column("log10_p"), groups).astype("<f4")
+    def values(rows: pa.Table, counted: pa.Table) -> pa.Table:
+        """``a``: the counts of the words, then their sizes; ``b``: the words."""
+        place = {w: i for i, w in enumerate(counted.column("word").to_pylist())}
+        n = matrix(counted.column("n"), groups).sum(axis=1)
         words, numbers = _numbers(rows)
         at = np.fromiter((place[w] for w in words), np.int64, len(words))
         size = np.fromiter(map(len, words), np.int64, len(words))
         return pa.table({
             "chunk": rows.column("chunk"), "pos": rows.column("pos"),
             "a": pa.array([pack(np.concatenate([n[at[i]], size[i]])) for i in numbers], pa.binary()),
-            "b": pa.array([p[at[i]].tobytes() for i in numbers], pa.binary())})
+            "b": rows.column("words").cast(pa.binary())})
+
+    return values
+
+
+class _Counts:
+    """How often the byte strings of some texts occur, per group."""
+
+    def __init__(self, groups: int, depth: int):
+        self.groups, self.depth = groups, depth
+        self.renew()
+
+    def renew(self) -> None:
+        self.pieces: dict[int, list] = {}
+        self.size: dict[int, int] = {}
+        self.parts: dict[int, list] = {}
+
+    def add(self, tokens: list[bytes], group: int) -> None:
+        for piece in _pieces(tokens, self.depth):
+            self.pieces.setdefault(group, []).append(piece)
+            self.size[group] = self.size.get(group, 0) + len(piece[1])
+            if self.size[group] >= 2 * PIECE:
+                self._count(group)
+
+    def _count(self, group: int) -> None:
+        parts = self.parts.setdefault(group, [])
+        parts.append(np.unique(_strings(self.pieces.pop(group), self.depth)[0], return_counts=True))
+        self.size[group] = 0
+        if len(parts) >= 8:
+            self.parts[group] = [self._joined(parts)]
+
+    @staticmethod
+    def _joined(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        strings, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(strings, kind="stable")
+        strings = strings[order]
+        begins = np.flatnonzero(np.concatenate([[True], strings[1:] != strings[:-1]]))
+        return strings[begins], np.add.reduceat(n[order], begins)
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct strings, and how often they occur in each group; group -1 counts nowhere."""
+        for group in list(self.pieces):
+            self._count(group)
+        found = {group: self._joined(parts) for group, parts in self.parts.items()}
+        strings = np.unique(np.concatenate([x for x, _ in found.values()]))
+        n = np.zeros((len(strings), self.groups), np.int64)
+        for group, (own, times) in found.items():
+            if group >= 0:
+                n[np.searchsorted(strings, own), group] = times
+        return strings, n
+
+
+def _bucket(strings: np.ndarray, buckets: int) -> np.ndarray:
+    return (strings ^ (strings >> 17) ^ (strings >> 31)) % 1_000_003 % buckets
+
+
+def _bucket_of(column: str, buckets: int):
+    """``_bucket`` of a column."""
+    x = F.col(column)
+    mixed = x.bitwiseXOR(F.shiftright(x, 17)).bitwiseXOR(F.shiftright(x, 31))
+    return F.pmod(F.pmod(mixed, F.lit(1_000_003)), F.lit(buckets)).cast("int")
+
+
+def _chunk_strings(docs: DataFrame, buckets: int, groups: int, depth: int) -> DataFrame:
+    """(``bucket``, ``chunk``, ``strings``, ``n``): the distinct byte strings of every chunk, those of one bucket together, and how often
+    they occur in its texts of each group."""
+    def run(batches: Batches) -> Batches:
+        counts, part, chunk, size = _Counts(groups, depth), None, 0, 0
+
+        def rows() -> pa.RecordBatch:
+            strings, n = counts.all()
+            bucket = _bucket(strings, buckets)
+            order = np.argsort(bucket, kind="stable")
+            parts = np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
+            used = [b for b, mine in enumerate(parts) if len(mine)]
+            return pa.RecordBatch.from_pydict({
+                "bucket": pa.array(used, pa.int32()), "chunk": pa.array([(part << 24) + chunk] * len(used), pa.int64()),
+                "strings": pa.array([strings[parts[b]].tobytes() for b in used], pa.binary()),
+                "n": pa.array([pack(n[parts[b]].ravel()) for b in used], pa.binary())})
+
+        for batch in batches:
+            part = batch.column("_part")[0].as_py() if part is None else part
+            for text, group in zip(utf8(batch), batch.column("_group").to_pylist()):
+                counts.add(split_tokens(text), group)
+                size += len(text)
+                if size >= CHUNK_BYTES:
+                    yield rows()
+                    chunk, size = chunk + 1, 0
+                    counts.renew()
+        if counts.size:
+            yield rows()
+
+    return docs.select("text", "_group", F.spark_partition_id().alias("_part")).mapInArrow(
+        run, "bucket int, chunk long, strings binary, n binary")
+
+
+def _counted(groups: int):
+    def counted(key: tuple, rows: pa.Table) -> pa.Table:
+        each = [np.frombuffer(x, "<i8") for x in rows.column("strings").to_pylist()]
+        strings = np.unique(np.concatenate(each))
+        n = np.zeros((len(strings), groups), np.int64)
+        for own, times in zip(each, rows.column("n").to_pylist()):
+            n[np.searchsorted(strings, own)] += unpack(times).reshape(-1, groups)
+        return pa.table({"string": strings, **{f"n{g}": n[:, g] for g in range(groups)}})
+
+    return counted
+
+
+def _string_values(groups: int):
+    def values(rows: pa.Table, predicted: pa.Table) -> pa.Table:
+        """``a``: the byte strings; ``b``: the log10 probabilities of their last bytes as 32-bit numbers, per group."""
+        strings = predicted.column("string").to_numpy()
+        order = np.argsort(strings)
+        strings, p = strings[order], matrix(predicted.column("log10_p"), groups).astype("<f4")[order]
+        each = [np.searchsorted(strings, np.frombuffer(x, "<i8")) for x in rows.column("strings").to_pylist()]
+        return pa.table({"chunk": rows.column("chunk"), "a": rows.column("strings").cast(pa.binary()),
+                         "b": pa.array([p[at].tobytes() for at in each], pa.binary())})
 
     return values
 
