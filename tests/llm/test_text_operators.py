@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -490,6 +491,18 @@ def test_context_tree_reads_the_running_text(spark, monkeypatch):
     assert len(ctw._pieces(tokens, 5)) > 10 and ctw._strings(ctw._pieces(tokens, 5), 5)[0].tolist() == whole
 
 
+def test_spans_are_handed_on_in_small_batches():
+    """Rows of many places become many spans, which leave a task some at a time."""
+    n = 3 * suffix_dedup.ROWS_OUT
+    places = [list(range(100, 100 + n)), [100]]
+    rows = pa.table({"hash": [5, 5], "doc": [1, 2], "row": [1, 2], "pos": pa.array(places, pa.list_(pa.int32())),
+                     "around": [bytes(16), bytes(16)], "left": [2, 2], "right": [2, 2]})
+    batches = list(suffix_dedup._compared(rows, 2))
+    assert sum(b.num_rows for b in batches) == n + 1 and max(b.num_rows for b in batches) <= suffix_dedup.ROWS_OUT
+    starts = {(d, s) for b in batches for d, s in zip(b.column("doc").to_pylist(), b.column("start").to_pylist())}
+    assert starts == {(1, p - 2) for p in places[0]} | {(2, 98)}
+
+
 class Running(bytes):
     """Words with a space behind each, which ``tree_log10`` spells with the line feed that ends a text."""
 

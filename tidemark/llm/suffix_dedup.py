@@ -33,9 +33,10 @@ from tidemark.llm.text import Batches, row_key, utf8
 from tidemark.session import written
 
 PREFIX = 16   # words of a suffix that are hashed
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 200_000    # words whose hashes a task remembers
 GROUP = 100_000  # suffixes with equal first words that are compared in one task
 CHUNK = 30_000   # suffixes compared at a time, whole groups
+ROWS_OUT = 50_000  # spans handed on at a time
 
 SPANS = "doc long, row long, start int, end int, first_doc long, kept boolean"
 
@@ -156,7 +157,7 @@ def _left_hashes(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def _compared(rows: pa.Table, reach: int) -> pa.RecordBatch:
+def _compared(rows: pa.Table, reach: int) -> Batches:
     """Spans of whole groups of suffixes, sorted by ``hash`` and ``around``."""
     hash_, doc, row, left, right = (rows.column(c).to_numpy() for c in ("hash", "doc", "row", "left", "right"))
     pos = rows.column("pos").combine_chunks()
@@ -193,16 +194,18 @@ def _compared(rows: pa.Table, reach: int) -> pa.RecordBatch:
     at, a = np.nonzero(changes[:, :-1] & (state >= 0))
     _, b = np.nonzero(changes[:, 1:] & (state >= 0))
     source = first[at, a]
-    # the same for all places of a row
-    each = np.repeat(np.arange(len(at)), many[at])
-    begin = (np.cumsum(many) - many)[at[each]]
-    nth = np.arange(len(each)) - np.repeat(np.cumsum(many[at]) - many[at], many[at])
-    place = places[begin + nth]
-    at, a, b, source = at[each], a[each], b[each], source[each]
-    return pa.RecordBatch.from_pydict({
-        "doc": doc[at], "row": row[at], "start": (place - b).astype(np.int32),
-        "end": (place - a + PREFIX + reach).astype(np.int32), "first_doc": doc[source],
-        "kept": document[source] == document[at]})
+    # the same for all places of a row, some spans at a time
+    begins, n = np.cumsum(many) - many, many[at]
+    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(n) // ROWS_OUT)) + 1):
+        each = np.repeat(some, n[some])
+        nth = np.arange(len(each)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+        for c in range(0, len(each), ROWS_OUT):
+            i = each[c:c + ROWS_OUT]
+            place = places[begins[at[i]] + nth[c:c + ROWS_OUT]]
+            yield pa.RecordBatch.from_pydict({
+                "doc": doc[at[i]], "row": row[at[i]], "start": (place - b[i]).astype(np.int32),
+                "end": (place - a[i] + PREFIX + reach).astype(np.int32), "first_doc": doc[source[i]],
+                "kept": document[source[i]] == document[at[i]]})
 
 
 def _in_groups(contexts: DataFrame, reach: int) -> DataFrame:
@@ -217,10 +220,10 @@ def _in_groups(contexts: DataFrame, reach: int) -> DataFrame:
             hash_ = rows.column("hash").to_numpy()
             whole = int(np.searchsorted(hash_, hash_[-1]))  # the last group may go on
             if whole:
-                yield _compared(rows.slice(0, whole), reach)
+                yield from _compared(rows.slice(0, whole), reach)
             held = rows.slice(whole).to_batches()
         if held:
-            yield _compared(pa.Table.from_batches(held), reach)
+            yield from _compared(pa.Table.from_batches(held), reach)
 
     return contexts.repartition("hash").sortWithinPartitions("hash", "around").mapInArrow(run, SPANS)
 
