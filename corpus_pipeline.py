@@ -17,6 +17,10 @@ from tidemark.session import scratch_path
 from tidemark.sources.tables import table
 
 
+#: Of texts handed to Python at a time. An executor keeps the buffers and the Python workers of earlier stages.
+BATCH_BYTES = "2m"
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte network does not take for low quality."""
     net = quality_net.fit(docs, table(spark, sf_dir, "labels"))
@@ -50,7 +54,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _stage(work: Callable) -> Callable:
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        small_batches(spark)
+        small_batches(spark, BATCH_BYTES)
         return work(spark, docs, sf_dir)
 
     return run_stage

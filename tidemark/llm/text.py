@@ -24,10 +24,10 @@ WHITE = r"[ \t\n\x0B\f\r]"
 BATCH_BYTES = "8m"
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: str = BATCH_BYTES) -> None:
     """Hand texts to Python in batches of 8 MB rather than 64: an executor holds several of them per core. A setting of the
     session, for jobs over long texts; results do not depend on it."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def utf8(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
