@@ -491,6 +491,36 @@ def test_context_tree_reads_the_running_text(spark, monkeypatch):
     assert len(ctw._pieces(tokens, 5)) > 10 and ctw._strings(ctw._pieces(tokens, 5), 5)[0].tolist() == whole
 
 
+@pytest.mark.parametrize("depth", [2, 3, 5, 6, 7])
+def test_strings_of_texts_come_from_their_words(monkeypatch, depth):
+    """The byte strings of running texts, counted word by word, against those of every byte; what repeats is looked at once."""
+    rnd = random.Random(depth)
+    odd = [b"a", b"b", b"\0", b"ab", b"\0a", b"abc", "é漢".encode(), b"abcdefg", b"x" * 300, bytes(range(33, 60)), b"\xff" * 7]
+    texts = [[*(rnd.choice(odd) for _ in range(rnd.choice([0, 1, 2, 5, 60]))), b""] for _ in range(90)]
+    of = [rnd.choice([-1, 0, 1]) for _ in texts]
+    book = chunks.Dictionary(10**6, 0, 10**6, 2)
+    coded = {}
+    for text, group in zip(texts, of):
+        codes = book.code(b" ".join(text), ctw.split_tokens)
+        book.tally(codes, group)
+        coded.setdefault(group, []).append(codes)
+    monkeypatch.setattr(ctw, "PIECE", 50)
+    monkeypatch.setattr(ctw, "SPAN", 70)
+    monkeypatch.setattr(ctw, "KEY_BITS", 63 if depth < 6 else 20)
+    words = ctw._Words(b"".join(book.codes), np.array([len(w) for w in book.codes]), depth)
+    strings, n = ctw._string_counts(words, coded, book.n[:len(book.codes)])
+    want = {-1: Counter(), 0: Counter(), 1: Counter()}
+    for text, group in zip(texts, of):
+        want[group].update(ctw._strings(ctw._pieces([w.lower() for w in text], depth), depth)[0].tolist())
+    assert strings.tolist() == sorted(want[-1] | want[0] | want[1])
+    assert n.tolist() == [[want[0][s], want[1][s]] for s in strings.tolist()]
+    again = [codes for same in coded.values() for codes in same] * 40
+    monkeypatch.setattr(ctw, "SPAN", 10**6)
+    looked = sum(len(s) for s, _ in words.inner()) + sum(
+        len(s) for pairs, tails in words.pairs(again) for s, _ in words.heads_of(np.unique(pairs), tails))
+    assert looked < sum(len(w) + 1 for text in texts for w in text)
+
+
 def test_spans_are_handed_on_in_small_batches():
     """Rows of many places become many spans, which leave a task some at a time."""
     n = 3 * suffix_dedup.ROWS_OUT

@@ -98,17 +98,18 @@ def buckets_for(docs: DataFrame) -> int:
     return max(8, 2 * docs.rdd.getNumPartitions())
 
 
-class _Dictionary:
+class Dictionary:
     """The chunks of one partition, in order."""
 
-    def __init__(self, limit: int, part: int, most_bytes: int = BYTES_PER_CHUNK):
-        self.limit, self.part, self.most_bytes, self.chunk = limit, part, most_bytes, -1
+    def __init__(self, limit: int, part: int, most_bytes: int = BYTES_PER_CHUNK, groups: int = 1):
+        self.limit, self.part, self.most_bytes, self.groups, self.chunk = limit, part, most_bytes, groups, -1
         self.renew()
 
     def renew(self) -> None:
         self.chunk += 1
         self.bytes = 0
         self.codes = defaultdict(count().__next__)
+        self.n = np.zeros((1024, self.groups), np.int32)  # a chunk is full long before a count is
         self.id = (self.part << 24) + self.chunk
 
     def code(self, text: bytes, split: Split) -> np.ndarray:
@@ -116,48 +117,57 @@ class _Dictionary:
         words = split(text)
         return np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words))
 
+    def tally(self, codes: np.ndarray, group: int | None) -> None:
+        """Count the words of a text for its group; those of other numbers than 0, 1, ... below ``groups`` count nowhere."""
+        if len(self.codes) > len(self.n):
+            self.n = np.concatenate([self.n, np.zeros((len(self.codes) + (len(self.codes) >> 2) - len(self.n) + 1, self.groups), np.int32)])
+        if group is not None and 0 <= group < self.groups and len(codes):
+            numbers, times = np.unique(codes, return_counts=True)
+            self.n[numbers, group] += times
+
+    def rows(self, buckets: int, counted: bool) -> dict[str, list]:
+        """The columns of ``dictionaries`` for the chunk."""
+        words = list(self.codes)
+        bucket = np.fromiter((crc32(w) % buckets for w in words), np.int32, len(words))
+        order = np.argsort(bucket, kind="stable")
+        out: dict[str, list] = {c: [] for c in ("bucket", "chunk", "pos", "words", "sizes", "n")}
+        for b, mine in enumerate(np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))):
+            if len(mine):
+                data, sizes = pack_words([words[i] for i in mine.tolist()])
+                row = (b, self.id, pack(np.diff(mine, prepend=0)), data, sizes, pack(self.n[mine].ravel()) if counted else b"")
+                for c, v in zip(out, row):
+                    out[c].append(v)
+        return out
+
     @property
     def full(self) -> bool:
         return len(self.codes) >= self.limit or self.bytes >= self.most_bytes
 
 
 def dictionaries(docs: DataFrame, split: Split, buckets: int, group: str | None = None, groups: int = 1,
-                 limit: int = WORDS_PER_CHUNK, most_bytes: int = BYTES_PER_CHUNK) -> DataFrame:
+                 limit: int = WORDS_PER_CHUNK) -> DataFrame:
     """(``bucket``, ``chunk``, ``pos``, ``words``, ``sizes``, ``n``): the distinct words of every chunk, those of one bucket packed
     together, with the steps between their numbers (``pos``). ``n`` packs, word by word, their occurrences in
     rows whose column ``group`` is 0, 1, ... below ``groups``; rows with another number count nowhere, and
     without a column nothing is counted."""
     def run(batches: Batches) -> Batches:
-        book, n = None, np.zeros((1024, groups), np.int64)
+        book = None
 
         def rows() -> pa.RecordBatch:
-            words = list(book.codes)
-            bucket = np.fromiter((crc32(w) % buckets for w in words), np.int32, len(words))
-            order = np.argsort(bucket, kind="stable")
-            out: dict[str, list] = {c: [] for c in ("bucket", "chunk", "pos", "words", "sizes", "n")}
-            for b, mine in enumerate(np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))):
-                if len(mine):
-                    data, sizes = pack_words([words[i] for i in mine.tolist()])
-                    row = (b, book.id, pack(np.diff(mine, prepend=0)), data, sizes, pack(n[mine].ravel()) if group else b"")
-                    for c, v in zip(out, row):
-                        out[c].append(v)
             kinds = {"bucket": pa.int32(), "chunk": pa.int64()}
+            out = book.rows(buckets, bool(group))
             return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in out.items()})
 
         for batch in batches:
-            book = book or _Dictionary(limit, batch.column("_part")[0].as_py(), most_bytes)
+            book = book or Dictionary(limit, batch.column("_part")[0].as_py(), groups=groups)
             of = batch.column(group).to_pylist() if group else [-1] * batch.num_rows
             for text, g in zip(utf8(batch), of):
                 codes = book.code(text, split)
-                if group and len(book.codes) > len(n):
-                    n = np.concatenate([n, np.zeros((2 * len(book.codes) - len(n), groups), np.int64)])
-                if g is not None and 0 <= g < groups and len(codes):
-                    numbers, times = np.unique(codes, return_counts=True)
-                    n[numbers, g] += times
+                if group:
+                    book.tally(codes, g)
                 if book.full:
                     yield rows()
                     book.renew()
-                    n[:] = 0
         if book and book.codes:
             yield rows()
 
@@ -166,7 +176,7 @@ def dictionaries(docs: DataFrame, split: Split, buckets: int, group: str | None
         run, "bucket int, chunk long, pos binary, words binary, sizes binary, n binary")
 
 
-def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK, most_bytes: int = BYTES_PER_CHUNK) -> DataFrame:
+def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK, *, most_bytes: int = BYTES_PER_CHUNK) -> DataFrame:
     """The columns of ``docs`` but the text, and ``_chunk`` and ``_codes``: its words as packed numbers of the
     chunk's dictionary."""
     kept = [c for c in docs.columns if c != "text"]
@@ -176,7 +186,7 @@ def coded(docs: DataFrame, split: Split, limit: int = WORDS_PER_CHUNK, most_byte
     def run(batches: Batches) -> Batches:
         book = None
         for batch in batches:
-            book = book or _Dictionary(limit, batch.column("_part")[0].as_py(), most_bytes)
+            book = book or Dictionary(limit, batch.column("_part")[0].as_py(), most_bytes)
             chunk, codes = [], []
             for text in utf8(batch):
                 chunk.append(book.id)

@@ -14,15 +14,19 @@ Texts of different kinds, say languages, have trees of their own: the probabilit
 mean of what the trees of all groups give it, weighted by their shares of the training documents. The
 group of a document to be scored is never looked at.
 
+Most bytes of a text have their whole context in their own word. Within a chunk these are looked at once per distinct word, and the
+first bytes of a word once for each pair of them and the bytes before the word (``_Words``).
+
 Corpus counts go through shuffles only: words per chunk (``chunks``), then per corpus; byte strings, a context and its byte,
-per chunk, then per corpus. The probability of a string's last byte goes back to the chunks that have it, as do the words, of which
-a chunk spells its texts again. Contexts are shared out by their two nearest bytes:
+per chunk, then per corpus. The probability of a string's last byte goes back to the chunks that have it, as do the words. Contexts are shared out by their two nearest bytes:
 a bucket holds whole subtrees from depth two on. The two depths above have 257 contexts at most,
 and their table (65,280 rows, a few numbers per group) is the only thing broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import (
-    assembled, buckets_for, coded, dictionaries, gathered, lists, matrix, pack, unpack, unpack_words)
-from tidemark.llm.text import Batches, crc_mod, utf8, without
+    Dictionary, assembled, buckets_for, coded, gathered, lists, matrix, pack, unpack, unpack_words)
+from tidemark.llm.text import Batches, crc_mod, trim, utf8, without
 from tidemark.session import written
 
 DEPTH = 5            # bytes of context; the byte strings counted have one more and fit 64 bits up to 7
 STRINGS_PER_BUCKET = 40_000
-CHUNK_BYTES = 24 << 20  # of text; chunks end here only, so that the pass over byte strings needs no dictionary to end them alike
+CHUNK_BYTES = 24 << 20  # of text; chunks end here only, as more words than that they cannot have
 PIECE = 1 << 20      # bytes whose strings are made at a time
+SPAN = 1 << 18       # words of texts looked at at a time
+KEY_BITS = 63        # of what stands before a word and the word's number, where both fit
 END = b""            # the end of a text among the words
 
 
@@ -46,14 +52,20 @@ def split_tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def _ending(data: np.ndarray, depth: int) -> np.ndarray:
+    """The last ``depth`` + 1 of the bytes up to each place, the one there lowest."""
+    strings = np.zeros(len(data), np.uint64)
+    for back in range(min(depth, len(data)) + 1):
+        strings[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
+    return strings
+
+
 def _strings(pieces: list[tuple[bytes, bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The byte strings (context and byte, the byte lowest) of all bytes of some pieces, each with the ``depth`` bytes before it, and how
     many each piece has."""
     data = np.frombuffer(b"".join(x for piece in pieces for x in piece), np.uint8)
     own = np.fromiter((len(piece) for _, piece in pieces), np.int64, len(pieces))
-    strings = np.zeros(len(data), np.uint64)
-    for back in range(min(depth, len(data)) + 1):
-        strings[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
+    strings = _ending(data, depth)
     start = np.cumsum(own + depth) - own
     at = np.repeat(start - (np.cumsum(own) - own), own) + np.arange(own.sum())
     return strings[at].view(np.int64), own
@@ -69,11 +81,93 @@ def _spelled(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pieces(tokens: list[bytes], depth: int) -> list[tuple[bytes, bytes]]:
-    """The running text of words and the end, in pieces of bounded size with the bytes before them."""
+    """The running text of words and the end, in pieces of bounded size with the bytes before them: what ``_Words`` must amount to."""
     text = _pad(depth) + b" ".join(tokens) + b"\n"
     return [(text[a - depth:a], text[a:a + PIECE]) for a in range(depth, len(text), PIECE)]
 
 
+class _Words:
+    """Distinct words, of which texts are lists of numbers, and the byte strings of such texts without spelling them.
+
+    The bytes of a word from place ``depth`` - 1 on, and the space behind it, have their context in the word and the space
+    before it (``inner``). The context of those before, its head, also takes the ``depth`` - 1 bytes before that space, the tail
+    of what stands there (``pairs``, ``heads_of``)."""
+
+    def __init__(self, data: bytes, size: np.ndarray, depth: int):
+        n, keep = len(size), depth - 1
+        self.depth, self.size = depth, size
+        self.text = np.full(len(data) + n + 1, 32, np.uint8)
+        self.end = np.cumsum(size + 1)
+        self.start = self.end - size
+        own = np.ones(len(self.text), bool)
+        own[0], own[self.end] = False, False
+        self.text[own] = np.frombuffer(data, np.uint8)
+        self.last, head, long = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.minimum(size + 1, keep)
+        for j in range(keep):
+            at = np.flatnonzero(size > j)
+            self.last[at] |= self.text[self.end[at] - 1 - j].astype(np.uint64) << np.uint64(8 * j)
+            at = np.flatnonzero(long > j)
+            head[at] = head[at] << np.uint64(8) | self.text[self.start[at] + j]
+        head[size == 0] = ord("\n")  # the end
+        heads, self.head = np.unique(head | long.astype(np.uint64) << np.uint64(56), return_inverse=True)
+        self.heads, self.head_size = heads & np.uint64((1 << 56) - 1), heads >> np.uint64(56)
+
+    def inner(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Byte strings that depend on a word alone, and the words they are of, ``PIECE`` bytes at a time."""
+        for a in range(1, len(self.text), PIECE):
+            b = min(a + PIECE, len(self.text))
+            first, last = np.searchsorted(self.end, [a, b - 1])
+            ends = np.minimum(self.end[first:last + 1], b - 1)
+            of = np.repeat(np.arange(first, last + 1), np.diff(ends, prepend=a - 1))
+            lead = min(a, self.depth)
+            chosen = np.flatnonzero(np.arange(a, b) - self.start[of] >= self.depth - 1)
+            yield _ending(self.text[a - lead:b], self.depth)[lead:][chosen].view(np.int64), of[chosen]
+
+    def _tails(self, stream: np.ndarray, place: np.ndarray, a: int, b: int) -> np.ndarray:
+        """What stands before the words ``a`` to ``b`` of the stream and their space; ``place`` is a word's in its text."""
+        keep = self.depth - 1
+        tail, have = np.zeros(b - a, np.uint64), np.zeros(b - a, np.int64)
+        rows, back = np.flatnonzero(place[a:b] > 0), 1
+        while len(rows):
+            if back > 1:
+                tail[rows] |= np.uint64(32) << (8 * have[rows]).astype(np.uint64)
+                have[rows] += 1
+                rows = rows[(have[rows] < keep) & (place[a + rows] >= back)]
+            of = stream[a + rows - back]
+            tail[rows] |= self.last[of] << (8 * have[rows]).astype(np.uint64)
+            have[rows] += self.size[of]
+            rows, back = rows[have[rows] < keep], back + 1
+        return tail & np.uint64((1 << 8 * keep) - 1)
+
+    def pairs(self, texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """A number for tail and head of each word, ``SPAN`` words of the texts at a time, and the tails if it has only their places."""
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        stream = np.concatenate(texts)
+        place = np.arange(len(stream), dtype=np.int32)
+        place -= np.repeat((np.cumsum(size) - size).astype(np.int32), size)
+        bits = 8 * (self.depth - 1)
+        for a in range(0, len(stream), SPAN):
+            b = min(a + SPAN, len(stream))
+            tail, head = self._tails(stream, place, a, b), self.head[stream[a:b]]
+            if bits + len(self.heads).bit_length() <= KEY_BITS:
+                yield tail.view(np.int64) | head << bits, None
+            else:
+                number, tails = pd.factorize(tail)
+                yield number | head << 32, tails
+
+    def heads_of(self, keys: np.ndarray, tails: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The byte strings of the heads of some ``pairs``, and the pairs they are of, a place in the heads at a time."""
+        bits = 8 * (self.depth - 1) if tails is None else 32
+        tail, head = keys & ((1 << bits) - 1), keys >> bits
+        before = (tail.view(np.uint64) if tails is None else tails[tail]) << np.uint64(8) | np.uint64(32)
+        value, size = self.heads[head], self.head_size[head]
+        whole = np.uint64((1 << 8 * (self.depth + 1)) - 1)
+        for j in range(self.depth - 1):
+            at = np.flatnonzero(size > j)
+            strings = before[at] << np.uint64(8 * (j + 1)) | value[at] >> np.uint64(8) * (size[at] - np.uint64(j + 1))
+            yield (strings & whole).view(np.int64), at
+
+
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """log Gamma for x >= 1/2, by Stirling's series at x + 8."""
     shift = np.zeros_like(x)
@@ -167,8 +261,11 @@ def _predicted(counted: DataFrame, groups: int, depth: int) -> DataFrame:
 
     def second_depth(rows: pa.Table) -> pa.Table:
         t = tree(rows)
-        return pa.table({"context": t.keys >> 8, "node": (t.keys & 255).astype(np.int32), "a": lists(t.a),
-                         "b": lists(t.b), "log_pw": lists(t.log_pw)})
+        out = pa.table({"context": t.keys >> 8, "node": (t.keys & 255).astype(np.int32), "a": lists(t.a),
+                        "b": lists(t.b), "log_pw": lists(t.log_pw)})
+        del t
+        trim()
+        return out
 
     sides = "context long, node int, a array<double>, b array<double>, log_pw array<double>"
     upper = dealt.groupBy("bucket").applyInArrow(second_depth, sides).groupBy("node").applyInArrow(
@@ -180,7 +277,9 @@ def _predicted(counted: DataFrame, groups: int, depth: int) -> DataFrame:
     above = counted.sparkSession.sparkContext.broadcast(table)
 
     def predict(rows: pa.Table) -> pa.Table:
-        return pa.table({"string": rows.column("string"), "log10_p": lists(tree(rows).log10(above.value))})
+        out = pa.table({"string": rows.column("string"), "log10_p": lists(tree(rows).log10(above.value))})
+        trim()
+        return out
 
     return dealt.groupBy("bucket").applyInArrow(predict, "string long, log10_p array<double>")
 
@@ -238,14 +337,14 @@ def score(docs: DataFrame, learn: str, group: str | None = None, depth: int = DE
         number = F.when(F.col(group) == name, i).otherwise(number)
     docs = gathered(docs.select(*kept, F.when(F.col("_learn"), number).otherwise(-1).alias("_group"), "text"))
     groups = len(names)
-    book = written(dictionaries(docs, split_tokens, buckets_for(docs), "_group", groups, CHUNK_BYTES, CHUNK_BYTES), "ctw-dictionaries")
-    words = written(book.groupBy("bucket").applyInArrow(
+    parts = buckets_for(docs)
+    tables = written(_chunk_tables(docs, parts, groups, depth), "ctw-chunks")
+    book, strings = tables.where("words is not null"), tables.where("strings is not null")
+    words = written(book.select("bucket", "words", "sizes", "n").groupBy("bucket").applyInArrow(
         _distinct(groups), "cell int, word binary, n array<long>"), "ctw-words")
     every = F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)
     total, distinct = words.agg(F.coalesce(F.sum(every), F.lit(0)), F.count(F.when(every > 0, 1))).first()
-    parts = buckets_for(docs)
-    strings = written(_chunk_strings(docs, parts, groups, depth), "ctw-chunk-strings")
-    counted = written(strings.groupBy("bucket").applyInArrow(
+    counted = written(strings.select("bucket", "strings", "times").groupBy("bucket").applyInArrow(
         _counted(groups), "string long, " + ", ".join(f"n{g} long" for g in range(groups))), "ctw-strings")
     predicted = _predicted(counted, groups, depth).withColumn("bucket", _bucket_of("string", parts))
     blank = F.lit(b"").alias("pos")
@@ -255,57 +354,67 @@ def score(docs: DataFrame, learn: str, group: str | None = None, depth: int = DE
             _string_values(groups), "chunk long, a binary, b binary").select("chunk", blank, "a", "b"))
 
     def prepare(numbers: np.ndarray, spans: list, a: list[bytes], b: list[bytes]) -> tuple:
-        base, sizes = np.zeros(len(numbers)), np.zeros(len(numbers), np.int64)
-        known, spelled = np.zeros(len(numbers), bool), np.empty(len(numbers), object)
-        keys, p = [], []
+        trim()
+        n, sizes, texts, strings, p = [], [], [], [], []
         for (first, last), counts, data in zip(spans, a, b):
             if first == last:  # byte strings and what their last bytes have
-                keys.append(np.frombuffer(counts, "<i8"))
+                strings.append(np.frombuffer(counts, "<i8"))
                 p.append(np.frombuffer(data, "<f4").reshape(-1, groups))
                 continue
-            at = numbers[first:last]
-            n, sizes[at] = unpack(counts).reshape(2, -1)
-            ends = np.cumsum(sizes[at]).tolist()
-            spelled[at] = [data[x:y] for x, y in zip([0, *ends], ends)]
-            base[at] = np.log10((n + 0.1) / (total + 0.1 * (distinct + 1)))
-            known[at] = n > 0
-        return base, known, sizes, spelled, pd.Index(np.concatenate(keys)), np.concatenate(p)
+            for part, own in zip((n, sizes), unpack(counts).reshape(2, -1)):
+                part.append(own)
+            texts.append(data)
+        n, keys, p = np.concatenate(n), pd.Index(np.concatenate(strings)), np.concatenate([*p, np.zeros((1, groups), np.float32)])
+        words = _Words(b"".join(texts), np.concatenate(sizes).astype(np.int64), depth)
+        inner = np.zeros((len(n), groups))
+        for found, of in words.inner():
+            begins = np.flatnonzero(np.diff(of, prepend=-1))
+            if len(begins):
+                inner[of[begins]] += np.add.reduceat(p.take(_places(keys, found), axis=0), begins, axis=0, dtype=np.float64)
+        place = np.empty(len(n), np.int32)
+        place[numbers] = np.arange(len(n), dtype=np.int32)
+        base, known = np.log10((n + 0.1) / (total + 0.1 * (distinct + 1))), n > 0
+        del strings, texts, sizes, n
+        trim()
+        return base, known, words, inner, place, keys, p
 
     def work(table: tuple, codes: list[np.ndarray]) -> dict:
-        base, known, sizes, spelled, keys, p = table
+        base, known, words, inner, place, keys, p = table
+        codes = [place[c] for c in codes]
         each = np.zeros((len(codes), groups))
-
-        def add(pieces: list, of: list[int]) -> None:
-            strings, own = _strings(pieces, depth)
-            at = keys.get_indexer(strings)
-            if len(at) and at.min() < 0:
-                raise ValueError("the documents were dealt out differently in the two passes")
-            np.add.at(each, of, np.add.reduceat(p[at], np.cumsum(own) - own, axis=0, dtype=np.float64))
-
-        pieces, of, size = [], [], 0
-        for i, c in enumerate(codes):
-            for piece in _pieces(spelled[c].tolist(), depth):
-                pieces.append(piece)
-                of.append(i)
-                size += len(piece[1])
-                if size >= PIECE:
-                    add(pieces, of)
-                    pieces, of, size = [], [], 0
-        if pieces:
-            add(pieces, of)
+        ends = np.cumsum([len(c) for c in codes])
+        begins, stream, at = np.concatenate([[0], ends[:-1]]), np.concatenate(codes), 0
+        for pairs, tails in words.pairs(codes):
+            which, pairs = pd.factorize(pairs)
+            of_pair = np.zeros((len(pairs), groups))
+            for found, of in words.heads_of(pairs, tails):
+                row = np.full(len(pairs), len(keys))
+                row[of] = _places(keys, found)
+                of_pair += p.take(row, axis=0)
+            values = of_pair.take(which, axis=0) + inner.take(stream[at:at + len(which)], axis=0)
+            first, last = np.searchsorted(ends, at, "right"), np.searchsorted(begins, at + len(which))
+            each[first:last] += np.add.reduceat(values, np.maximum(begins[first:last] - at, 0), axis=0)
+            at += len(which)
         each += shares
         top = each.max(axis=1)
         scores = top + np.log10((10 ** (each - top[:, None])).sum(axis=1))
-        length = np.array([(sizes[c] + 1).sum() for c in codes])
+        length = np.array([(words.size[c] + 1).sum() for c in codes])
         return {"n_tokens": np.array([len(c) for c in codes]), "n_known": np.array([known[c].sum() for c in codes]),
                 "train_tokens": np.full(len(codes), total), "base_score": np.array([base[c].sum() for c in codes]),
                 "score": scores, "bits_per_byte": -scores * np.log2(10) / length}
 
-    return assembled(coded(docs.drop("_group"), split_tokens, CHUNK_BYTES, CHUNK_BYTES), values, prepare, work,
+    return assembled(coded(docs.drop("_group"), split_tokens, CHUNK_BYTES, most_bytes=CHUNK_BYTES), values, prepare, work,
                      "n_tokens long, n_known long, train_tokens long, base_score double, score double, "
                      "bits_per_byte double")
 
 
+def _places(keys: pd.Index, strings: np.ndarray) -> np.ndarray:
+    at = keys.get_indexer(strings)
+    if len(at) and at.min() < 0:
+        raise ValueError("the documents were dealt out differently in the two passes")
+    return at
+
+
 def _numbers(rows: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
     """The distinct words of a bucket, and for each of its rows which they are."""
     known: dict[bytes, int] = {}
@@ -344,51 +453,39 @@ def _values(groups: int):
     return values
 
 
-class _Counts:
-    """How often the byte strings of some texts occur, per group."""
-
-    def __init__(self, groups: int, depth: int):
-        self.groups, self.depth = groups, depth
-        self.renew()
-
-    def renew(self) -> None:
-        self.pieces: dict[int, list] = {}
-        self.size: dict[int, int] = {}
-        self.parts: dict[int, list] = {}
-
-    def add(self, tokens: list[bytes], group: int) -> None:
-        for piece in _pieces(tokens, self.depth):
-            self.pieces.setdefault(group, []).append(piece)
-            self.size[group] = self.size.get(group, 0) + len(piece[1])
-            if self.size[group] >= 2 * PIECE:
-                self._count(group)
-
-    def _count(self, group: int) -> None:
-        parts = self.parts.setdefault(group, [])
-        parts.append(np.unique(_strings(self.pieces.pop(group), self.depth)[0], return_counts=True))
-        self.size[group] = 0
-        if len(parts) >= 8:
-            self.parts[group] = [self._joined(parts)]
-
-    @staticmethod
-    def _joined(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        strings, n = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(strings, kind="stable")
-        strings = strings[order]
-        begins = np.flatnonzero(np.concatenate([[True], strings[1:] != strings[:-1]]))
-        return strings[begins], np.add.reduceat(n[order], begins)
-
-    def all(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct strings, and how often they occur in each group; group -1 counts nowhere."""
-        for group in list(self.pieces):
-            self._count(group)
-        found = {group: self._joined(parts) for group, parts in self.parts.items()}
-        strings = np.unique(np.concatenate([x for x, _ in found.values()]))
-        n = np.zeros((len(strings), self.groups), np.int64)
-        for group, (own, times) in found.items():
-            if group >= 0:
-                n[np.searchsorted(strings, own), group] = times
-        return strings, n
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct strings of some parts, and the sums of their numbers."""
+    strings, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(strings)
+    strings = strings[order]
+    begins = np.flatnonzero(np.concatenate([[True], strings[1:] != strings[:-1]]))
+    return strings[begins], np.add.reduceat(n[order], begins)
+
+
+def _string_counts(words: _Words, texts: dict[int, list[np.ndarray]], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct byte strings of a chunk, and how often they occur in each group. ``texts`` has the word numbers of its texts by
+    group, ``n`` the counts of its words per group; group -1 counts nowhere."""
+    found: dict[int, tuple] = {}
+    for group, codes in texts.items():
+        parts = []
+        for pairs, tails in words.pairs(codes):
+            pairs, times = np.unique(pairs, return_counts=True)
+            parts.append(_summed([(strings, times[of]) for strings, of in words.heads_of(pairs, tails)]))
+            if len(parts) >= 4:
+                parts = [_summed(parts)]
+        found[group] = _summed(parts)
+    inner = []
+    for strings, of in words.inner():
+        distinct, at = np.unique(strings, return_inverse=True)
+        inner.append((distinct, _sums(at, n[of], len(distinct)).astype(np.int32)))
+    strings = np.unique(np.concatenate([x for x, _ in [*found.values(), *inner]]))
+    counts = np.zeros((len(strings), n.shape[1]), np.int32)
+    for group, (own, times) in found.items():
+        if group >= 0:
+            counts[np.searchsorted(strings, own), group] = times
+    for own, times in inner:
+        counts[np.searchsorted(strings, own)] += times
+    return strings, counts
 
 
 def _bucket(strings: np.ndarray, buckets: int) -> np.ndarray:
@@ -402,37 +499,55 @@ def _bucket_of(column: str, buckets: int):
     return F.pmod(F.pmod(mixed, F.lit(1_000_003)), F.lit(buckets)).cast("int")
 
 
-def _chunk_strings(docs: DataFrame, buckets: int, groups: int, depth: int) -> DataFrame:
-    """(``bucket``, ``chunk``, ``strings``, ``n``): the distinct byte strings of every chunk, those of one bucket together, and how often
-    they occur in its texts of each group."""
+def _chunk_tables(docs: DataFrame, buckets: int, groups: int, depth: int) -> DataFrame:
+    """The rows of ``chunks.dictionaries`` and, in rows of their own, the distinct byte strings of every chunk (``strings``), those of one
+    bucket together, and how often they occur in its texts of each group (``times``)."""
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()),
+                        *((c, pa.binary()) for c in ("pos", "words", "sizes", "n", "strings", "times"))])
+
     def run(batches: Batches) -> Batches:
-        counts, part, chunk, size = _Counts(groups, depth), None, 0, 0
+        book, texts = None, {}
+
+        def of_words() -> pa.RecordBatch:
+            rows = book.rows(buckets, True)
+            none = [None] * len(rows["bucket"])
+            return pa.RecordBatch.from_pydict(rows | {"strings": none, "times": none}, schema)
 
-        def rows() -> pa.RecordBatch:
-            strings, n = counts.all()
+        def of_strings() -> pa.RecordBatch:
+            words = list(book.codes)
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            strings, n = _string_counts(_Words(b"".join(words), size, depth), texts, book.n[:len(words)])
             bucket = _bucket(strings, buckets)
             order = np.argsort(bucket, kind="stable")
             parts = np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
             used = [b for b, mine in enumerate(parts) if len(mine)]
+            none = [None] * len(used)
             return pa.RecordBatch.from_pydict({
-                "bucket": pa.array(used, pa.int32()), "chunk": pa.array([(part << 24) + chunk] * len(used), pa.int64()),
-                "strings": pa.array([strings[parts[b]].tobytes() for b in used], pa.binary()),
-                "n": pa.array([pack(n[parts[b]].ravel()) for b in used], pa.binary())})
+                "bucket": used, "chunk": [book.id] * len(used), "pos": none, "words": none, "sizes": none, "n": none,
+                "strings": [strings[parts[b]].tobytes() for b in used],
+                "times": [pack(n[parts[b]].ravel()) for b in used]}, schema)
 
         for batch in batches:
-            part = batch.column("_part")[0].as_py() if part is None else part
+            book = book or Dictionary(CHUNK_BYTES, batch.column("_part")[0].as_py(), CHUNK_BYTES, groups)
             for text, group in zip(utf8(batch), batch.column("_group").to_pylist()):
-                counts.add(split_tokens(text), group)
-                size += len(text)
-                if size >= CHUNK_BYTES:
-                    yield rows()
-                    chunk, size = chunk + 1, 0
-                    counts.renew()
-        if counts.size:
-            yield rows()
+                codes = book.code(text, split_tokens)
+                book.tally(codes, group)
+                texts.setdefault(group, []).append(codes)
+                if book.full:
+                    yield of_words()
+                    yield of_strings()
+                    book.renew()
+                    texts.clear()
+                    trim()
+        if book and book.codes:
+            yield of_words()
+            yield of_strings()
+        del book
+        texts.clear()
+        trim()
 
     return docs.select("text", "_group", F.spark_partition_id().alias("_part")).mapInArrow(
-        run, "bucket int, chunk long, strings binary, n binary")
+        run, "bucket int, chunk long, pos binary, words binary, sizes binary, n binary, strings binary, times binary")
 
 
 def _counted(groups: int):
@@ -440,7 +555,7 @@ def _counted(groups: int):
         each = [np.frombuffer(x, "<i8") for x in rows.column("strings").to_pylist()]
         strings = np.unique(np.concatenate(each))
         n = np.zeros((len(strings), groups), np.int64)
-        for own, times in zip(each, rows.column("n").to_pylist()):
+        for own, times in zip(each, rows.column("times").to_pylist()):
             n[np.searchsorted(strings, own)] += unpack(times).reshape(-1, groups)
         return pa.table({"string": strings, **{f"n{g}": n[:, g] for g in range(groups)}})
 
@@ -453,9 +568,11 @@ def _string_values(groups: int):
         strings = predicted.column("string").to_numpy()
         order = np.argsort(strings)
         strings, p = strings[order], matrix(predicted.column("log10_p"), groups).astype("<f4")[order]
-        each = [np.searchsorted(strings, np.frombuffer(x, "<i8")) for x in rows.column("strings").to_pylist()]
-        return pa.table({"chunk": rows.column("chunk"), "a": rows.column("strings").cast(pa.binary()),
-                         "b": pa.array([p[at].tobytes() for at in each], pa.binary())})
+        each = [p[np.searchsorted(strings, np.frombuffer(x, "<i8"))].tobytes() for x in rows.column("strings").to_pylist()]
+        out = pa.table({"chunk": rows.column("chunk"), "a": rows.column("strings").cast(pa.binary()), "b": pa.array(each, pa.binary())})
+        del strings, order, p, each
+        trim()
+        return out
 
     return values
 

@@ -196,6 +196,7 @@ def op8_byte_network(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     """log10 probability of every text under a context tree learned from nine tenths of the documents."""
+    small_batches(spark, "2m")  # next to the dictionary and the byte strings of a chunk
     return ctw.score_held_out(table(spark, folder, "documents").select("doc_id", "lang", "text"), "lang").drop("lang")
 
 

@@ -7,6 +7,7 @@ bytes of a text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,15 @@ def small_batches(spark: SparkSession, size: str = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def trim() -> None:
+    """Give the memory that was freed back to the system. A Python worker stays for later tasks, and so would its memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
 def utf8(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """The texts of a batch as bytes, a few at a time; null is empty."""
     values = batch.column(column)
