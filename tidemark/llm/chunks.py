@@ -125,6 +125,12 @@ class Dictionary:
             numbers, times = np.unique(codes, return_counts=True)
             self.n[numbers, group] += times
 
+    def tally_all(self, texts: dict[int, list[np.ndarray]]) -> None:
+        """``tally`` for the texts of a chunk at once, by group."""
+        self.n = np.zeros((len(self.codes), self.groups), np.int32)
+        for group in texts.keys() & range(self.groups):
+            self.n[:, group] = np.bincount(np.concatenate(texts[group]), minlength=len(self.codes))
+
     def rows(self, buckets: int, counted: bool) -> dict[str, list]:
         """The columns of ``dictionaries`` for the chunk."""
         words = list(self.codes)

@@ -470,8 +470,9 @@ def _string_counts(words: _Words, texts: dict[int, list[np.ndarray]], n: np.ndar
         parts = []
         for pairs, tails in words.pairs(codes):
             pairs, times = np.unique(pairs, return_counts=True)
+            times = times.astype(np.int32)
             parts.append(_summed([(strings, times[of]) for strings, of in words.heads_of(pairs, tails)]))
-            if len(parts) >= 4:
+            if len(parts) >= 8:
                 parts = [_summed(parts)]
         found[group] = _summed(parts)
     inner = []
@@ -516,7 +517,7 @@ def _chunk_tables(docs: DataFrame, buckets: int, groups: int, depth: int) -> Dat
         def of_strings() -> pa.RecordBatch:
             words = list(book.codes)
             size = np.fromiter(map(len, words), np.int64, len(words))
-            strings, n = _string_counts(_Words(b"".join(words), size, depth), texts, book.n[:len(words)])
+            strings, n = _string_counts(_Words(b"".join(words), size, depth), texts, book.n)
             bucket = _bucket(strings, buckets)
             order = np.argsort(bucket, kind="stable")
             parts = np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
@@ -530,16 +531,16 @@ def _chunk_tables(docs: DataFrame, buckets: int, groups: int, depth: int) -> Dat
         for batch in batches:
             book = book or Dictionary(CHUNK_BYTES, batch.column("_part")[0].as_py(), CHUNK_BYTES, groups)
             for text, group in zip(utf8(batch), batch.column("_group").to_pylist()):
-                codes = book.code(text, split_tokens)
-                book.tally(codes, group)
-                texts.setdefault(group, []).append(codes)
+                texts.setdefault(group, []).append(book.code(text, split_tokens))
                 if book.full:
+                    book.tally_all(texts)
                     yield of_words()
                     yield of_strings()
                     book.renew()
                     texts.clear()
                     trim()
         if book and book.codes:
+            book.tally_all(texts)
             yield of_words()
             yield of_strings()
         del book
